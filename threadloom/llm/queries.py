@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import byte_bpe, token_cache, url_filter
-from threadloom.llm.common import table
+from threadloom.llm import byte_bpe, line_dedup, mixing, token_cache, token_files, topk_search, url_filter
+from threadloom.llm.common import shared_dir, table
 
 #: The rules of op2: (host, path, verdict).
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -35,6 +35,11 @@ FROM parts LEFT JOIN fits ON parts.page_id = fits.page_id AND parts.host = fits.
 """
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_files.round_trip(table(spark, sf_dir, "documents"), path, shared_dir(spark, "token-files"), end_id=2)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a cache that persists is named by this setting; without it each run starts an empty one
     cache = spark.conf.get("threadloom.token.cache", None)
@@ -42,14 +47,86 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "lines_removed", F.length("text").cast("long").alias("chars_kept"), F.md5("text").alias("text_md5"))
+
+
+OP7_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, coalesce('s' || source, '') AS site, unnest(string_split(text, chr(10))) AS raw,
+    generate_subscripts(string_split(text, chr(10)), 1) AS place FROM documents),
+trimmed AS (SELECT *, regexp_replace(raw, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line FROM lines),
+boilerplate AS (SELECT line FROM trimmed WHERE line <> '' GROUP BY line HAVING count(DISTINCT site) >= 10),
+marked AS (
+  SELECT t.*, b.line IS NOT NULL AND row_number() OVER (PARTITION BY t.line ORDER BY doc_id, place) > 1 AS gone
+  FROM trimmed t LEFT JOIN boilerplate b ON t.line = b.line)
+SELECT doc_id, count(*) FILTER (gone) AS lines_removed,
+  length(coalesce(string_agg(raw, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS chars_kept,
+  md5(coalesce(string_agg(raw, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS text_md5
+FROM marked GROUP BY doc_id
+"""
+
+#: Weights of sources by code point, repeating; and what they share of all sizes.
+MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS = [5.0, 2.0, 1.0], 1.5, 2.0
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS)
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP8_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    md5(coalesce(doc_id::VARCHAR, 'null') || ':20:' || md5(coalesce(text, ''))) AS r FROM documents),
+per AS (
+  SELECT source, sum(size)::BIGINT AS source_size, 2.0::DOUBLE * sum(size)::BIGINT AS cap,
+    ([5.0, 2.0, 1.0])[1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight FROM docs GROUP BY source),
+level AS (
+  SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM per),
+final AS (
+  SELECT source, source_size, CASE WHEN cap / weight <= level THEN cap
+    ELSE least(cap, (SELECT arg_min(level, cap / weight) FROM level WHERE cap / weight > level) * weight) END AS target FROM level),
+placed AS (
+  SELECT doc_id, size, source_size, target, floor(target)::BIGINT AS budget,
+    sum(size) OVER (PARTITION BY docs.source ORDER BY r, doc_id ROWS UNBOUNDED PRECEDING) - size AS start
+  FROM docs JOIN final ON docs.source IS NOT DISTINCT FROM final.source)
+SELECT doc_id, size, source_size, target, CASE WHEN source_size = 0 THEN 0 ELSE
+  (budget // source_size) * size + greatest(0, least(size, budget % source_size - start)) END::BIGINT AS taken FROM placed
+"""
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = topk_search.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return topk_search.exact_top_k(rows, rows.where(F.pmod("k", F.lit(20)) == 0), k=20)
+
+
+OP10_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
 QUERIES = {
     "op2_url_filters": op2_url_filters,
+    "op4_token_files": op4_token_files,
     "op6_token_counts": op6_token_counts,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_mixing": op8_mixing,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_topk": op10_topk,
 }
 
-ORACLE = {"op2_url_filters": OP2_SQL}
+ORACLE = {"op2_url_filters": OP2_SQL, "op7_line_dedup": OP7_SQL, "op8_mixing": OP8_SQL, "op10_topk": OP10_SQL}
