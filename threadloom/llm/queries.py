@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import byte_bpe, line_dedup, mixing, token_cache, token_files, topk_search, url_filter
+from threadloom.llm import byte_bpe, fingerprints, line_dedup, mixing, token_cache, token_files, topk_search, url_filter
 from threadloom.llm.common import shared_dir, table
 
 #: The rules of op2: (host, path, verdict).
@@ -35,6 +35,33 @@ FROM parts LEFT JOIN fits ON parts.page_id = fits.page_id AND parts.host = fits.
 """
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_likeness(table(spark, sf_dir, "documents"))
+
+
+def _tree_sql(text: str) -> str:
+    return f"list_transform(string_split({text}, chr(10)), lambda p: list_transform(list_filter(regexp_extract_all(p, '(?:[^ ]* ){{0,3}}[^ ]*(?: |$)'), lambda s: s <> ''), lambda s: md5(s)))"
+
+
+OP3_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
+n AS (SELECT doc_id, x, coalesce(lead(x) OVER (ORDER BY doc_id), first_value(x) OVER (ORDER BY doc_id)) AS nx, length(x) AS n_chars FROM d),
+e AS (SELECT *, left(x, n_chars - n_chars // 4) || left(nx, n_chars // 4) AS e FROM n),
+t AS (SELECT *, {_tree_sql("x")} AS xt, {_tree_sql("e")} AS et, {_tree_sql("nx")} AS nt FROM e),
+p AS (SELECT *, list_transform(xt, lambda p: sha256(array_to_string(p, ','))) AS xp, list_transform(et, lambda p: sha256(array_to_string(p, ','))) AS ep,
+  list_distinct(list_transform(flatten(xt), lambda d: substr(d, 1, 6))) AS xl, list_distinct(list_transform(flatten(et), lambda d: substr(d, 1, 6))) AS el,
+  list_distinct(list_transform(flatten(nt), lambda d: substr(d, 1, 6))) AS nl FROM t),
+s AS (SELECT *, list_transform(range(0, len(xp), 16), lambda i: sha256(array_to_string(xp[i + 1 : i + 16], '|'))) AS xs,
+  list_transform(range(0, len(ep), 16), lambda i: sha256(array_to_string(ep[i + 1 : i + 16], '|'))) AS es FROM p)
+SELECT doc_id, n_chars::BIGINT AS n_chars, sha256(e) AS edited_sha256,
+  sha256(array_to_string(xs, ',')) || ':' || array_to_string(list_transform(xt, lambda p: array_to_string(list_transform(p, lambda d: substr(d, 1, 6)), '')), '.') AS fingerprint,
+  sha256(array_to_string(es, ',')) || ':' || array_to_string(list_transform(et, lambda p: array_to_string(list_transform(p, lambda d: substr(d, 1, 6)), '')), '.') AS edited_fingerprint,
+  CASE WHEN len(xl) + len(el) = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect(xl, el)) / (len(xl) + len(el)) END AS near_edited,
+  CASE WHEN len(xl) + len(nl) = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect(xl, nl)) / (len(xl) + len(nl)) END AS near_next
+FROM s
+"""
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_files.round_trip(table(spark, sf_dir, "documents"), path, shared_dir(spark, "token-files"), end_id=2)
@@ -121,6 +148,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 
 QUERIES = {
     "op2_url_filters": op2_url_filters,
+    "op3_fingerprints": op3_fingerprints,
     "op4_token_files": op4_token_files,
     "op6_token_counts": op6_token_counts,
     "op7_line_dedup": op7_line_dedup,
@@ -129,4 +157,4 @@ QUERIES = {
     "op10_topk": op10_topk,
 }
 
-ORACLE = {"op2_url_filters": OP2_SQL, "op7_line_dedup": OP7_SQL, "op8_mixing": OP8_SQL, "op10_topk": OP10_SQL}
+ORACLE = {"op2_url_filters": OP2_SQL, "op3_fingerprints": OP3_SQL, "op7_line_dedup": OP7_SQL, "op8_mixing": OP8_SQL, "op10_topk": OP10_SQL}
