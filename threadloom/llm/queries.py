@@ -6,9 +6,31 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import byte_bpe, fingerprints, line_dedup, mixing, token_cache, token_files, topk_search, url_filter
+from threadloom.llm import byte_bpe, fingerprints, line_dedup, mixing, ngram_join, token_cache, token_files, topk_search, url_filter
 from threadloom.llm.common import shared_dir, table
 
+
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members, _ = ngram_join.jaccard_classes(table(spark, sf_dir, "documents"))
+    return members.select("doc_id", "n_shingles", "component_id")
+
+
+OP1_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, 2 + greatest(len(w) - 5, 0))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT d.doc_id, coalesce(sizes.n, 0)::BIGINT AS n_shingles, min(reach.other) AS component_id
+FROM documents d LEFT JOIN sizes ON sizes.doc_id = d.doc_id JOIN reach ON reach.doc_id = d.doc_id GROUP BY d.doc_id, sizes.n
+"""
+
 #: The rules of op2: (host, path, verdict).
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -147,6 +169,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_url_filters": op2_url_filters,
     "op3_fingerprints": op3_fingerprints,
     "op4_token_files": op4_token_files,
@@ -157,4 +180,4 @@ QUERIES = {
     "op10_topk": op10_topk,
 }
 
-ORACLE = {"op2_url_filters": OP2_SQL, "op3_fingerprints": OP3_SQL, "op7_line_dedup": OP7_SQL, "op8_mixing": OP8_SQL, "op10_topk": OP10_SQL}
+ORACLE = {"op1_ngram_join": OP1_SQL, "op2_url_filters": OP2_SQL, "op3_fingerprints": OP3_SQL, "op7_line_dedup": OP7_SQL, "op8_mixing": OP8_SQL, "op10_topk": OP10_SQL}
