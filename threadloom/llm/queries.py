@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import byte_bpe, fingerprints, line_dedup, mixing, ngram_join, token_cache, token_files, topk_search, url_filter
+from threadloom.llm import byte_bpe, fingerprints, line_dedup, mixing, ngram_join, token_cache, token_files, topk_search, toxicity, url_filter
 from threadloom.llm.common import shared_dir, table
 
 
@@ -89,6 +89,13 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), path, shared_dir(spark, "token-files"), end_id=2)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    out = toxicity.score(docs, machine)
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a cache that persists is named by this setting; without it each run starts an empty one
     cache = spark.conf.get("threadloom.token.cache", None)
@@ -173,6 +180,7 @@ QUERIES = {
     "op2_url_filters": op2_url_filters,
     "op3_fingerprints": op3_fingerprints,
     "op4_token_files": op4_token_files,
+    "op5_toxicity": op5_toxicity,
     "op6_token_counts": op6_token_counts,
     "op7_line_dedup": op7_line_dedup,
     "op8_mixing": op8_mixing,
