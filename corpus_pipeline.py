@@ -1,14 +1,71 @@
-"""A corpus pipeline: STAGES are applied one after the other to documents."""
+"""A corpus pipeline: the functions of STAGES are applied one after the other to documents.
+
+Each takes (spark, docs, sf_dir), works on all that its predecessor kept, and returns a DataFrame; all but the last
+return the columns of documents.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from threadloom.llm import byte_bpe, line_dedup, mixing, ngram_join, toxicity
+from threadloom.llm.common import table, written
+from threadloom.llm.queries import MIX_EPOCHS, MIX_SHARE, MIX_WEIGHTS
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the machine, fitted on the labelled ones outside the held-out fold, rejects go."""
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.reject_toxic(docs, machine)
+
+
+def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines on many sites go, but for their first occurrence; n_chars follows the text. No document goes."""
+    out = line_dedup.dedup_lines(docs).select(*docs.columns)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by their shingles the one of least id stays. Those without words are in no group."""
+    members, _ = ngram_join.jaccard_classes(docs)
+    kept = members.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: whole epochs, and the document that a budget's cut falls in if at
+    least half of it is taken."""
+    mixed = mixing.mix(docs, MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS)
+    times = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(F.lit(0)).cast("int")
+    # equal rows share a key and are interchangeable
+    per = mixed.groupBy(F.col("rank_key").alias("r")).agg(F.round(F.avg(times)).cast("int").alias("times")).where("times > 0")
+    rows = docs.select(F.struct("*").alias("d"), mixing.random_key(F.col("doc_id"), F.col("text"), mixing.SEED).alias("rk"))
+    out = rows.join(per, F.col("rk") == F.col("r")).select("d", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("epoch"))
+    return out.select(*[F.col("d")[c].alias(c) for c in docs.columns])
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the ids and of what they decode to, a row for each document of the mix."""
+    return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
 
-STAGES: list = []
-#: Toxicity can't be expressed in SQL; the stages are tested against brute force.
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("line dedup", drop_boilerplate),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("mixing sources to target weights", mix_sources),
+    ("byte-level BPE encoding and decoding", encode),
+]
+#: SQL can't express the string-kernel machine; tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = written(spark, docs, f"stage-{i}")
     return docs

@@ -19,6 +19,8 @@ from threadloom.llm.common import word_count
 MOST_BUCKETS = 65_536
 #: Rows aimed at in a bucket.
 BUCKET_ROWS = 4_096
+#: Of the random keys.
+SEED = 20
 
 
 def targets(sizes: DataFrame, weights: list[float], share: float, most_epochs: float) -> DataFrame:
@@ -47,7 +49,7 @@ def random_key(key: Column, text: Column, seed: int) -> Column:
     return F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("null")), F.lit(f":{seed}:"), F.md5(F.coalesce(text, F.lit("")))))
 
 
-def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most_epochs: float = 2.0, seed: int = 20, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most_epochs: float = 2.0, seed: int = SEED, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """One row per row of docs: key, size, source, source_size, target, taken, rank_key.
 
     size: words of the whole text (null and empty: 0). A null source is a source. Repeated rows have the same random
