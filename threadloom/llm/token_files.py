@@ -35,7 +35,7 @@ INDEX_MAGIC, TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 #: A frame is closed when it holds this many ids; a longer document has a frame of its own.
 FRAME_IDS = 1 << 16
 #: Chunks that a worker remembers; bounds its memory.
-MEMO = 400_000
+MEMO = 800_000
 
 
 class Shard:
@@ -153,6 +153,8 @@ class ChunkEncoder:
     """
 
     INSIDE_RUN = re.compile(r"\s (?=\s|$)")
+    # a Latin word, signs, and perhaps a line end before the same again: each of these is a piece by itself
+    PIECES = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,!?;:()\"*#|$-]*)(?:(\n)([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,!?;:()\"*#|$-]*))?")
 
     def __init__(self, path: str, width: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -163,19 +165,37 @@ class ChunkEncoder:
         self.own.no_truncation()
         self.specials = {t.content: i for i, t in self.own.get_added_tokens_decoder().items()}
         self.dtype, self.memo = f"<u{width}", {}
+        # a byte-level token has a character for each of its bytes
+        vocabulary = self.own.get_vocab(with_added_tokens=False)
+        self.bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self.bytes[list(vocabulary.values())] = list(map(len, vocabulary))
         self.apart, self.mark = next(iter(self.specials.items()), (None, -1))
 
     def _learn(self, chunks: list[str]) -> None:
-        """Many chunks in a call, kept apart by an added token, which the library encodes by itself."""
+        """Many chunks in a call. Those that begin with a space follow each other as in a text, and are told apart by
+        the bytes of their tokens; the others are kept apart by an added token, which is encoded by itself."""
+        spaced, others = [], []
+        for c in chunks:
+            (spaced if c[0] == " " and len(c) > 1 and not c[1].isspace() else others).append(c)
+        for some, ids in self._called(spaced, ""):
+            ends = np.cumsum(np.fromiter(map(len, map(str.encode, some)), np.int64, len(some)))
+            cuts = np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1
+            self._keep(some, ids, [0, *cuts[:-1].tolist()], cuts.tolist())
         if self.apart is None:
-            self.memo.update((c, np.array(e.ids, self.dtype).tobytes()) for c, e in zip(chunks, self.own.encode_batch_fast(chunks, add_special_tokens=False), strict=True))
+            self.memo.update((c, np.array(self.own.encode(c, add_special_tokens=False).ids, self.dtype).tobytes()) for c in others)
             return
-        groups = [chunks[i : i + 512] for i in range(0, len(chunks), 512)]
-        for some, e in zip(groups, self.own.encode_batch_fast([self.apart.join(g) for g in groups], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, self.dtype)
-            w, cuts = ids.itemsize, np.flatnonzero(ids == self.mark).tolist()
-            packed = ids.tobytes()
-            self.memo.update((c, packed[a * w : b * w]) for c, a, b in zip(some, [0, *(x + 1 for x in cuts)], [*cuts, len(ids)], strict=True))
+        for some, ids in self._called(others, self.apart):
+            cuts = np.flatnonzero(ids == self.mark).tolist()
+            self._keep(some, ids, [0, *(x + 1 for x in cuts)], [*cuts, len(ids)])
+
+    def _called(self, chunks: list[str], by: str):
+        groups = [chunks[i : i + 256] for i in range(0, len(chunks), 256)]
+        for some, e in zip(groups, self.own.encode_batch_fast([by.join(g) for g in groups], add_special_tokens=False), strict=True):
+            yield some, np.array(e.ids, self.dtype)
+
+    def _keep(self, chunks: list[str], ids: np.ndarray, begin: list[int], stop: list[int]) -> None:
+        packed, w = ids.tobytes(), ids.itemsize
+        self.memo.update((c, packed[a * w : b * w]) for c, a, b in zip(chunks, begin, stop, strict=True))
 
     def encode_packed(self, texts: list[str]) -> list[bytes]:
         if len(self.memo) > MEMO:
@@ -189,9 +209,14 @@ class ChunkEncoder:
             first, *rest = t.split(" ")
             chunks = [" " + x for x in rest]
             cut.append([first, *chunks] if first else chunks)
-        if new := list(set().union(*cut).difference(self.memo)):
-            self._learn(new)
-        get = self.memo.__getitem__
+        get, match = self.memo.__getitem__, self.PIECES.fullmatch
+        new, parts = set().union(*cut).difference(self.memo), {}
+        for c in [c for c in new if not c[1:].isalpha()]:
+            if m := match(c):
+                parts[c] = [x for x in m.groups() if x]
+        new.difference_update(parts)
+        self._learn([x for x in new.union(*parts.values()) if x not in self.memo])
+        self.memo.update((c, b"".join(map(get, p))) for c, p in parts.items())
         out = [b"".join(map(get, chunks)) for chunks in cut]
         for i in whole:
             out[i] = np.array(self.own.encode(texts[i], add_special_tokens=False).ids, self.dtype).tobytes()
