@@ -16,8 +16,8 @@ which this could cost a set its last shared one keeps them (see `signatures`).
 Buckets. Signatures travel packed, some 12 bytes each, by hash to parts of bounded size; only those that two sets share
 come out as rows. Linking needs no pair twice: first each set is checked against the set that leads most of its
 buckets; then components are formed; then, for buckets that still hold several components, pairs of sets from
-different ones that share `need` signatures are checked. So within a group of near copies no pairs are enumerated,
-and no link between different components is lost. Checks count the exact intersection.
+different ones are counted, in tasks of bounded size, and those that share `need` signatures are checked. So within a
+group of linked copies no pairs are handed on, and no link between different components is lost. Checks count the exact intersection.
 """
 
 from __future__ import annotations
@@ -70,18 +70,18 @@ class PartEnum:
         return (100 - self.percent) * 2 * self.last[band] // (100 + self.percent)
 
     @lru_cache(maxsize=4096)  # noqa: B019
-    def scheme(self, band: int) -> tuple[int, int, list[tuple[int, ...]], int, np.ndarray]:
-        """k, pieces, subsets of pieces, the shared signatures that linked sets are sure of, lower bounds of pieces."""
+    def scheme(self, band: int) -> tuple[int, int, list[tuple[int, ...]], np.ndarray]:
+        """k, pieces, subsets of pieces, lower bounds of pieces."""
         k = self.differ(band)
         if k < HALVES_FROM:
             pieces = k + 3
-            subsets, need = list(combinations(range(pieces), 2)), 3
+            subsets = list(combinations(range(pieces), 2))
         else:
             slack = 0.4 if k < 120 else 0.25
             pieces = 2 * math.ceil((k + 1) * (1 + slack) / 2)
-            subsets, need = [(i,) for i in range(pieces)], pieces - k
+            subsets = [(i,) for i in range(pieces)]
         bounds = (np.arange(1, pieces, dtype=object) * (1 << 64) // pieces).astype(np.uint64)
-        return k, pieces, subsets, need, bounds
+        return k, pieces, subsets, bounds
 
     def signatures(self, s: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
         """(instance, need, signatures) of one sorted set.
@@ -97,9 +97,13 @@ class PartEnum:
         np.cumsum(mix(s + U(0x632BE59BD9B4E019)), out=total[1:])
         out = []
         for band in self.instances(len(s)):
-            k, pieces, subsets, need, bounds = self.scheme(band)
+            k, pieces, subsets, bounds = self.scheme(band)
             if k == 0:
                 continue  # only equal sets link
+            # a partner is no larger than the band and the similarity allow, so these two differ in less than k
+            most = min(self.last[band], 100 * len(s) // self.percent)
+            agree = pieces - (100 - self.percent) * (len(s) + most) // (100 + self.percent)
+            need = agree if len(subsets[0]) == 1 else agree * (agree - 1) // 2
             cut = np.concatenate(([0], np.searchsorted(s, bounds), [len(s)]))
             sums, sizes = total[cut[1:]] - total[cut[:-1]], np.diff(cut)
             if len(subsets[0]) == 2:
@@ -237,6 +241,52 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(_linked(percent), "a long, b long")
 
 
+#: Of a block of a family: rows and sets aimed at; a pair of blocks is one task's memory.
+BLOCK_ROWS, BLOCK_SETS = 40_000, 1_000
+
+
+def _count_pairs(key, table):
+    """Pairs of sets of different components with as many common signatures as both need, of one pair of blocks."""
+    import pyarrow as pa
+
+    left, right = key[1].as_py(), key[2].as_py()
+    col = {c: table.column(c).to_numpy() for c in ("sig", "band", "need", "id", "component", "block")}
+    a, b = [], []
+    for band in np.unique(col["band"]):
+        on = col["band"] == band
+        ids, first, who = np.unique(col["id"][on], return_index=True, return_inverse=True)
+        need, component, block = (col[c][on][first] for c in ("need", "component", "block"))
+        order = np.argsort(col["sig"][on], kind="stable")
+        sig, who = col["sig"][on][order], who[order]
+        count = np.zeros((len(ids), len(ids)), np.uint16)
+        cuts = np.flatnonzero(np.diff(sig, prepend=~sig[:1], append=~sig[-1:]))
+        for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            if j - i > 1:
+                m = who[i:j]
+                count[m[:, None], m] += 1
+        x, y = np.nonzero(count >= np.maximum(need[:, None], need[None]))
+        keep = (component[x] != component[y]) & (block[x] == left) & (block[y] == right) & ((left != right) | (x < y))
+        a.append(ids[x[keep]])
+        b.append(ids[y[keep]])
+    return pa.table({n: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64), pa.int64()) for n, v in (("a", a), ("b", b))})
+
+
+def _across(rest: DataFrame, families: DataFrame) -> DataFrame:
+    """a, b: pairs of sets of different components that share as many signatures as a link asks for.
+
+    All sets that share a bucket are of one family. A family of many rows is cut by a hash of its sets into blocks, and
+    each pair of blocks is counted by itself, so tasks stay small; only pairs that pass come out.
+    """
+    rows = rest.join(families.select(F.col("node").alias("id"), F.col("component").alias("family")), "id")
+    size = rows.groupBy("family").agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("id").alias("sets"))
+    blocks = F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("sets") / BLOCK_SETS)).cast("int")
+    rows = rows.join(size.select("family", blocks.alias("blocks")), "family").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("left"), F.greatest("block", o).alias("right")))
+    dealt = rows.select("family", "sig", "band", "need", "id", "component", "block", F.explode(others).alias("of"))
+    dealt = dealt.select("family", F.col("of.left").alias("left"), F.col("of.right").alias("right"), "sig", "band", "need", "id", "component", "block")
+    return dealt.groupBy("family", "left", "right").applyInArrow(_count_pairs, "a long, b long")
+
+
 def jaccard_classes(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(members, links): members has a row per row of docs: key, n_shingles, set_id (of its class of equal sets; null
     when empty), component_id (the smallest key reachable by links, its own included). links: a, b: class ids that
@@ -272,15 +322,12 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT, words: int = WORDS,
     links = written(spark, verify(first, sets, percent), "links")
     labels = components(links)
 
-    # buckets that still hold several components: pairs across them
+    # buckets that still hold several components: pairs across them, counted family by family
     named = alive.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_ = named.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("sig")
+    open_ = named.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("id").alias("lead")).where("lo <> hi").select("sig", "lead")
     rest = written(spark, named.join(open_, "sig"), "rest")
-    x = rest.select("sig", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("need").alias("na"), "band")
-    y = rest.select("sig", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("need").alias("nb"))
-    across = x.join(y, "sig").where("a < b and ca <> cb")
-    # a pair is sure of as many common signatures as the more demanding of both needs
-    second = across.groupBy("band", "a", "b").agg(F.count(F.lit(1)).alias("c"), F.max(F.greatest("na", "nb")).alias("need")).where("c >= need").select("a", "b").distinct()
+    families = components(rest.select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct())
+    second = written(spark, _across(rest, families), "pairs").distinct()
     links = links.unionByName(written(spark, verify(second, sets, percent), "links"))
     labels = components(links)
 

@@ -34,7 +34,7 @@ def variant_index(terms: DataFrame) -> DataFrame:
 
 def _found(variant: Column, norm: Column) -> Column:
     """As whole words, or from eight letters on anywhere."""
-    return norm.rlike(F.concat(F.lit(r"(?:^|\s)"), _quoted(variant), F.lit(r"(?:\s|$)"))) | ((F.length(variant) >= 8) & F.contains(norm, variant))
+    return F.rlike(norm, F.concat(F.lit(r"(?:^|\s)"), _quoted(variant), F.lit(r"(?:\s|$)"))) | ((F.length(variant) >= 8) & F.contains(norm, variant))
 
 
 def mention_score(norm: Column, last: Column, first: Column, is_short: Column, variants: Column, same_surname: Column) -> Column:
@@ -45,9 +45,9 @@ def mention_score(norm: Column, last: Column, first: Column, is_short: Column, v
     return (
         F.when(F.exists(variants, lambda v: (F.length(v) >= 5) & _found(v, norm)), 0.95)
         .when((F.length(first) >= 3) & (at_last > 0) & (at_first > 0) & (F.abs(at_last - at_first) <= 30), 0.85)
-        .when((first != "") & norm.rlike(initial), 0.75)
+        .when((first != "") & F.rlike(norm, initial), 0.75)
         .when(~is_short & (last != "") & F.contains(norm, last), F.when(same_surname == 1, 0.60).otherwise(0.30))
-        .when(is_short & (first != "") & norm.rlike(whole) & F.contains(norm, first), 0.70)
+        .when(is_short & (first != "") & F.rlike(norm, whole) & F.contains(norm, first), 0.70)
         .otherwise(0.0)
     )
 

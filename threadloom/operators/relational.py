@@ -50,7 +50,7 @@ def mentions(posts: DataFrame, entities: DataFrame, campus: str | None = L.DEFAU
     """Posts with an entity whose name is plausible, of one campus or all, newest first."""
     e = entities.select(F.col("id").alias("professor_id"), "last_name", "first_name")
     e = e.where(plausible_name(F.col("last_name"), F.col("first_name")))
-    p = posts.where("professor_id is not null")
+    p = posts.where("professor_id is not null").select("post_id", "title", "campus", "course", "professor_id", "created_utc")
     p = p if campus is None else p.where(campus_is(campus))
     return p.join(e, "professor_id").select("post_id", "title", "campus", "course", "professor_id", "last_name", "first_name", "created_utc").orderBy(F.desc("created_utc"), "post_id")
 

@@ -91,7 +91,7 @@ def review_rows(posts: DataFrame, comments: DataFrame, entities: DataFrame, rost
     """(rows, unresolved): a row for each review text of a post with an entity, and the distinct names that the roster
     doesn't settle, of posts without any text too. Names are matched without courses or campus, once each."""
     e = entities.where(F.coalesce("last_name", F.lit("")) != "").select(F.col("id").alias("professor_id"), F.col("last_name").alias("last"), F.coalesce("first_name", F.lit("")).alias("first"))
-    linked = posts.join(e, "professor_id")
+    linked = posts.select("post_id", "course", "professor_id", "selftext", "is_review", "created_utc").join(e, "professor_id")
     name = F.when(F.col("first") != "", display_name(F.col("last"), F.col("first"))).otherwise(F.col("last"))
     status, person, teacher = F.lit("unchecked"), F.col("name"), F.lit(None).cast("string")
     linked = linked.withColumn("name", name)

@@ -329,7 +329,7 @@ def cleanup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def roster_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """roster, section, section_instructor, course: lines are sections, suppliers teach, parts are courses."""
-    l = read(spark, sf_dir, "lineitem").select(F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("section_id"), (F.col("l_partkey") % 40).alias("course_id"), F.col("l_suppkey").cast("string").alias("instructor_id"), (F.col("l_orderkey") % 9).alias("u"))
+    l = read(spark, sf_dir, "lineitem").select(F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("section_id"), (F.col("l_partkey") % 40).alias("course_id"), F.col("l_suppkey").cast("string").alias("instructor_id"), (F.col("l_orderkey") % 9).alias("u"))
     home = F.split(F.lit("upd uplb upm upou upv upmin upb upc upt"), " ")
     section = l.select("section_id", "course_id", F.get(home, F.col("u").cast("int")).alias("university_id"))
     course = spark.range(40).select(F.col("id").alias("course_id"), F.concat(F.get(F.split(F.lit("Math|Eng|PHYSICS|Fil|Soc Sci"), r"\|"), (F.col("id") % 5).cast("int")), F.lit(" "), F.col("id").cast("string")).alias("course_code"))
