@@ -12,7 +12,7 @@ import numpy as np
 
 U = np.uint64
 #: Bytes handled at once; a longer text is handled alone.
-CHUNK = 8 << 20
+CHUNK = 2 << 20
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = 0x9E3779B97F4A7C15
