@@ -343,7 +343,8 @@ def with_starts(rows: DataFrame, manifest: DataFrame) -> DataFrame:
     which has a row a shard, not over documents."""
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     base = manifest.select("shard", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
-    return rows.join(base, "shard").select("*", (F.col("base") + F.col("ids_offset")).alias("start"))
+    # a row a shard: no more than the shuffle partitions that they were written from
+    return rows.join(F.broadcast(base), "shard").select("*", (F.col("base") + F.col("ids_offset")).alias("start"))
 
 
 def round_trip(docs: DataFrame, tokenizer: str, folder: str, end_id: int | None, key: str = "doc_id", text: str = "text") -> DataFrame:
