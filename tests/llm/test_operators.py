@@ -62,6 +62,21 @@ def test_signatures_lose_no_link():
             assert any(len(x[i][1] & y[i][1]) >= max(x[i][0], y[i][0]) for i in x.keys() & y.keys())
 
 
+def test_count_pairs_of_very_long_sets():
+    import pyarrow as pa
+
+    rng, scheme = np.random.default_rng(6), ngram_join.PartEnum(80)
+    a = np.unique(rng.integers(0, 1 << 64, 230_000, np.uint64))
+    b = np.sort(np.concatenate([a[rng.random(len(a)) > 0.02], rng.integers(0, 1 << 64, 4_000, np.uint64)]))
+    rows = [(i, *sig) for i, s in enumerate((a, b)) for sig in scheme.signatures(s)]
+    shared = {band: len(np.intersect1d(x, y)) for i, band, _, x in rows for j, other, _, y in rows if i < j and band == other}
+    assert max(shared.values()) > 65_535 and all(n - 65_536 < max(need for _, x, need, _ in rows if x == band) for band, n in shared.items())
+    columns = {"sig": np.concatenate([s for *_, s in rows]).astype(np.int64)}
+    columns |= {c: np.concatenate([np.full(len(r[3]), v(r), t) for r in rows]) for c, v, t in (("band", lambda r: r[1], np.int32), ("need", lambda r: r[2], np.int32), ("id", lambda r: r[0], np.int64), ("component", lambda r: r[0], np.int64), ("block", lambda r: 0, np.int32))}
+    got = ngram_join._count_pairs(tuple(pa.scalar(0) for _ in range(3)), pa.table(columns)).to_pylist()
+    assert {"a": 0, "b": 1} in got
+
+
 def test_url_filter(spark):
     urls = ["https://A.Example.NET/en/x", "http://example.net/de/", "http://net", "https://x.org/fr/1?q#f", "ftp://example.com/de/a", "none", None, "", "http://badnet/", "http://example.net/en/x"]
     pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)], "page_id long, url string, host string")

@@ -258,7 +258,8 @@ def _count_pairs(key, table):
         need, component, block = (col[c][on][first] for c in ("need", "component", "block"))
         order = np.argsort(col["sig"][on], kind="stable")
         sig, who = col["sig"][on][order], who[order]
-        count = np.zeros((len(ids), len(ids)), np.uint16)
+        # sets of more than 224,325 shingles can share more than 65,535 signatures
+        count = np.zeros((len(ids), len(ids)), np.uint32)
         cuts = np.flatnonzero(np.diff(sig, prepend=~sig[:1], append=~sig[-1:]))
         for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             if j - i > 1:
