@@ -98,6 +98,14 @@ def test_reply_tree_drops_deleted_with_replies(spark):
     assert sorted((r.id, r.depth) for r in rows) == [("a", 0.0), ("b", 1.0)]
 
 
+def test_reply_tree_of_many_levels(spark):
+    depth, tree = 60, '""'
+    for d in reversed(range(depth)):
+        tree = f'{{"data":{{"children":[{{"kind":"t1","data":{{"id":"c{d}","parent_id":"t3_p","body":"b","score":{d},"replies":{tree}}}}}]}}}}'
+    rows = raw.flatten_replies(spark.createDataFrame([("p", tree), ("q", None), ("r", "{")], "post_id string, tree string")).collect()
+    assert sorted((int(r.depth), r.id, r.score, r.post_id) for r in rows) == [(d, f"c{d}", float(d), "p") for d in range(depth)]
+
+
 def test_fallback(spark):
     empty, one = spark.createDataFrame([], "id string"), spark.createDataFrame([("x",)], "id string")
     assert [(r.id, r.source) for r in fallback.first_with_rows(fallback.ranked([("json", empty), ("archive", one), ("rss", one)])).collect()] == [("x", "archive")]

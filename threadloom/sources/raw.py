@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +21,7 @@ ITEM = T.StructType(
 ENVELOPE = T.StructType([T.StructField("data", T.StructType([T.StructField("after", _S), T.StructField("children", T.ArrayType(T.StructType([T.StructField("kind", _S), T.StructField("data", ITEM)])))]))])
 COMMENT = T.StructType([T.StructField(c, _S) for c in ("id", "parent_id", "author", "body")] + [T.StructField(c, _N) for c in ("score", "created_utc", "depth")])
 #: Archive limits (fixed values).
-MOST_POSTS, MOST_COMMENTS, MOST_REPLIES_DEPTH = 50_000, 5_000, 10
+MOST_POSTS, MOST_COMMENTS = 50_000, 5_000
 
 
 def read_listings(spark: SparkSession, path: str) -> DataFrame:
@@ -67,29 +69,62 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_reply_trees(spark: SparkSession, path: str, depth: int = MOST_REPLIES_DEPTH) -> DataFrame:
-    """Comments of thread files: JSON lines with post_id and tree (the nested listing of replies as text).
-
-    Levels are unfolded one after the other, at most `depth` of them. A deleted comment goes with its replies.
-    """
-    rows = spark.read.schema("post_id string, tree string").json(path)
-    return flatten_replies(rows, depth)
-
-
-def flatten_replies(rows: DataFrame, depth: int = MOST_REPLIES_DEPTH) -> DataFrame:
-    """rows: post_id, tree. COMMENT fields and post_id. Each level is parsed with `replies` left as text, so one
-    schema serves any depth and rows stay flat."""
-    node = "struct<kind:string,data:struct<id:string,parent_id:string,author:string,body:string,score:double,created_utc:double,replies:string>>"
-    level, found = rows.select("post_id", F.col("tree").alias("t")), []
-    for d in range(depth):
-        nodes = level.select("post_id", F.explode(F.from_json("t", f"struct<data:struct<children:array<{node}>>>")["data"]["children"]).alias("n"))
-        nodes = nodes.where("n.kind = 't1'").select("post_id", "n.data.*").where(~F.coalesce("body", F.lit("")).isin(L.DELETED))
-        found.append(nodes.select("post_id", "id", "parent_id", "author", "body", "score", "created_utc", F.lit(float(d)).alias("depth")))
-        level = nodes.where("replies like '{%'").select("post_id", F.col("replies").alias("t"))
-    out = found[0]
-    for x in found[1:]:
-        out = out.unionByName(x)
-    return out
+def read_reply_trees(spark: SparkSession, path: str) -> DataFrame:
+    """Comments of thread files: JSON lines with post_id and tree (the nested listing of replies as text). A deleted
+    comment goes with its replies."""
+    return flatten_replies(spark.read.schema("post_id string, tree string").json(path))
+
+
+def _walk(batches):
+    """Rows of post_id and tree to comments, level by level to the last one."""
+    import pyarrow as pa
+
+    kind = pa.schema([("post_id", pa.string()), *[(c, pa.string()) for c in ("id", "parent_id", "author", "body")], *[(c, pa.float64()) for c in ("score", "created_utc", "depth")]])
+    for batch in batches:
+        found: list[dict] = []
+        for post, tree in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            level, depth = [_parse(tree)], 0.0
+            while level:
+                below = []
+                for listing in level:
+                    for d in _comments(listing):
+                        found.append({"post_id": post, **{c: _text(d.get(c)) for c in ("id", "parent_id", "author", "body")}, **{c: _number(d.get(c)) for c in ("score", "created_utc")}, "depth": depth})
+                        below.append(d.get("replies"))
+                level, depth = [x for x in below if isinstance(x, dict)], depth + 1
+                if len(found) >= 4096:
+                    yield pa.RecordBatch.from_pylist(found, schema=kind)
+                    found = []
+        yield pa.RecordBatch.from_pylist(found, schema=kind)
+
+
+def _parse(tree: str | None):
+    """None where the text is no JSON. json raises RecursionError on nesting it can't hold, which is thousands deep."""
+    try:
+        return json.loads(tree or "null")
+    except ValueError:
+        return None
+
+
+def _comments(listing) -> list[dict]:
+    """The comments of a listing, without deleted ones."""
+    data = listing.get("data") if isinstance(listing, dict) else None
+    children = (data.get("children") if isinstance(data, dict) else None) or []
+    nodes = [n.get("data") for n in children if isinstance(n, dict) and n.get("kind") == "t1"]
+    return [d for d in nodes if isinstance(d, dict) and (_text(d.get("body")) or "") not in L.DELETED]
+
+
+def _text(x) -> str | None:
+    return x if x is None or isinstance(x, str) else json.dumps(x)
+
+
+def _number(x) -> float | None:
+    return float(x) if isinstance(x, (int, float)) and not isinstance(x, bool) else None
+
+
+def flatten_replies(rows: DataFrame) -> DataFrame:
+    """rows: post_id, tree. COMMENT fields and post_id, of every level."""
+    kind = "post_id string, id string, parent_id string, author string, body string, score double, created_utc double, depth double"
+    return rows.select(F.col("post_id").cast("string"), F.col("tree").cast("string")).mapInArrow(_walk, kind)
 
 
 def _author(c: str = "author") -> Column:
