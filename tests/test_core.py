@@ -8,6 +8,7 @@ from threadloom.functions import classify, text
 from threadloom.functions.titles import parse_titles
 from threadloom.operators import dedupe, match, report
 from threadloom.sources import fallback, raw, store
+from threadloom.streaming import ingest
 
 TITLES = {
     "[UPD] Math 21 - REDELICIA, ROMEO JOSHUA": ("UPD", "Math 21", "Redelicia", "Romeo Joshua"),
@@ -106,6 +107,18 @@ def test_reply_tree_of_many_levels(spark):
     assert sorted((int(r.depth), r.id, r.score, r.post_id) for r in rows) == [(d, f"c{d}", float(d), "p") for d in range(depth)]
 
 
+def test_stream_keeps_older_items(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    day, seen = 86_400, f"file://{tmp_path}/seen"
+    pages = [[("a", 900 * day), ("b", 899 * day), ("a", 900 * day)], [("c", 3 * day), ("b", 899 * day), ("d", 800 * day)], [("e", 1), ("c", 3 * day)]]
+    for n, page in enumerate(pages):
+        (tmp_path / f"in/{n}.json").write_text("\n".join(json.dumps({"id": i, "title": "t", "created_utc": at}) for i, at in page))
+        items = ingest.distinct_items(ingest.item_stream(spark, f"file://{tmp_path}/in"))
+        q = items.writeStream.format("parquet").option("path", f"file://{tmp_path}/out").option("checkpointLocation", seen).trigger(availableNow=True).start()
+        q.awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(f"file://{tmp_path}/out").collect()) == ["a", "b", "c", "d", "e"]
+
+
 def test_fallback(spark):
     empty, one = spark.createDataFrame([], "id string"), spark.createDataFrame([("x",)], "id string")
     assert [(r.id, r.source) for r in fallback.first_with_rows(fallback.ranked([("json", empty), ("archive", one), ("rss", one)])).collect()] == [("x", "archive")]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from threadloom.operators.relational import comment_gaps, listable
 from threadloom.sources.raw import ITEM, entities_from_posts, posts_from_raw
@@ -15,10 +14,10 @@ def item_stream(spark: SparkSession, folder: str) -> DataFrame:
     return spark.readStream.schema(ITEM).json(folder)
 
 
-def distinct_items(items: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """Each id once, however many pages hold it; state is dropped behind the watermark."""
-    timed = items.withColumn("at", F.timestamp_seconds("created_utc")).withWatermark("at", lateness)
-    return timed.dropDuplicatesWithinWatermark(["id"])
+def distinct_items(items: DataFrame) -> DataFrame:
+    """Each id once, however many pages hold it. Pages come newest first and backfills reach years back, so there is no
+    watermark: no item is too late, and the state is the ids seen."""
+    return items.dropDuplicates(["id"])
 
 
 def merge_stream(items: DataFrame, store: Store, checkpoint: str, resume: bool = True):
