@@ -1,9 +1,11 @@
 """Golden cases of titles, names, classification, match, cleanup and the store."""
 
+import argparse
 import json
 
 from pyspark.sql import functions as F
 
+from threadloom import cli
 from threadloom.functions import classify, text
 from threadloom.functions.titles import parse_titles
 from threadloom.operators import dedupe, match, report
@@ -107,6 +109,25 @@ def test_reply_tree_of_many_levels(spark):
     assert sorted((int(r.depth), r.id, r.score, r.post_id) for r in rows) == [(d, f"c{d}", float(d), "p") for d in range(depth)]
 
 
+def test_cli_loads_comments(spark, tmp_path):
+    for name in ("json", "threads", "comments"):
+        (tmp_path / f"raw/{name}").mkdir(parents=True)
+    items = [{"id": i, "title": "[UPD] Math 21 - Cruz, Juan", "num_comments": 2, "created_utc": n} for n, i in enumerate("pqr")]
+    (tmp_path / "raw/json/a.json").write_text(json.dumps({"data": {"children": [{"kind": "t3", "data": x} for x in items]}}))
+    reply = lambda i, *kids: {"kind": "t1", "data": {"id": i, "parent_id": "t3_p", "body": "b", "replies": {"data": {"children": list(kids)}} if kids else ""}}
+    (tmp_path / "raw/threads/a.json").write_text(json.dumps({"post_id": "p", "tree": json.dumps({"data": {"children": [reply("a", reply("b"))]}})}))
+    flat = [{"id": "x", "post_id": "p", "body": "not used, p has a tree"}, {"id": "c", "link_id": "t3_q", "body": "b"}, {"id": "d", "post_id": "q", "body": "[deleted]"}, {"id": "e", "post_id": "other", "body": "b"}]
+    (tmp_path / "raw/comments/a.json").write_text("\n".join(map(json.dumps, flat)))
+    a = argparse.Namespace(raw=f"file://{tmp_path}/raw", sort="new", limit=0, comments=0, query=None, archive=False, resume=False, after=None, before=None)
+    s = store.Store(spark, f"file://{tmp_path}/store")
+    assert cli.ingest(spark, s, a) == 0
+    stored = lambda: sorted((r.post_id, r.comment_id, r.depth) for r in s.read("comments").collect())
+    assert stored() == [("p", "a", 0), ("p", "b", 1), ("q", "c", 0)]
+    (tmp_path / "raw/comments/b.json").write_text(json.dumps({"id": "f", "post_id": "r", "body": "late"}))
+    cli.enrich(spark, s, argparse.Namespace(raw=a.raw, limit=50, archive=False))
+    assert stored() == [("p", "a", 0), ("p", "b", 1), ("q", "c", 0), ("r", "f", 0)]
+
+
 def test_stream_keeps_older_items(spark, tmp_path):
     (tmp_path / "in").mkdir()
     day, seen = 86_400, f"file://{tmp_path}/seen"

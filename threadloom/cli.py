@@ -27,6 +27,11 @@ def scaled_passes(scale: float) -> list[tuple[str, str | None, int, int]]:
     return [(sort, q, max(1, int(posts * s)), max(0, int(comments * s))) for sort, q, posts, comments in PASSES]
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _sources(spark: SparkSession, folder: str, a: argparse.Namespace) -> list[tuple[str, DataFrame]]:
     """The raw files of a folder, in the order of fallback: json/, archive/ and rss/ below it."""
     readers: dict[str, Callable[[], DataFrame]] = {
@@ -34,10 +39,29 @@ def _sources(spark: SparkSession, folder: str, a: argparse.Namespace) -> list[tu
         "archive": lambda: raw.read_archive_posts(spark, f"{folder}/archive", a.after, a.before, a.sort, a.limit),
         "rss": lambda: raw.read_feed(spark, f"{folder}/rss"),
     }
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    path = lambda s: jvm.org.apache.hadoop.fs.Path(f"{folder}/{s}")
     order = fallback.source_order(a.after is not None or a.before is not None, False, a.query, a.archive)
-    return [(s, readers[s]()) for s in order if path(s).getFileSystem(conf).exists(path(s))]
+    return [(s, readers[s]()) for s in order if _exists(spark, f"{folder}/{s}")]
+
+
+def load_comments(spark: SparkSession, store: Store, folder: str, posts: DataFrame, archive: bool) -> int:
+    """Merges the comments of these posts (post_id) from the raw files: reply trees in threads/, and an archive's flat
+    rows in comments/. For each post the first that has any is used: threads, or with `archive` the archive."""
+    readers: dict[str, Callable[[], DataFrame]] = {
+        "threads": lambda: raw.read_reply_trees(spark, f"{folder}/threads"),
+        "comments": lambda: raw.read_archive_comments(spark, f"{folder}/comments"),
+    }
+    order = ["comments", "threads"] if archive else ["threads", "comments"]
+    found = [(s, readers[s]()) for s in order if _exists(spark, f"{folder}/{s}")]
+    if not found:
+        return 0
+    wanted = relational.short_ids(posts, 0).select("post_id").distinct()
+    rows = fallback.first_per_key(fallback.ranked([(s, df.join(wanted, "post_id", "left_semi")) for s, df in found]), "post_id")
+    comments = raw.comments_from_raw(rows).persist()
+    n = comments.select("comment_id").distinct().count()
+    if n:
+        store.merge(comments=comments)
+    comments.unpersist()
+    return n
 
 
 def ingest(spark: SparkSession, store: Store, a: argparse.Namespace) -> int:
@@ -53,11 +77,21 @@ def ingest(spark: SparkSession, store: Store, a: argparse.Namespace) -> int:
     n = posts.count()
     if n:
         store.merge(posts=posts, entities=raw.entities_from_posts(posts))
+        got = load_comments(spark, store, a.raw, posts.limit(a.comments) if a.comments else posts, a.archive)
     posts.unpersist()
-    print(f"{n} posts")
+    print(f"{n} posts, {got if n else 0} comments")
     return 0 if n or a.query or a.resume else 2
 
 
+def enrich(spark: SparkSession, store: Store, a: argparse.Namespace) -> None:
+    """Comments of the posts that have fewer stored than they claim, widest gap first."""
+    gaps = relational.comment_gaps(store.read("posts"), store.read("comments"), a.limit).persist()
+    gaps.show(40, 60)
+    if a.raw:
+        print(f"{load_comments(spark, store, a.raw, gaps, a.archive)} comments")
+    gaps.unpersist()
+
+
 def reparse(store: Store, everything: bool) -> None:
     posts = store.read("posts")
     again = posts if everything else posts.where("professor_id is null")
@@ -91,6 +125,7 @@ def main(argv: list[str] | None = None) -> int:
         c.add_argument("--raw", required=True)
         c.add_argument("--sort", default="new", choices=["new", "hot", "top", "rising"])
         c.add_argument("--limit", type=int, default=0)
+        c.add_argument("--comments", type=int, default=0)
         c.add_argument("--query")
         c.add_argument("--archive", action="store_true")
         c.add_argument("--resume", action="store_true")
@@ -98,7 +133,10 @@ def main(argv: list[str] | None = None) -> int:
         c.add_argument("--before", type=float)
         c.add_argument("--scale", type=float, default=1.0)
     sub.add_parser("reparse").add_argument("--all", action="store_true", dest="everything")
-    sub.add_parser("enrich").add_argument("--limit", type=int, default=50)
+    c = sub.add_parser("enrich")
+    c.add_argument("--raw")
+    c.add_argument("--limit", type=int, default=50)
+    c.add_argument("--archive", action="store_true")
     for name in ("export", "match", "resolve-report"):
         c = sub.add_parser(name)
         c.add_argument("--roster")
@@ -117,12 +155,12 @@ def main(argv: list[str] | None = None) -> int:
         if a.command == "scrape":
             return ingest(spark, store, a)
         if a.command == "scrape-all":
-            codes = [ingest(spark, store, argparse.Namespace(**vars(a) | {"sort": sort, "query": q, "limit": posts, "resume": True})) for sort, q, posts, _ in scaled_passes(a.scale)]
+            codes = [ingest(spark, store, argparse.Namespace(**vars(a) | {"sort": sort, "query": q, "limit": posts, "comments": comments, "resume": True})) for sort, q, posts, comments in scaled_passes(a.scale)]
             return max(codes)
         if a.command == "reparse":
             reparse(store, a.everything)
         elif a.command == "enrich":
-            relational.comment_gaps(store.read("posts"), store.read("comments"), a.limit).show(40, 60)
+            enrich(spark, store, a)
         elif a.command == "export":
             export(spark, store, a)
         elif a.command == "stats":

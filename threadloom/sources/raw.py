@@ -43,6 +43,13 @@ def read_archive_posts(spark: SparkSession, path: str, after: float | None = Non
     return rows.orderBy(*order).limit(min(limit or MOST_POSTS, MOST_POSTS))
 
 
+def read_archive_comments(spark: SparkSession, path: str) -> DataFrame:
+    """Comments of an archive's flat JSON lines; the post is named by post_id, or by link_id (t3_ and the id)."""
+    kind = T.StructType([*COMMENT.fields, T.StructField("post_id", _S), T.StructField("link_id", _S)])
+    rows = spark.read.schema(kind).json(path)
+    return archive_comments(rows.withColumn("post_id", F.coalesce("post_id", F.regexp_replace("link_id", "^t3_", ""))).drop("link_id"))
+
+
 def archive_comments(rows: DataFrame) -> DataFrame:
     """rows: COMMENT and post_id. Distinct by id, without deleted or empty bodies, depth 0 for replies to the post."""
     r = rows.dropDuplicates(["post_id", "id"]).where(~F.coalesce("body", F.lit("")).isin(L.DELETED))
