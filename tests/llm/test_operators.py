@@ -148,6 +148,16 @@ def test_toxicity():
     assert toxicity.Scorer(toxicity.fit([])).scores(["x"])[0] < 0.3
 
 
+def test_toxicity_of_spaced_words():
+    rng = random.Random(1)
+    words = ["".join(rng.choices("bcfghlmnprsuvz", k=rng.randint(3, 9))) for _ in range(400)]
+    clean = lambda: " ".join(rng.choices(words, k=40))
+    sample = [(clean() + rng.choice([" idiotas ", " грубиян "]) + clean(), 1) for _ in range(60)] + [(clean(), 0) for _ in range(120)]
+    scorer = toxicity.Scorer(toxicity.fit(sample))
+    s = scorer.scores([f"{clean()} {x} {clean()}" for x in ("1 d 1 0 7 4 5", "i d i o t @ $", "г р у б и я н", "1 0 1 0 7 4 5", "b c f g")])
+    assert all(x >= 0.3 for x in s[:3]) and all(x < 0.3 for x in s[3:])
+
+
 def test_subsequence_kernel():
     from itertools import combinations
 

@@ -38,9 +38,7 @@ MEMO = 600_000
 
 # Digits and signs that are read as letters.
 LOOKS = str.maketrans("013457@$", "oieastas")
-_SINGLES = re.compile(r"(?:(?<=\s)|^)\w(?:[\s.*_-]{1,3}\w){3,}(?=\s|$|[.,!?])")
-#: Letters by themselves; at least this many different ones before a text is searched for spaced-out words.
-_LETTERS, _DIFFERENT = frozenset(c for c in map(chr, range(0x61, 0x250)) if c.isalpha()), 3
+_SINGLES = re.compile(r"(?<!\S)[\w@$](?:[\s.*_-]{1,3}[\w@$]){3,}(?=\s|$|[.,!?])")
 _ENDS = ".,;:!?()'\"|*#"
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 _NOT_LETTER = re.compile(r"[\W\d_]+")
@@ -57,6 +55,11 @@ def normal(word: str) -> str:
     return _NOT_LETTER.sub("", word) if letters else ""
 
 
+def spaced(run: str) -> str:
+    """The letters of a run of single ones, digits and signs read as such unless it has no letter."""
+    return _NOT_LETTER.sub("", run.translate(LOOKS)) if any(map(str.isalpha, run)) else ""
+
+
 def _windows(word: str) -> list[str]:
     return [word] if len(word) <= WIDTH else [word[i : i + WIDTH] for i in range(0, len(word) - WIDTH // 2, WIDTH // 2)]
 
@@ -164,7 +167,7 @@ class Scorer:
         """Of the sentences with a word of value."""
         out = []
         for sentence in _SENTENCE.split(text):
-            words = sentence.split() + [_NOT_LETTER.sub("", x) for x in _SINGLES.findall(sentence)]
+            words = sentence.split() + [spaced(x) for x in _SINGLES.findall(sentence)]
             self.learn({w for w in words if w not in self.hit and w not in self.blank})
             if got := [self.hit[w] for w in words if w in self.hit]:
                 out.append(np.maximum.reduce(got))
@@ -179,7 +182,7 @@ class Scorer:
         self.learn(set().union(*words).difference(self.blank, self.hit) if words else set())
         out = []
         for t, w in zip(lower, words, strict=True):
-            values = self.sentence_values(t) if not self.hit.keys().isdisjoint(w) or len(w & _LETTERS) >= _DIFFERENT and _SINGLES.search(t) else []
+            values = self.sentence_values(t) if not self.hit.keys().isdisjoint(w) or _SINGLES.search(t) else []
             out.append(float(self.machine.score(self.machine.margin(np.array(values)).max())) if values else self.none)
         return out
 
