@@ -9,6 +9,7 @@ from threadloom import cli
 from threadloom.functions import classify, text
 from threadloom.functions.titles import parse_titles
 from threadloom.operators import dedupe, match, report
+from threadloom.plans import queries
 from threadloom.sources import fallback, raw, store
 from threadloom.streaming import ingest
 
@@ -109,6 +110,18 @@ def test_reply_tree_of_many_levels(spark):
     assert sorted((int(r.depth), r.id, r.score, r.post_id) for r in rows) == [(d, f"c{d}", float(d), "p") for d in range(depth)]
 
 
+def test_merge_queries_meet_stored_rows(spark, monkeypatch):
+    sizes, own = [], {f: getattr(store, f) for f in ("replace_by_key", "insert_absent")}
+    for f, run in own.items():
+        monkeypatch.setattr(store, f, lambda old, new, key, order, run=run: sizes.append((old.count(), old.join(new, key, "left_semi").count(), new.join(old, key, "left_anti").count())) or run(old, new, key, order))
+    e = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("user_id", "event_id", "value", "ts").collect()
+    for name, pick in (("upsert_last_wins", max), ("insert_first_wins", min)):
+        sizes.clear()
+        want = {u: pick((r.ts, r.event_id, r.value) for r in e if r.user_id == u)[1:] for u in {r.user_id for r in e}}
+        assert sorted(map(tuple, queries.QUERIES[name](spark, "/root/testdata/sf0.001").collect())) == sorted((u, *x) for u, x in want.items())
+        assert any(old > met > 0 and new > 0 for old, met, new in sizes)
+
+
 def test_cli_loads_comments(spark, tmp_path):
     for name in ("json", "threads", "comments"):
         (tmp_path / f"raw/{name}").mkdir(parents=True)
