@@ -62,19 +62,102 @@ def test_signatures_lose_no_link():
             assert any(len(x[i][1] & y[i][1]) >= max(x[i][0], y[i][0]) for i in x.keys() & y.keys())
 
 
-def test_count_pairs_of_very_long_sets():
+def unit(sets, components=None, blocks=None):
+    """The rows of a family's task."""
     import pyarrow as pa
 
-    rng, scheme = np.random.default_rng(6), ngram_join.PartEnum(80)
-    a = np.unique(rng.integers(0, 1 << 64, 230_000, np.uint64))
-    b = np.sort(np.concatenate([a[rng.random(len(a)) > 0.02], rng.integers(0, 1 << 64, 4_000, np.uint64)]))
-    rows = [(i, *sig) for i, s in enumerate((a, b)) for sig in scheme.signatures(s)]
-    shared = {band: len(np.intersect1d(x, y)) for i, band, _, x in rows for j, other, _, y in rows if i < j and band == other}
-    assert max(shared.values()) > 65_535 and all(n - 65_536 < max(need for _, x, need, _ in rows if x == band) for band, n in shared.items())
-    columns = {"sig": np.concatenate([s for *_, s in rows]).astype(np.int64)}
-    columns |= {c: np.concatenate([np.full(len(r[3]), v(r), t) for r in rows]) for c, v, t in (("band", lambda r: r[1], np.int32), ("need", lambda r: r[2], np.int32), ("id", lambda r: r[0], np.int64), ("component", lambda r: r[0], np.int64), ("block", lambda r: 0, np.int32))}
-    got = ngram_join._count_pairs(tuple(pa.scalar(0) for _ in range(3)), pa.table(columns)).to_pylist()
-    assert {"a": 0, "b": 1} in got
+    scheme, n = ngram_join.PartEnum(80), len(sets)
+    marks = [[{"sig": int(x), "band": band, "need": need} for band, need, sig in scheme.signatures(s) for x in sig.astype(np.int64)] for s in sets]
+    kind = pa.list_(pa.struct([("sig", pa.int64()), ("band", pa.int32()), ("need", pa.int32())]))
+    return pa.table({"id": list(range(n)), "component": components or list(range(n)), "block": blocks or [0] * n, "elements": [s.tobytes() for s in sets], "marks": pa.array(marks, kind)})
+
+
+def spanned(n, pairs):
+    root = list(range(n))
+    for a, b in pairs:
+        root = [root[a] if r == root[b] else r for r in root]
+    return root
+
+
+def near_sets(rng, groups=12, size=120):
+    """Groups whose sets link in chains, and sets that are near but not linked."""
+    out = []
+    for _ in range(groups):
+        base = rng.integers(0, 1 << 64, size, np.uint64)
+        for _ in range(rng.integers(2, 30)):
+            s = base.copy()
+            swap = rng.random(size) < rng.uniform(0, 0.3)
+            s[swap] = rng.integers(0, 1 << 64, int(swap.sum()), np.uint64)
+            out.append(np.unique(s))
+            if rng.random() < 0.4:
+                base = s
+    return list({s.tobytes(): s for s in out}.values())
+
+
+def true_links(sets):
+    return [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(c := np.intersect1d(sets[i], sets[j])) >= 80 * (len(sets[i]) + len(sets[j]) - len(c))]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_span_unites_what_links(seed):
+    import pyarrow as pa
+
+    sets = near_sets(np.random.default_rng(seed))
+    n, links = len(sets), true_links(sets)
+    key = lambda l, r: (pa.scalar(0), pa.scalar(l), pa.scalar(r))
+    got = [(r["a"], r["b"]) for r in ngram_join._span(80)(key(0, 0), unit(sets)).to_pylist()]
+    want = spanned(n, links)
+    assert len(got) < n and {tuple(sorted(p)) for p in got} <= {tuple(sorted(p)) for p in links}
+    classes = lambda root: {frozenset(i for i in range(n) if root[i] == r) for r in root}
+    assert classes(spanned(n, got)) == classes(want) and len(links) > len(got)
+    # in two blocks: each by itself, then one with the other
+    half = [i % 2 for i in range(n)]
+    parts = []
+    for h in (0, 1):
+        own = [i for i in range(n) if half[i] == h]
+        parts += [(own[r["a"]], own[r["b"]]) for r in ngram_join._span(80)(key(h, h), unit([sets[i] for i in own])).to_pylist()]
+    root = spanned(n, parts)
+    parts += [(r["a"], r["b"]) for r in ngram_join._span(80)(key(0, 1), unit(sets, root, half)).to_pylist()]
+    assert classes(spanned(n, parts)) == classes(want)
+
+
+def test_span_of_very_long_sets():
+    import pyarrow as pa
+
+    # two sets of 240,000 shingles that differ in five, and one that is far
+    rng = np.random.default_rng(6)
+    a = np.unique(rng.integers(0, 1 << 64, 240_000, np.uint64))
+    b = np.sort(np.concatenate([a[5:], rng.integers(0, 1 << 64, 5, np.uint64)]))
+    c = np.sort(np.concatenate([a[60_000:], rng.integers(0, 1 << 64, 60_000, np.uint64)]))
+    got = ngram_join._span(80)((pa.scalar(0), pa.scalar(0), pa.scalar(0)), unit([a, b, c])).to_pylist()
+    assert [{r["a"], r["b"]} for r in got] == [{0, 1}]
+
+
+def test_ngram_join_by_blocks(spark, monkeypatch):
+    """Chains, near sets that don't link, copies, families of many blocks and several rounds of leaders."""
+    for name, value in (("BLOCK_SETS", 7), ("BLOCK_ELEMENTS", 2_000), ("MANY_BLOCKS", 2), ("HELD", 500)):
+        monkeypatch.setattr(ngram_join, name, value)
+    rng = np.random.default_rng(9)
+    sets = near_sets(rng, groups=4, size=60)
+    texts = [" ".join(f"w{x % 100_000}" for x in rng.permutation(s)[:60]) for s in sets]
+    base = texts[0].split()
+    for i in range(40):  # texts that link in chains
+        base = base[:]
+        base[rng.integers(0, len(base))] = f"y{i}"
+        texts.append(" ".join(base))
+    texts += texts[:20]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (None, "alone in the world of words"), (3, "a key that comes twice, with another text")]
+    members, links = ngram_join.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    got = members.collect()
+    shingled = []
+    for _, t in rows:
+        w = WORD.findall(t.lower())
+        shingled.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    root = spanned(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if 100 * len(shingled[i] & shingled[j]) >= 80 * len(shingled[i] | shingled[j])])
+    least = {r: min((rows[i][0] for i in range(len(rows)) if root[i] == r and rows[i][0] is not None), default=None) for r in root}
+    want = sorted(((k, len(s), least[r]) for (k, _), s, r in zip(rows, shingled, root, strict=True)), key=str)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == want
+    assert links.count() < len(rows) * 4
 
 
 def test_url_filter(spark):

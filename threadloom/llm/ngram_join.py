@@ -6,23 +6,25 @@ start; what follows is about different sets.
 Signatures. Sizes are cut into bands so that linked sets lie in the same band or in neighbours. For each band there
 is an instance, which a set joins if a linked partner could have its greater size there. With r the band's largest
 size, linked sets differ in at most k = (100 - percent) 2r / (100 + percent) elements. An instance partitions the
-hash domain into n1 parts of n2 pieces each and enumerates, in every part, the subsets of n2 - k2 pieces; a signature
-is a hash of the elements in one subset, of the subset and of the instance. Small k: one part of k + 3 pieces,
-subsets of two. Larger k: halves of parts, somewhat more of them than k asks for. In either case linked sets share at
-least `need` signatures, and where `need` is above one, documents with fewer signatures that any other set has are
-out at once: that removes those that share only a passage. Subsets that are empty make no signature; an instance in
-which this could cost a set its last shared one keeps them (see `signatures`).
+hash domain twice: into n1 parts, and each part into n2 pieces; a signature is a hash of the elements in one of the
+subsets of n2 - k2 pieces that are enumerated in every part, of the subset and of the instance. Small k: n1 = 1,
+n2 = k + 3, subsets of two. Larger k: k2 = 1, n2 = 3, subsets of two pieces of three, and somewhat more parts than
+the k // 2 + 1 of which one must hold at most one difference. In either case linked sets share at least `need`
+signatures, and documents with fewer than any other set has are out at once. Subsets that are empty make no
+signature; an instance in which this could cost a set its last shared one keeps them (see `signatures`).
 
 Buckets. Signatures travel packed, some 12 bytes each, by hash to parts of bounded size; only those that two sets share
 come out as rows. Linking needs no pair twice: first each set is checked against the set that leads most of its
-buckets; then components are formed; then, for buckets that still hold several components, pairs of sets from
-different ones are counted, in tasks of bounded size, and those that share `need` signatures are checked. So within a
-group of linked copies no pairs are handed on, and no link between different components is lost. Checks count the exact intersection.
+buckets; then components are formed. Buckets that still hold several components tie their sets into families, and a
+family's sets go to one task, with their elements and signatures. There sets that share `need` signatures and are in
+different components are checked, and a link unites them at once, so a task hands on at most one link less than it
+has sets, never pairs. A family too large for a task is cut into blocks: first each block by itself, then, where a
+family still holds several components, each pair of blocks. A family of very many blocks gets further rounds of
+leaders first. No link between different components is lost. Checks count the exact intersection.
 """
 
 from __future__ import annotations
 
-import math
 from functools import lru_cache
 from itertools import combinations
 
@@ -38,8 +40,8 @@ from threadloom.llm.shingles import U, mix
 PERCENT, WORDS = 80, 5
 #: Bytes of text for one part of the signatures: about two million signatures, so some 100 MB in its task.
 PART_BYTES = 24 << 20
-#: From this k on, halves of parts.
-HALVES_FROM = 5
+#: From this k on, an instance has several parts, of three pieces each.
+PARTS_FROM = 9
 
 
 class PartEnum:
@@ -70,18 +72,23 @@ class PartEnum:
         return (100 - self.percent) * 2 * self.last[band] // (100 + self.percent)
 
     @lru_cache(maxsize=4096)  # noqa: B019
-    def scheme(self, band: int) -> tuple[int, int, list[tuple[int, ...]], np.ndarray]:
-        """k, pieces, subsets of pieces, lower bounds of pieces."""
+    def scheme(self, band: int) -> tuple[int, int, np.ndarray, np.ndarray]:
+        """k, parts, subsets (pairs of pieces; all subsets of a part's), lower bounds of pieces."""
         k = self.differ(band)
-        if k < HALVES_FROM:
-            pieces = k + 3
-            subsets = list(combinations(range(pieces), 2))
-        else:
-            slack = 0.4 if k < 120 else 0.25
-            pieces = 2 * math.ceil((k + 1) * (1 + slack) / 2)
-            subsets = [(i,) for i in range(pieces)]
-        bounds = (np.arange(1, pieces, dtype=object) * (1 << 64) // pieces).astype(np.uint64)
-        return k, pieces, subsets, bounds
+        parts, pieces = (1, k + 3) if k < PARTS_FROM else (k // 2 + 2 + k // 40, 3)
+        pairs = np.array(list(combinations(range(pieces), 2)))
+        subsets = (pairs[None] + pieces * np.arange(parts)[:, None, None]).reshape(-1, 2)
+        bounds = (np.arange(1, parts * pieces, dtype=object) * (1 << 64) // (parts * pieces)).astype(np.uint64)
+        return k, parts, subsets, bounds
+
+    @staticmethod
+    def sure(parts: int, pieces: int, differ: int) -> int:
+        """How many subsets are equal in two sets that differ in so many elements, at least. One part: every two of
+        the pieces that agree. Parts of three pieces: a first difference in a part costs two of its three subsets, a
+        second the third; so it is least when the differences are spread."""
+        if parts == 1:
+            return (pieces - differ) * (pieces - differ - 1) // 2
+        return 3 * parts - 2 * differ if differ <= parts else 2 * parts - differ
 
     def signatures(self, s: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
         """(instance, need, signatures) of one sorted set.
@@ -97,18 +104,15 @@ class PartEnum:
         np.cumsum(mix(s + U(0x632BE59BD9B4E019)), out=total[1:])
         out = []
         for band in self.instances(len(s)):
-            k, pieces, subsets, bounds = self.scheme(band)
+            k, parts, subsets, bounds = self.scheme(band)
             if k == 0:
                 continue  # only equal sets link
-            # a partner is no larger than the band and the similarity allow, so these two differ in less than k
+            # a partner is no larger than the band and the similarity allow, so these two may differ in less than k
             most = min(self.last[band], 100 * len(s) // self.percent)
-            agree = pieces - (100 - self.percent) * (len(s) + most) // (100 + self.percent)
-            need = agree if len(subsets[0]) == 1 else agree * (agree - 1) // 2
+            need = self.sure(parts, len(bounds) + 1, (100 - self.percent) * (len(s) + most) // (100 + self.percent))
             cut = np.concatenate(([0], np.searchsorted(s, bounds), [len(s)]))
             sums, sizes = total[cut[1:]] - total[cut[:-1]], np.diff(cut)
-            if len(subsets[0]) == 2:
-                pick = np.array(subsets)
-                sums, sizes = sums[pick[:, 0]] + mix(sums[pick[:, 1]] + U(1)), sizes[pick].sum(1)
+            sums, sizes = sums[subsets[:, 0]] + mix(sums[subsets[:, 1]] + U(1)), sizes[subsets].sum(1)
             tags, empty = np.arange(len(subsets), dtype=np.uint64), sizes == 0
             if need - int(empty.sum()) >= 1:
                 sums, tags, need = sums[~empty], tags[~empty], need - int(empty.sum())
@@ -164,45 +168,68 @@ def _sign(percent: int, words: int, parts: int):
     return run
 
 
+#: Signatures that a part holds before those known to be shared are handed on.
+HELD = 4_000_000
+
+
 def _gather(batches):
-    """A part's rows: documents (sig null), and the signatures that several sets have, with their sets."""
+    """A part's rows: documents (sig null), and the signatures that several sets have, with their sets.
+
+    Whenever HELD signatures are held, the shared ones are handed on and one of each stays, marked as handed on; so
+    memory follows the distinct signatures of a part, however many sets have one. A set whose copies come after such
+    a flush may be handed on again, which only makes it look likelier.
+    """
     import pyarrow as pa
 
-    kept: dict[int, list] = {}
     names = ["sig", "band", "need", "id", "k", "n"]
+    new: dict[int, list] = {}
+    held: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+    count: dict[int, int] = {}
+
+    def settle(p: int):
+        """(sig, head) to hand on; the rest, and one of each signature handed on, is held."""
+        sig, head, sent = held.pop(p, (np.zeros(0, np.uint64), np.zeros((0, 3), np.int64), np.zeros(0, bool)))
+        blobs = new.pop(p, [])
+        sig = np.concatenate([sig, *(s for s, _, _ in blobs)])
+        head = np.concatenate([head, *(h[w] for _, h, w in blobs)])
+        sent = np.concatenate([sent, np.zeros(len(sig) - len(sent), bool)])
+        del blobs
+        # one row for each signature and set, one handed on before others
+        order = np.lexsort((~sent, head[:, 0], sig))
+        sig, head, sent = sig[order], head[order], sent[order]
+        fresh = np.ones(len(sig), bool)
+        fresh[1:] = (sig[1:] != sig[:-1]) | (head[1:, 0] != head[:-1, 0])
+        sig, head, sent = sig[fresh], head[fresh], sent[fresh]
+        first = np.ones(len(sig), bool)
+        first[1:] = sig[1:] != sig[:-1]
+        group = np.cumsum(first) - 1
+        many = (np.bincount(group) > 1)[group] if len(group) else first
+        out = many & ~sent
+        keep = first
+        held[p] = (sig[keep], head[keep], (sent | many)[keep])
+        # which set stands for a signature doesn't matter once it is handed on; count it as handed on
+        return sig[out], head[out]
+
+    def rows(sig, head):
+        for i in range(0, len(sig), 65536):
+            s, h = sig[i : i + 65536].astype(np.int64), head[i : i + 65536]
+            gap = pa.nulls(len(s), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(h[:, 1].astype(np.int32)), pa.array(h[:, 2].astype(np.int32)), pa.array(h[:, 0]), gap, gap], names)
+
     for b in batches:
         for p, heads, sig, place, docs in zip(*[b.column(i).to_pylist() for i in range(5)], strict=True):
             d = np.frombuffer(docs, np.int64).reshape(-1, 4)
             if len(d):
                 gap, no = pa.nulls(len(d), pa.int64()), pa.nulls(len(d), pa.int32())
                 yield pa.RecordBatch.from_arrays([gap, no, no, pa.array(d[:, 3], mask=d[:, 2] == 0), pa.array(d[:, 0], mask=d[:, 1] == 1), pa.array(d[:, 2])], names)
-            kept.setdefault(p, []).append((np.frombuffer(heads, np.int64).reshape(-1, 3), np.frombuffer(sig, np.uint64), np.frombuffer(place, np.uint16)))
-    for p in list(kept):
-        blobs = kept.pop(p)
-        base = np.cumsum([0, *(len(h) for h, _, _ in blobs)])
-        head = np.concatenate([h for h, _, _ in blobs])
-        sig = np.concatenate([s for _, s, _ in blobs])
-        at = np.concatenate([w.astype(np.int64) + b for (_, _, w), b in zip(blobs, base, strict=False)])
-        del blobs
-        order = np.argsort(sig, kind="stable")
-        sig, at = sig[order], at[order]
-        new = np.diff(sig, prepend=~sig[:1]) != 0
-        group = np.cumsum(new) - 1
-        many = np.bincount(group)[group] > 1 if len(group) else np.zeros(0, bool)
-        sig, at = sig[many], at[many]
-        # one row for each signature and set: copies from other batches go
-        order = np.lexsort((head[at, 0], sig)) if len(at) else np.zeros(0, np.int64)
-        sig, at = sig[order], at[order]
-        fresh = np.ones(len(sig), bool)
-        fresh[1:] = (sig[1:] != sig[:-1]) | (head[at[1:], 0] != head[at[:-1], 0])
-        sig, at = sig[fresh], at[fresh]
-        group = np.cumsum(np.diff(sig, prepend=~sig[:1]) != 0) - 1
-        many = np.bincount(group)[group] > 1 if len(group) else np.zeros(0, bool)
-        sig, at = sig[many], head[at[many]]
-        for i in range(0, len(sig), 65536):
-            s, a = sig[i : i + 65536].astype(np.int64), at[i : i + 65536]
-            gap = pa.nulls(len(s), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(a[:, 1].astype(np.int32)), pa.array(a[:, 2].astype(np.int32)), pa.array(a[:, 0]), gap, gap], names)
+            new.setdefault(p, []).append((np.frombuffer(sig, np.uint64), np.frombuffer(heads, np.int64).reshape(-1, 3), np.frombuffer(place, np.uint16)))
+            count[p] = count.get(p, 0) + len(new[p][-1][0])
+            if count[p] > HELD:
+                yield from rows(*settle(p))
+                count[p] = len(held[p][0]) // 2
+    for p in list(new):
+        yield from rows(*settle(p))
+        held.pop(p)
 
 
 def _sets(words: int):
@@ -241,51 +268,113 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(_linked(percent), "a long, b long")
 
 
-#: Of a block of a family: rows and sets aimed at; a pair of blocks is one task's memory.
-BLOCK_ROWS, BLOCK_SETS = 40_000, 1_000
+#: Of a block of a family: elements and sets aimed at; a pair of blocks is one task's memory.
+BLOCK_ELEMENTS, BLOCK_SETS = 1 << 20, 2_000
+#: A family of more blocks gets a further round of leaders, as long as rounds leave a tenth fewer rows.
+MANY_BLOCKS = 16
 
 
-def _count_pairs(key, table):
-    """Pairs of sets of different components with as many common signatures as both need, of one pair of blocks."""
-    import pyarrow as pa
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... for each range."""
+    return np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)
 
-    left, right = key[1].as_py(), key[2].as_py()
-    col = {c: table.column(c).to_numpy() for c in ("sig", "band", "need", "id", "component", "block")}
-    a, b = [], []
-    for band in np.unique(col["band"]):
-        on = col["band"] == band
-        ids, first, who = np.unique(col["id"][on], return_index=True, return_inverse=True)
-        need, component, block = (col[c][on][first] for c in ("need", "component", "block"))
-        order = np.argsort(col["sig"][on], kind="stable")
-        sig, who = col["sig"][on][order], who[order]
-        # sets of more than 224,325 shingles can share more than 65,535 signatures
-        count = np.zeros((len(ids), len(ids)), np.uint32)
-        cuts = np.flatnonzero(np.diff(sig, prepend=~sig[:1], append=~sig[-1:]))
-        for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            if j - i > 1:
-                m = who[i:j]
-                count[m[:, None], m] += 1
-        x, y = np.nonzero(count >= np.maximum(need[:, None], need[None]))
-        keep = (component[x] != component[y]) & (block[x] == left) & (block[y] == right) & ((left != right) | (x < y))
-        a.append(ids[x[keep]])
-        b.append(ids[y[keep]])
-    return pa.table({n: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64), pa.int64()) for n, v in (("a", a), ("b", b))})
-
-
-def _across(rest: DataFrame, families: DataFrame) -> DataFrame:
-    """a, b: pairs of sets of different components that share as many signatures as a link asks for.
-
-    All sets that share a bucket are of one family. A family of many rows is cut by a hash of its sets into blocks, and
-    each pair of blocks is counted by itself, so tasks stay small; only pairs that pass come out.
-    """
-    rows = rest.join(families.select(F.col("node").alias("id"), F.col("component").alias("family")), "id")
-    size = rows.groupBy("family").agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("id").alias("sets"))
-    blocks = F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("sets") / BLOCK_SETS)).cast("int")
-    rows = rows.join(size.select("family", blocks.alias("blocks")), "family").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("left"), F.greatest("block", o).alias("right")))
-    dealt = rows.select("family", "sig", "band", "need", "id", "component", "block", F.explode(others).alias("of"))
-    dealt = dealt.select("family", F.col("of.left").alias("left"), F.col("of.right").alias("right"), "sig", "band", "need", "id", "component", "block")
-    return dealt.groupBy("family", "left", "right").applyInArrow(_count_pairs, "a long, b long")
+
+def _span(percent: int):
+    """Links that unite the components of a block, or those of two blocks with each other's: sets that share as many
+    signatures as both need are checked unless they are united already. At most one link less than there are sets."""
+
+    def run(key, table):
+        import pyarrow as pa
+
+        across = key[1].as_py() != key[2].as_py()
+        n, ids, block = table.num_rows, table.column("id").to_numpy(), table.column("block").to_numpy()
+        root = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("elements").to_pylist()]
+        size = np.array([len(x) for x in sets])
+        begin = np.cumsum(size) - size
+        element = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        del sets
+        marks = table.column("marks").combine_chunks()
+        owner = np.repeat(np.arange(n), marks.value_lengths().to_numpy())
+        sig, band, need = (marks.flatten().field(c).to_numpy(zero_copy_only=False) for c in ("sig", "band", "need"))
+        order = np.lexsort((owner, sig))
+        posted, group = owner[order], np.empty(len(sig), np.int64)
+        first = np.diff(sig[order], prepend=~sig[order][:1]) != 0
+        group[order] = np.cumsum(first) - 1
+        at = np.flatnonzero(first)
+        long = np.diff(np.append(at, len(sig)))
+        least = {b: np.full(n, np.iinfo(np.int64).max) for b in np.unique(band).tolist()}
+        for b, wanted in least.items():
+            np.minimum.at(wanted, owner[band == b], need[band == b])
+        mine = np.searchsorted(owner, np.arange(n + 1))  # owner is ascending
+        open_, flags, a, b = np.ones(n, bool), np.zeros(element.max(initial=-1) + 1, bool), [], []
+        todo = list(range(n))[::-1]
+        while todo and (root != root[0]).any():
+            x = todo.pop()
+            if not open_[x]:
+                continue
+            open_[x], own = False, slice(mine[x], mine[x + 1])
+            able = open_ & (root != root[x])
+            if across:
+                able &= block != block[x]
+            if not able.any():
+                continue
+            found = np.zeros(n, bool)
+            for q in np.unique(band[own]).tolist():
+                g = group[own][band[own] == q]
+                common = np.bincount(posted[_ranges(at[g], long[g])], minlength=n)
+                found |= common >= np.maximum(least[q], least[q][x])
+            near = np.flatnonzero(found & able)
+            flags[element[begin[x] : begin[x] + size[x]]] = True
+            upto = 0
+            while upto < len(near):
+                low, upto = upto, max(upto + 1, int(np.searchsorted(np.cumsum(size[near]), size[near[:upto]].sum() + BLOCK_ELEMENTS)))
+                y = near[low:upto]
+                y = y[root[y] != root[x]]
+                if not len(y):
+                    continue
+                inside = np.cumsum(np.append(0, flags[element[_ranges(begin[y], size[y])]]))
+                stop = np.cumsum(size[y])
+                shared = inside[stop] - inside[stop - size[y]]
+                for z in y[100 * shared >= percent * (size[x] + size[y] - shared)].tolist():
+                    todo.append(z)
+                    if root[z] != root[x]:
+                        a.append(ids[x])
+                        b.append(ids[z])
+                        root[root == root[z]] = root[x]
+            flags[element[begin[x] : begin[x] + size[x]]] = False
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _labelled(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """shared with the component of each set; a set without a link is its own."""
+    return shared.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+
+def _lead(shared: DataFrame, turn: int) -> DataFrame:
+    """a, b: each set with the set of another component that leads most of its buckets. Every turn has other leaders."""
+    first = F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "component")
+    lead = shared.groupBy("sig").agg(F.min(first).alias("l")).select("sig", F.col("l.id").alias("lead"), F.col("l.component").alias("other"))
+    votes = shared.join(lead, "sig").where("component <> other").groupBy("id", "lead").agg(F.count(F.lit(1)).alias("c"))
+    return votes.groupBy("id").agg(F.max_by("lead", F.struct("c", -F.col("lead"))).alias("lead")).select(F.col("id").alias("a"), F.col("lead").alias("b"))
+
+
+def _families(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """family, id, component, marks (its signatures), elements, blocks (of its family), block. All sets that share a
+    bucket of rest (sig, lead, band, need, id, component) are of one family."""
+    spark = rest.sparkSession
+    family = components(rest.select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct()).select(F.col("node").alias("id"), F.col("component").alias("family"))
+    marks = rest.groupBy("id").agg(F.first("component").alias("component"), F.collect_list(F.struct("sig", "band", "need")).alias("marks"))
+    rows = written(spark, marks.join(family, "id").join(sets, "id"), "families")
+    size = rows.groupBy("family").agg(F.sum(F.octet_length("elements") / 8).alias("elements"), F.count(F.lit(1)).alias("sets"))
+    blocks = F.ceil(F.greatest(F.col("elements") / BLOCK_ELEMENTS, F.col("sets") / BLOCK_SETS)).cast("int")
+    rows = rows.join(size.select("family", blocks.alias("blocks")), "family")
+    return rows.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")).cast("int"))
+
+
+_UNIT = ["family", "left", "right", "id", "component", "block", "elements", "marks"]
 
 
 def jaccard_classes(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -316,21 +405,33 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT, words: int = WORDS,
     found = rows.join(wanted, F.col("k").eqNullSafe(F.col("wk")), "left_semi").select("x").mapInArrow(_sets(words), "id long, elements binary")
     sets = written(spark, found.dropDuplicates(["id"]), "sets")
 
-    # each set against the set that leads most of its buckets
-    lead = alive.groupBy("sig").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("c")).where("c > 1").select("sig", "lead")
-    votes = alive.join(lead, "sig").where("id <> lead").groupBy("id", "lead").agg(F.count(F.lit(1)).alias("c"))
-    first = votes.groupBy("id").agg(F.max_by("lead", F.struct("c", -F.col("lead"))).alias("lead")).select(F.col("id").alias("a"), F.col("lead").alias("b"))
-    links = written(spark, verify(first, sets, percent), "links")
-    labels = components(links)
-
-    # buckets that still hold several components: pairs across them, counted family by family
-    named = alive.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_ = named.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("id").alias("lead")).where("lo <> hi").select("sig", "lead")
-    rest = written(spark, named.join(open_, "sig"), "rest")
-    families = components(rest.select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct())
-    second = written(spark, _across(rest, families), "pairs").distinct()
-    links = links.unionByName(written(spark, verify(second, sets, percent), "links"))
+    links, labels, turn, before = None, spark.createDataFrame([], "node long, component long"), 0, None
+    while True:
+        # each set against the set that leads most of its buckets
+        found = written(spark, verify(_lead(_labelled(alive, labels), turn), sets, percent), "links")
+        links = found if links is None else links.unionByName(found)
+        labels = components(links)
+        # buckets that still hold several components
+        named = _labelled(alive, labels)
+        open_ = named.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("id").alias("lead")).where("lo <> hi").select("sig", "lead")
+        rows = _families(written(spark, named.join(open_, "sig"), "rest"), sets)
+        most, left = rows.agg(F.max("blocks"), F.count(F.lit(1))).first()
+        turn += 1
+        if (most or 0) <= MANY_BLOCKS or (before is not None and left > 0.9 * before):
+            break
+        before = left
+
+    # each block by itself, then those of a family with each other where it still has several components
+    alone = rows.withColumns({"left": F.col("block"), "right": F.col("block")}).select(*_UNIT)
+    links = links.unionByName(written(spark, alone.groupBy("family", "left", "right").applyInArrow(_span(percent), "a long, b long"), "links"))
     labels = components(links)
+    if (most or 0) > 1:
+        rows = _labelled(rows.where("blocks > 1").drop("component"), labels)
+        still = rows.groupBy("family").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("family")
+        others = F.transform(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: o != F.col("block")), lambda o: F.struct(F.least("block", o).alias("left"), F.greatest("block", o).alias("right")))
+        dealt = rows.join(still, "family", "left_semi").withColumn("of", F.explode(others)).withColumns({"left": F.col("of.left"), "right": F.col("of.right")}).select(*_UNIT)
+        links = links.unionByName(written(spark, dealt.groupBy("family", "left", "right").applyInArrow(_span(percent), "a long, b long"), "links"))
+        labels = components(links)
 
     placed = classes.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     least = placed.groupBy("component").agg(F.min("k").alias("least"))
