@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession, what: str) -> str:
     """A new folder name below the folder that the cluster shares, `spark.checkpoint.dir`.
 
-    Only where that is unset (tests on one machine) a folder of this machine is set instead.
+    Where that is unset a session on one machine (tests) gets a folder of that machine; on a cluster it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if not found.isDefined() and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         base = found.get() if found.isDefined() else f"file://{tempfile.mkdtemp(prefix='shared-')}"
         spark.sparkContext.setCheckpointDir(base)
         spark.conf.set("spark.checkpoint.dir", base)
@@ -31,7 +36,11 @@ def shared_dir(spark: SparkSession, what: str) -> str:
 
 
 def written(spark: SparkSession, df: DataFrame, what: str) -> DataFrame:
-    """df as a table written in the shared folder: cuts lineage, and survives lost executors."""
+    """df as a table written in the shared folder: cuts lineage, and survives lost executors.
+
+    A result may read such tables long after the operator that wrote them returned, so they stay; whoever is done with
+    all results of a session deletes the folder.
+    """
     path = shared_dir(spark, what)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -44,6 +53,71 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(conf).delete(p, True)
 
 
+_kept: dict[tuple, Any] = {}
+
+
+def keep(owner: str, key: Any, make: Callable[[], Any]) -> Any:
+    """An object that a Python worker builds once and uses for further tasks of the same operator. Workers outlive
+    stages: when another operator comes, what earlier ones kept is dropped and its memory given back."""
+    if (owner, key) not in _kept:
+        if any(o != owner for o, _ in _kept):
+            _kept.clear()
+            give_back()
+        _kept[owner, key] = make()
+    return _kept[owner, key]
+
+
+def give_back() -> None:
+    """Free memory goes back to the system, as far as the C library can do that."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+class Memo:
+    """Values by string, bounded by bytes: two generations of half the limit each. What is asked for stays; what
+    wasn't for a whole generation goes."""
+
+    #: A dictionary's slot, the string's and the value's headers.
+    ENTRY = 200
+
+    def __init__(self, limit: int):
+        self.half, self.held = limit // 2, 0
+        self.young: dict[str, Any] = {}
+        self.old: dict[str, Any] = {}
+
+    def of(self, keys: set[str], learn: Callable[[list[str]], Iterable[Any]]) -> dict[str, Any]:
+        """The values of the keys. `learn` gives those of unknown ones, in order."""
+        if self.held > self.half:
+            self.old, self.young, self.held = self.young, {}, 0
+        known = self.young.keys() & keys
+        got = {k: self.young[k] for k in known}
+        rest = keys.difference(known) if len(known) < len(keys) else ()
+        again = {k: self.old[k] for k in rest if k in self.old}
+        new = [k for k in rest if k not in again]
+        again.update(zip(new, learn(new), strict=True))
+        self.held += self.ENTRY * len(again) + sum(map(len, again))
+        self.young.update(again)
+        got.update(again)
+        return got
+
+    def join(self, lists: list[list[str]], join: Callable[[Iterable[Any]], Any], learn: Callable[[list[str]], Iterable[Any]]) -> list[Any]:
+        """For each list the values of its strings, joined. The batch's own dictionary is small, so that its lookups
+        stay in the processor's caches."""
+        get = self.of(set().union(*lists), learn).__getitem__
+        return [join(map(get, x)) for x in lists]
+
+
+def ranges(begin, size):
+    """begin[0], begin[0] + 1, ... of each range, one after the other."""
+    import numpy as np
+
+    return np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -12,12 +12,11 @@ import numpy as np
 
 U = np.uint64
 #: Bytes handled at once; a longer text is handled alone.
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_powers: dict[str, np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -27,35 +26,57 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def _byte_values() -> np.ndarray:
-    lower = np.arange(256, dtype=np.uint64)
-    lower[65:91] += U(32)
-    return mix((lower + U(1)) * U(_BASE))
+def _byte_values(seed: int) -> np.ndarray:
+    return mix((np.arange(256, dtype=np.uint64) + U(256 * seed + 1)) * U(_BASE))
+
 
+def _lowered(values: np.ndarray) -> np.ndarray:
+    """A-Z count as a-z."""
+    values = values.copy()
+    values[65:91] = values[97:123]
+    return values
 
-_VALUES = _byte_values()
+
+#: Two arrays of a fixed length.
+_powers: dict[str, np.ndarray] = {}
+_VALUES = [_byte_values(0), _byte_values(1), _byte_values(2)]
+_LOWERED = _lowered(_VALUES[0])
 
 
 def _power(name: str, base: int, n: int) -> np.ndarray:
-    """base^0 ... base^(n-1) modulo 2^64."""
-    if len(_powers.get(name, ())) < n:
-        p = np.full(max(n, CHUNK + 4096), U(base))
+    """base^0 ... base^(n-1) modulo 2^64; those that most chunks need are kept."""
+
+    def make(n: int) -> np.ndarray:
+        p = np.full(n, U(base))
         p[0] = 1
-        _powers[name] = np.cumprod(p)
+        return np.cumprod(p)
+
+    usual = 2 * CHUNK + 4096
+    if n > usual:
+        return make(n)
+    if name not in _powers:
+        _powers[name] = make(usual)
     return _powers[name][:n]
 
 
+def ranged_hashes(data: np.ndarray, begin: np.ndarray, stop: np.ndarray, seed: int = 0, values: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of each range of bytes; ranges with equal bytes have equal ones. By prefix sums, so the cost is
+    that of the data, not of the ranges."""
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((_VALUES[seed] if values is None else values)[data] * _power("up", _BASE, len(data)), out=total[1:])
+    # empty ranges at the end have no power
+    h = (total[stop] - total[begin]) * _power("down", _INVERSE, len(data) + 1)[begin]
+    return mix(h + (stop - begin).astype(np.uint64))
+
+
 def _word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """data: bytes of texts, each followed by a separator at `ends`. Hash of every word, words of every text."""
     gap = _SEPARATOR[data]
     word = ~gap
     edge = np.flatnonzero(np.diff(word.astype(np.int8), prepend=0, append=0))
     begin, stop = edge[0::2], edge[1::2]
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[data] * _power("up", _BASE, len(data)), out=total[1:])
-    h = (total[stop] - total[begin]) * _power("down", _INVERSE, len(data))[begin]
     counts = np.diff(np.searchsorted(begin, ends), prepend=0)
-    return mix(h + (stop - begin).astype(np.uint64)), counts
+    return ranged_hashes(data, begin, stop, values=_LOWERED), counts
 
 
 def shingle_sets(column, n: int = 5) -> list[np.ndarray]:

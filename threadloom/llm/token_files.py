@@ -13,8 +13,9 @@ A shard holds the ids of documents in ascending order of their key:
 A reader fetches the tail, then the index, then only the frames that hold the documents asked for, and checks each
 frame's checksum. Any zstandard reader can decompress a shard: it skips the two last frames.
 
-Shards are written under a task-attempt name and then renamed, so a task that is run again or twice leaves one whole
-file; the manifest (shard, path, n_docs, n_tokens) is a Parquet table that Spark commits as a whole.
+A shard's name holds the attempt that wrote it, so a task that is run again or twice never meets another's file. The
+manifest (shard, path, n_docs, n_tokens) is a Parquet table that Spark commits as a whole: it names one whole shard a
+task; what a lost attempt left is named by nothing.
 """
 
 from __future__ import annotations
@@ -29,13 +30,12 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import partitions, written
+from threadloom.llm.chunks import LONGEST, Known, distinct_ranges, text_slices
+from threadloom.llm.common import keep, partitions, ranges, written
 
 INDEX_MAGIC, TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 #: A frame is closed when it holds this many ids; a longer document has a frame of its own.
 FRAME_IDS = 1 << 16
-#: Chunks that a worker remembers; bounds its memory.
-MEMO = 800_000
 
 
 class Shard:
@@ -146,15 +146,21 @@ class ShardReader:
 
 
 class ChunkEncoder:
-    """Ids by the tokenizers library for a byte-level file, memoised by chunk.
+    """Ids by the tokenizers library for a byte-level file, remembered by chunk.
 
-    A text is cut before U+0020 where that surely begins a piece: not inside a run of white space. Texts where that
-    can't be told so simply, or that hold the string of an added token, go to the library whole.
+    A text is cut before each U+0020, where that surely begins a piece: not inside a run of white space. Texts where
+    that can't be told so simply, or that hold the string of an added token, go to the library whole. Chunks of a
+    batch are told apart by two 64-bit hashes of their bytes, worked out for all of them at once; only unknown ones
+    go to the library, once each, and all ids are then gathered. Chunks of more than LONGEST bytes aren't remembered.
     """
 
     INSIDE_RUN = re.compile(r"\s (?=\s|$)")
-    # a Latin word, signs, and perhaps a line end before the same again: each of these is a piece by itself
-    PIECES = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,!?;:()\"*#|$-]*)(?:(\n)([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,!?;:()\"*#|$-]*))?")
+    #: Chunks in a text for the library.
+    CALL = 256
+    # bytes that are or may begin white space
+    _SPACE, _MAYBE = np.zeros(256, bool), np.zeros(256, bool)
+    _SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
+    _MAYBE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
     def __init__(self, path: str, width: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -163,67 +169,104 @@ class ChunkEncoder:
         self.own = Tokenizer.from_file(path)
         self.own.no_padding()
         self.own.no_truncation()
-        self.specials = {t.content: i for i, t in self.own.get_added_tokens_decoder().items()}
-        self.dtype, self.memo = f"<u{width}", {}
+        self.specials = [t.content.encode() for t in self.own.get_added_tokens_decoder().values()]
+        self.dtype, self.known = f"<u{width}", Known(f"<u{width}")
         # a byte-level token has a character for each of its bytes
         vocabulary = self.own.get_vocab(with_added_tokens=False)
         self.bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         self.bytes[list(vocabulary.values())] = list(map(len, vocabulary))
-        self.apart, self.mark = next(iter(self.specials.items()), (None, -1))
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Many chunks in a call. Those that begin with a space follow each other as in a text, and are told apart by
-        the bytes of their tokens; the others are kept apart by an added token, which is encoded by itself."""
-        spaced, others = [], []
-        for c in chunks:
-            (spaced if c[0] == " " and len(c) > 1 and not c[1].isspace() else others).append(c)
-        for some, ids in self._called(spaced, ""):
-            ends = np.cumsum(np.fromiter(map(len, map(str.encode, some)), np.int64, len(some)))
-            cuts = np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1
-            self._keep(some, ids, [0, *cuts[:-1].tolist()], cuts.tolist())
-        if self.apart is None:
-            self.memo.update((c, np.array(self.own.encode(c, add_special_tokens=False).ids, self.dtype).tobytes()) for c in others)
-            return
-        for some, ids in self._called(others, self.apart):
-            cuts = np.flatnonzero(ids == self.mark).tolist()
-            self._keep(some, ids, [0, *(x + 1 for x in cuts)], [*cuts, len(ids)])
-
-    def _called(self, chunks: list[str], by: str):
-        groups = [chunks[i : i + 256] for i in range(0, len(chunks), 256)]
-        for some, e in zip(groups, self.own.encode_batch_fast([by.join(g) for g in groups], add_special_tokens=False), strict=True):
-            yield some, np.array(e.ids, self.dtype)
-
-    def _keep(self, chunks: list[str], ids: np.ndarray, begin: list[int], stop: list[int]) -> None:
-        packed, w = ids.tobytes(), ids.itemsize
-        self.memo.update((c, packed[a * w : b * w]) for c, a, b in zip(chunks, begin, stop, strict=True))
 
-    def encode_packed(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        whole = [i for i, t in enumerate(texts) if self.INSIDE_RUN.search(t) or any(s in t for s in self.specials)]
-        skip, cut = set(whole), []
-        for i, t in enumerate(texts):
-            if i in skip or not t:
-                cut.append([])
-                continue
-            first, *rest = t.split(" ")
-            chunks = [" " + x for x in rest]
-            cut.append([first, *chunks] if first else chunks)
-        get, match = self.memo.__getitem__, self.PIECES.fullmatch
-        new, parts = set().union(*cut).difference(self.memo), {}
-        for c in [c for c in new if not c[1:].isalpha()]:
-            if m := match(c):
-                parts[c] = [x for x in m.groups() if x]
-        new.difference_update(parts)
-        self._learn([x for x in new.union(*parts.values()) if x not in self.memo])
-        self.memo.update((c, b"".join(map(get, p))) for c, p in parts.items())
-        out = [b"".join(map(get, chunks)) for chunks in cut]
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _whole(self, data: np.ndarray, raw: bytes, begin: np.ndarray, stop: np.ndarray) -> list[int]:
+        """Places of texts that can't be cut at their spaces."""
+        space = np.flatnonzero(data == 0x20)
+        before, after = data[np.maximum(space - 1, 0)], data[np.minimum(space + 1, len(data) - 1)]
+        able = (self._SPACE[before] | (before >= 0x80)) & (self._SPACE[after] | self._MAYBE[after])
+        of = np.searchsorted(stop, space, "right")
+        able |= space + 1 == stop[of]
+        out = {i for i in np.unique(of[able]).tolist() if self.INSIDE_RUN.search(raw[begin[i] : stop[i]].decode())}
+        if any(s in raw for s in self.specials):
+            out.update(i for i, (a, b) in enumerate(zip(begin.tolist(), stop.tolist(), strict=True)) if any(s in raw[a:b] for s in self.specials))
+        return sorted(out)
+
+    def _learn(self, raw: bytes, begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks, one after the other, and how many each has. Chunks of a space and something else that isn't
+        white space are put after each other, as in a text; the places of the spaces among the bytes of all tokens
+        tell where each begins. The others go one by one."""
+        chunks = [raw[a:b].decode() for a, b in zip(begin.tolist(), stop.tolist(), strict=True)]
+        usual = np.array([len(c) > 1 and c[0] == " " and not c[1].isspace() for c in chunks], bool)
+        follow, alone = [c for c, u in zip(chunks, usual, strict=True) if u], [c for c, u in zip(chunks, usual, strict=True) if not u]
+        groups = ["".join(follow[i : i + self.CALL]) for i in range(0, len(follow), self.CALL)]
+        found = self._library(groups)
+        counts = [np.zeros(0, np.int64)]
+        for text, ids in zip(groups, found, strict=True):
+            first = np.flatnonzero(np.frombuffer(text.encode(), np.uint8) == 0x20)
+            counts.append(np.diff(np.searchsorted(np.cumsum(self.bytes[ids]), first, "right"), append=len(ids)))
+        single = self._library(alone)
+        n = np.zeros(len(chunks), np.int64)
+        n[usual], n[~usual] = np.concatenate(counts), list(map(len, single))
+        # first all that follow, then the others: back to the chunks' order
+        ids = np.concatenate([*found, *single, np.zeros(0, self.dtype)])
+        place = np.cumsum(n[order := np.concatenate([np.flatnonzero(usual), np.flatnonzero(~usual)])]) - n[order]
+        at = np.empty(len(chunks), np.int64)
+        at[order] = place
+        return ids[ranges(at, n)], n
+
+    def encode(self, data: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """data: UTF-8 of texts one after the other, at begin to stop. All ids, and how many each text has."""
+        if not len(data):
+            return np.zeros(0, self.dtype), np.zeros(len(begin), np.int64)
+        raw, cut = data.tobytes(), data == 0x20
+        whole = self._whole(data, raw, begin, stop)
         for i in whole:
-            out[i] = np.array(self.own.encode(texts[i], add_special_tokens=False).ids, self.dtype).tobytes()
-        return out
+            cut[begin[i] : stop[i]] = False
+        cut[begin[begin < stop]] = True
+        first = np.flatnonzero(cut)
+        last = np.append(first[1:], len(data))
+        direct = last - first > LONGEST
+        direct[np.searchsorted(first, begin[whole])] = True
+        at, n = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+        usual = np.flatnonzero(~direct)
+        found = distinct_ranges(data, first[usual], last[usual])
+        if found is None:
+            direct[:], usual = True, usual[:0]
+        extra = self._library([raw[a:b].decode() for a, b in zip(first[direct].tolist(), last[direct].tolist(), strict=True)])
+        n[direct] = list(map(len, extra))
+        if len(usual):
+            u, g, one, of = found
+            ua, un, good = self.known.find(u, g)
+            new = np.flatnonzero(~good)
+            ids, counts = self._learn(raw, first[usual][one[new]], last[usual][one[new]])
+            un[new] = counts
+            ua[new] = self.known.put(ids) + np.cumsum(counts) - counts
+            at[usual], n[usual] = ua[of], un[of]
+        else:
+            new = ids = counts = ()
+        kept = self.known.filled
+        self.known.filled += len(ids)
+        at[direct] = self.known.put(np.concatenate([*extra, np.zeros(0, self.dtype)])) + np.cumsum(n[direct]) - n[direct]
+        out = self.known.ids[ranges(at, n)]
+        self.known.filled = kept
+        if len(new):
+            self.known.keep(u[new], g[new], ua[new], counts, len(ids))
+        total = np.append(0, np.cumsum(n))
+        return out, total[np.searchsorted(first, stop)] - total[np.searchsorted(first, begin)]
 
+    def encode_packed(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, as little-endian integers."""
+        import pyarrow as pa
 
-_encoders: dict = {}
+        return [x for some in self.packed(pa.array(texts, pa.string())) for x in some]
+
+    def packed(self, column) -> Iterator[list[bytes]]:
+        """column: an Arrow string array without nulls. Ids of texts, slice by slice of bounded size."""
+        w = int(self.dtype[-1])
+        for data, begin, stop in text_slices(column):
+            ids, n = self.encode(data, begin, stop)
+            packed, end = ids.tobytes(), np.cumsum(n) * w
+            yield [packed[a:b] for a, b in zip((end - n * w).tolist(), end.tolist(), strict=True)]
 
 
 def _open(uri: str):
@@ -251,35 +294,35 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
         import pyarrow as pa
         from pyspark import TaskContext
 
-        if (tokenizer, width) not in _encoders:
-            _encoders[tokenizer, width] = ChunkEncoder(tokenizer, width)
-        encoder, task = _encoders[tokenizer, width], TaskContext.get()
+        encoder, task = keep("token_files", (tokenizer, width), lambda: ChunkEncoder(tokenizer, width)), TaskContext.get()
         shard, out, n_docs, n_tokens = None, None, 0, 0
         fs, top = _open(folder)
-        part, final = f"{top}/_part-{task.partitionId():06d}-{task.taskAttemptId()}", f"{top}/shard-{task.partitionId():06d}.zst"
-        for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                b = batch.slice(i, 512)
-                if shard is None:
-                    fs.create_dir(top, recursive=True)
-                    shard = Shard(out := fs.open_output_stream(part), width)
-                for k, packed in zip(b.column(0).to_pylist(), encoder.encode_packed(b.column(1).to_pylist()), strict=True):
+        name = f"shard-{task.partitionId():06d}-{task.taskAttemptId()}.zst"
+        for b in batches:
+            if b.num_rows and shard is None:
+                fs.create_dir(top, recursive=True)
+                shard = Shard(out := fs.open_output_stream(f"{top}/{name}", compression=None), width)
+            keys, at = b.column(0).to_pylist(), 0
+            for some in encoder.packed(b.column(1)):
+                for k, packed in zip(keys[at : at + len(some)], some, strict=True):
                     shard.add(k, packed + tail)
                     n_docs, n_tokens = n_docs + 1, n_tokens + shard.counts[-1]
+                at += len(some)
         if shard is not None:
             shard.close()
             out.close()
-            fs.move(part, final)
-            yield pa.RecordBatch.from_arrays([pa.array([task.partitionId()], pa.int64()), pa.array([f"{folder}/shard-{task.partitionId():06d}.zst"]), pa.array([n_docs], pa.int64()), pa.array([n_tokens], pa.int64())], ["shard", "path", "n_docs", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array([task.partitionId()], pa.int64()), pa.array([f"{folder}/{name}"]), pa.array([n_docs], pa.int64()), pa.array([n_tokens], pa.int64())], ["shard", "path", "n_docs", "n_tokens"])
 
     made = dealt.select("k", "t").mapInArrow(run, "shard long, path string, n_docs long, n_tokens long")
     return written(spark, made, "manifest")
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
-    """One row per document of the shards: shard, place, key, ids_offset (in its shard), n_tokens, ids_crc32.
+    """One row per document of the shards: shard, place, k (its key), ids_offset (in its shard), n_tokens, ids_crc32.
 
-    ids_crc32 is the unsigned CRC-32 of the ids as little-endian unsigned 32-bit integers.
+    ids_crc32 is the unsigned CRC-32 of the ids as little-endian unsigned 32-bit integers. Null and repeated keys come
+    as they were written, documents without ids with their end id alone or with none; an empty manifest gives no row.
+    A frame whose checksum doesn't match is an error. A document's frame is held whole.
     """
 
     def run(batches):
@@ -340,7 +383,7 @@ def fetch(manifest: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFr
 
 def with_starts(rows: DataFrame, manifest: DataFrame) -> DataFrame:
     """rows of read_token_files with `start`: ids of all documents before. The prefix sum runs over the manifest,
-    which has a row a shard, not over documents."""
+    which has a row a shard, not over documents. Empty tables give none; rows of shards that the manifest lacks go."""
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     base = manifest.select("shard", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
     # a row a shard: no more than the shuffle partitions that they were written from
