@@ -12,19 +12,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadloom.functions import lookups
 from threadloom.functions.classify import triage
+from threadloom.functions.text import time_bound
 from threadloom.functions.titles import parse_titles
 from threadloom.operators import dedupe, relational, report
 from threadloom.sources import fallback, raw, roster, sinks
-from threadloom.sources.store import Store
-
-# Passes of a progressive ingest (sort, query, posts, comments).
-PASSES = [("new", None, 100, 50), ("hot", None, 100, 50), ("top", None, 200, 100), ("rising", None, 50, 25)] + [("new", q, n, n // 2) for q, n in (("Math", 100), ("Eng", 100), ("Fil", 100), ("Bio", 80), ("Chem", 80), ("Econ", 80), ("Speech", 80), ("KAS", 80), ("Psych", 80))]
+from threadloom.sources.store import Store, conform, insert_absent
 
 
 def scaled_passes(scale: float) -> list[tuple[str, str | None, int, int]]:
     s = max(0.1, scale)
-    return [(sort, q, max(1, int(posts * s)), max(0, int(comments * s))) for sort, q, posts, comments in PASSES]
+    return [(sort, q, max(1, int(posts * s)), max(0, int(comments * s))) for sort, q, posts, comments in lookups.PASSES]
+
+
+def bound(spark: SparkSession, text: str | None) -> float | None:
+    """A time bound as epoch seconds: digits, or an ISO date or time, UTC unless it says otherwise."""
+    if text is None or isinstance(text, float):
+        return text
+    at = spark.createDataFrame([(text,)], "t string").select(time_bound(F.col("t"))).first()[0]
+    if at is None:
+        raise ValueError(f"no time: {text}")
+    return float(at)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -96,10 +105,10 @@ def reparse(store: Store, everything: bool) -> None:
     posts = store.read("posts")
     again = posts if everything else posts.where("professor_id is null")
     parsed = parse_titles(again)
-    store.merge(entities=raw.entities_from_posts(parsed))
     kept = posts.join(again.select("post_id"), "post_id", "left_anti")
     relational.parse_counts(again, parsed).show()
-    store.write("posts", kept.unionByName(parsed.select(kept.columns)))
+    entities = insert_absent(store.read("entities"), conform(raw.entities_from_posts(parsed), "entities"), "id", ["last_name", "first_name", "campus"])
+    store.write(posts=kept.unionByName(parsed.select(kept.columns)), entities=entities)
 
 
 def export(spark: SparkSession, store: Store, a: argparse.Namespace) -> None:
@@ -129,8 +138,8 @@ def main(argv: list[str] | None = None) -> int:
         c.add_argument("--query")
         c.add_argument("--archive", action="store_true")
         c.add_argument("--resume", action="store_true")
-        c.add_argument("--after", type=float)
-        c.add_argument("--before", type=float)
+        c.add_argument("--after")
+        c.add_argument("--before")
         c.add_argument("--scale", type=float, default=1.0)
     sub.add_parser("reparse").add_argument("--all", action="store_true", dest="everything")
     c = sub.add_parser("enrich")
@@ -152,6 +161,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("threadloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     store = Store(spark, a.store)
     try:
+        if a.command in ("scrape", "scrape-all"):
+            a.after, a.before = bound(spark, a.after), bound(spark, a.before)
         if a.command == "scrape":
             return ingest(spark, store, a)
         if a.command == "scrape-all":
@@ -169,13 +180,12 @@ def main(argv: list[str] | None = None) -> int:
         elif a.command == "clean-junk":
             entities, posts, counts = dedupe.clean_entities(store.read("entities"), store.read("posts"))
             counts.show(vertical=True)
-            store.write("posts", posts)
-            store.write("entities", entities)
+            store.write(posts=posts, entities=entities)
         elif a.command == "triage-reviews":
-            for name, text, is_post in (("posts", "selftext", True), ("comments", "body", False)):
-                rows = triage(store.read(name), text, is_post)
+            flagged = {name: triage(store.read(name), text, is_post) for name, text, is_post in (("posts", "selftext", True), ("comments", "body", False))}
+            for rows in flagged.values():
                 rows.groupBy(F.coalesce("drop_reason", F.lit("kept")).alias("reason")).count().orderBy("reason").show()
-                store.write(name, rows)
+            store.write(**flagged)
         else:
             if not a.roster or not roster.is_available(spark, a.roster):
                 print("roster not found", file=sys.stderr)

@@ -66,3 +66,20 @@ SIGNALS = {
     ("pedagogy", "engaging"): ["engaging", "passionate", "fun", "inspiring", "great professor", "best prof", "approachable", "kind", "caring", "understanding"],
     ("pedagogy", "clear"): ["clear", "explains well", "master of subject", "knowledgeable", "organized", "structured", "good ppt", "clear slides"],
 }
+
+# Passes of a progressive ingest (sort, query, posts, comments).
+PASSES = [
+    ("new", None, 100, 50),
+    ("hot", None, 100, 50),
+    ("top", None, 200, 100),
+    ("rising", None, 50, 25),
+    ("new", "Math", 100, 50),
+    ("new", "Eng", 100, 50),
+    ("new", "Fil", 100, 50),
+    ("new", "Bio", 80, 40),
+    ("new", "Chem", 80, 40),
+    ("new", "Econ", 80, 40),
+    ("new", "Speech", 80, 40),
+    ("new", "KAS", 80, 40),
+    ("new", "Psych", 80, 40),
+]

@@ -1,12 +1,16 @@
 """A keyed store of Parquet tables: posts, comments and entities, with idempotent merges.
 
-A merge writes a whole new version of its table beside the old one and then moves the pointer, a small text file, to
-it; readers see the old version or the new one. Tables are partitioned by nothing: merges are by key, and Spark's
-joins decide how.
+A write puts whole new versions of its tables beside the old ones and then one manifest, a small JSON file that names
+the current version of every table. Manifests are numbered and appear by the rename of a finished file to a name that
+wasn't there; the highest number counts. So readers see all tables before a write or all after it, a write that stops
+half-way changes nothing, and of two writers that meet one fails. Tables are partitioned by nothing: merges are by key,
+and Spark's joins decide how.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -59,42 +63,61 @@ class Store:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _pointer(self, name: str) -> str | None:
-        p, fs = self._fs(f"{self.folder}/{name}.current")
-        if not fs.exists(p):
-            return None
+    def _manifests(self) -> list[int]:
+        """Numbers of the manifests, ascending."""
+        folder, fs = self._fs(self.folder)
+        names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+        return sorted(int(m[1]) for n in names if (m := re.fullmatch(r"manifest-(\d{12})\.json", n)))
+
+    def _at(self, number: int) -> str:
+        return f"{self.folder}/manifest-{number:012d}.json"
+
+    def versions(self) -> dict[str, str]:
+        """The folder of each table's current version."""
+        numbers = self._manifests()
+        if not numbers:
+            return {}
+        p, fs = self._fs(self._at(numbers[-1]))
         stream = fs.open(p)
         try:
-            return bytes(stream.readAllBytes()).decode().strip()
+            return json.loads(bytes(stream.readAllBytes()).decode())
         finally:
             stream.close()
 
     def exists(self, name: str) -> bool:
-        return self._pointer(name) is not None
+        return name in self.versions()
 
     def read(self, name: str) -> DataFrame:
         """The current version, in the declared schema; an empty table where there is none."""
-        at = self._pointer(name)
+        at = self.versions().get(name)
         if at is None:
             return self.spark.createDataFrame([], schema(name))
         return conform(self.spark.read.parquet(f"{self.folder}/{at}"), name)
 
-    def write(self, name: str, df: DataFrame) -> None:
-        version = f"{name}-{uuid.uuid4().hex}"
-        conform(df, name).write.parquet(f"{self.folder}/{version}")
-        (temporary, fs), (pointer, _) = self._fs(f"{self.folder}/{name}.{uuid.uuid4().hex}"), self._fs(f"{self.folder}/{name}.current")
-        out = fs.create(temporary)
-        out.write(bytearray(version.encode()))
+    def write(self, **tables: DataFrame) -> None:
+        """New versions of the named tables, all at once."""
+        number, current = (self._manifests() or [0])[-1] + 1, self.versions()
+        for name, df in tables.items():
+            current[name] = f"{name}-{uuid.uuid4().hex}"
+            conform(df, name).write.parquet(f"{self.folder}/{current[name]}")
+        self._publish(number, current)
+
+    def _publish(self, number: int, current: dict[str, str]) -> None:
+        (part, fs), (final, _) = self._fs(f"{self.folder}/_part-{uuid.uuid4().hex}"), self._fs(self._at(number))
+        out = fs.create(part)
+        out.write(bytearray(json.dumps(current).encode()))
         out.close()
-        if fs.exists(pointer):
-            fs.delete(pointer, False)
-        fs.rename(temporary, pointer)
+        if fs.exists(final) or not fs.rename(part, final):
+            raise RuntimeError(f"another writer was first: {self._at(number)}")
 
     def merge(self, posts: DataFrame | None = None, comments: DataFrame | None = None, entities: DataFrame | None = None) -> None:
-        """Entities are inserted if absent; posts and comments are replaced by key, which sets is_review back to 1."""
+        """Entities are inserted if absent; posts and comments are replaced by key, which sets is_review back to 1. All
+        three change together."""
+        new: dict[str, DataFrame] = {}
         if entities is not None:
-            self.write("entities", insert_absent(self.read("entities"), conform(entities, "entities"), "id", ["last_name", "first_name", "campus"]))
-        for name, df, at in (("posts", posts, "scraped_at"), ("comments", comments, "scraped_at")):
+            new["entities"] = insert_absent(self.read("entities"), conform(entities, "entities"), "id", ["last_name", "first_name", "campus"])
+        for name, df in (("posts", posts), ("comments", comments)):
             if df is not None:
-                new = conform(df, name).withColumn("is_review", F.lit(1))
-                self.write(name, replace_by_key(self.read(name), new, KEYS[name], [F.desc(at), F.desc("created_utc")]))
+                rows = conform(df, name).withColumn("is_review", F.lit(1))
+                new[name] = replace_by_key(self.read(name), rows, KEYS[name], [F.desc("scraped_at"), F.desc("created_utc")])
+        self.write(**new)
