@@ -9,28 +9,39 @@ from threadloom.functions import lookups as L
 from threadloom.functions.text import has, let, strip
 
 
+#: No reaction is longer, with its full stop.
+LONGEST_REACTION = 20
+
+
 def drop_reason(text: Column, is_post_body: Column) -> Column:
-    """Why a text is no review; null where it is one. The first rule that fits counts."""
-
-    def rules(b: Column) -> Column:
-        n, review, ask = F.length(b), has(b, L.REVIEW_TERMS), has(b, L.ASKS)
-        marks = n - F.length(F.replace(b, F.lit("?"), F.lit("")))
-        return (
-            F.when(F.lower(b).isin(L.DELETED), "empty")
-            .when(has(b, L.REACTIONS), "reaction")
-            .when(has(b, L.COURSE_CODE), "course_code")
-            .when(ask & (n <= 100), "ask")
-            .when(b.endswith("?") & (n <= 100) & review, "ask")
-            .when(is_post_body & (marks >= 2) & (n < 400), "ask")
-            .when(review, F.lit(None))
-            .when(has(b, L.REQUESTS) & (is_post_body | (n <= 160)), "request")
-            .when(ask & (is_post_body | (n <= 160)), "ask")
-            .when(has(b, L.THANKS) & (n <= 80), "thanks")
-            .when(n < 80, "too_short")
-            .when(is_post_body & (n < 150), "thin")
-        )
-
-    return let(strip(F.coalesce(text, F.lit(""))), rules)
+    """Why a text is no review; null where it is one. Null counts as empty; white space at the ends does not count."""
+    return let(_trimmed(text), lambda b: _reason(b, is_post_body))
+
+
+def _trimmed(text: Column) -> Column:
+    return strip(F.coalesce(text, F.lit("")))
+
+
+def _reason(b: Column, is_post_body: Column) -> Column:
+    """Of a trimmed text. The first rule that fits counts. Lengths come before patterns: most texts are too long for
+    most rules. A long comment can't be dropped by the rules after the one on review terms, so it isn't searched for
+    them."""
+    n, review, ask = F.length(b), has(b, L.REVIEW_TERMS), has(b, L.ASKS)
+    marks = n - F.length(F.replace(b, F.lit("?"), F.lit("")))
+    return (
+        F.when((n <= 9) & F.lower(b).isin(L.DELETED), "empty")
+        .when((n <= LONGEST_REACTION) & has(b, L.REACTIONS), "reaction")
+        .when(has(b, L.COURSE_CODE), "course_code")
+        .when((n <= 100) & ask, "ask")
+        .when((n <= 100) & b.endswith("?") & review, "ask")
+        .when(is_post_body & (n < 400) & (marks >= 2), "ask")
+        .when(is_post_body | (n <= 160), F.when(review, F.lit(None)).otherwise(_without_terms(b, n, ask, is_post_body)))
+    )
+
+
+def _without_terms(b: Column, n: Column, ask: Column, is_post_body: Column) -> Column:
+    """Of texts without review terms that are short or a post's."""
+    return F.when(has(b, L.REQUESTS), "request").when((n > 100) & ask, "ask").when((n <= 80) & has(b, L.THANKS), "thanks").when(n < 80, "too_short").when(is_post_body & (n < 150), "thin")
 
 
 def present(text: Column, keyword: str) -> Column:
@@ -76,5 +87,6 @@ def signals_by(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def triage(df: DataFrame, text: str, is_post_body: bool) -> DataFrame:
     """df with is_review (0/1) set and drop_reason added."""
-    out = df.withColumn("drop_reason", drop_reason(F.col(text), F.lit(is_post_body)))
+    trimmed = df.withColumn("__text", _trimmed(F.col(text)))
+    out = trimmed.withColumn("drop_reason", _reason(F.col("__text"), F.lit(is_post_body))).drop("__text")
     return out.withColumn("is_review", F.col("drop_reason").isNull().cast("int"))

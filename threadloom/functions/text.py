@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from threadloom.functions import lookups as L
 
 SPACES = r"(?U)\s+"
+# Fixed value: Unicode's White_Space, which is what \s is in these patterns.
+WHITE_SPACE = "\t\n\x0b\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _MARKS = {chr(c): b for c in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)] if len(b := "".join(x for x in unicodedata.normalize("NFD", chr(c)) if not unicodedata.combining(x))) == 1 and b != chr(c)}
 
 
@@ -31,10 +33,9 @@ def has(text: Column, pattern: str) -> Column:
     return text.rlike(ci(pattern))
 
 
-def strip(text: Column, extra: str = "") -> Column:
-    """Without white space, or the characters of a class body, at both ends."""
-    kinds = f"[{extra}]" if extra else r"\s"
-    return F.regexp_replace(text, f"(?U)^{kinds}+|{kinds}+$", "")
+def strip(text: Column, characters: str = WHITE_SPACE) -> Column:
+    """Without white space, or the characters given, at both ends. Looks at the ends only."""
+    return F.btrim(text, F.lit(characters))
 
 
 def squeeze(text: Column) -> Column:
@@ -131,7 +132,7 @@ def split_name(raw: Column) -> Column:
 def clean_name(last: Column, first: Column) -> Column:
     """struct(last, first) without honorifics, a section glued to the surname, and noise after the given name."""
     name = F.struct(
-        strip(F.regexp_replace(without_honorifics(F.coalesce(last, F.lit(""))), ci(L.LEADING_SECTION), ""), r" \-–—:").alias("last"),
+        strip(F.regexp_replace(without_honorifics(F.coalesce(last, F.lit(""))), ci(L.LEADING_SECTION), ""), " -–—:").alias("last"),
         strip(F.regexp_replace(without_honorifics(F.coalesce(first, F.lit(""))), ci(L.TRAILING_NOISE), "")).alias("first"),
     )
     return let(name, lambda n: F.when((n["last"] == "") & (n["first"] != ""), split_name(n["first"])).otherwise(n))

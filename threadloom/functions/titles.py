@@ -20,6 +20,9 @@ FORMS = {
     "informal": (r"^\[([A-Za-z]+)\]\s*(.+?)\s*-\s*([^()\[\],]+?)" + _TAIL, {"campus": 1, "course": 2, "name": 3}),
     "dashless": (r"^\[([A-Za-z]+)\]\s+(.+)$", {"campus": 1, "body": 2}),
 }
+#: What a title must hold to fit a form; looked for before the pattern, which is dear.
+_HOLDS = {"standard": "[-,", "swapped": "[-,", "bare": "-,", "informal": "[-", "dashless": "["}
+_CUT = "\x01"
 
 
 def is_section(token: Column) -> Column:
@@ -65,22 +68,26 @@ def clean_fields(course: Column, last: Column, first: Column) -> Column:
     return let(let(raw, move), finish)
 
 
-def valid(course: Column, last: Column, first: Column, title: Column) -> Column:
-    """Whether cleaned fields are a parse, and not chatter that fits a form by accident."""
+def chatter(title: Column) -> Column:
+    """Whether a title asks or looks for something: then it isn't parsed, whatever form it fits."""
+    return F.contains(title, F.lit("?")) | has(title, L.CLASSMATE_HUNT) | has(title, L.META_HUNT)
+
+
+def valid(course: Column, last: Column, first: Column) -> Column:
+    """Whether cleaned fields are a parse, and not words that fit a form by accident."""
     bare = lambda c: F.regexp_replace(F.lower(c), "[!,.]+$", "")
     words = lambda c: F.size(tokens(c))
     bad = [
         course == "", last == "", first == "",
-        F.contains(title, F.lit("?")), has(title, L.CLASSMATE_HUNT), has(title, L.META_HUNT),
         last.rlike(r"(?U)\d"), first.rlike(r"(?U)\d"),
         bare(last).isin(L.TITLE_JUNK_NAMES), bare(first).isin(L.TITLE_JUNK_NAMES),
         F.lower(course).rlike("|".join(L.COURSE_PHRASES)),
         (words(course) > 6) & ~course.rlike(r"(?U)\d"), words(first) > 6,
     ]
-    out = plausible_name(last, first)
-    for x in bad:
+    out = ~bad[0]
+    for x in bad[1:]:
         out = out & ~x
-    return out
+    return out & plausible_name(last, first)
 
 
 def primary_title(title: Column) -> Column:
@@ -88,14 +95,20 @@ def primary_title(title: Column) -> Column:
     return strip(F.regexp_extract(F.translate(strip(title), "–—−", "---"), r"^([^;&]*)", 1))
 
 
-def _group(form: str, name: str, text: Column) -> Column:
+def _cut(form: str, t: Column) -> Column:
+    """The groups of a form's pattern, found at one go; null where the title doesn't fit."""
     pattern, groups = FORMS[form]
-    return F.regexp_extract(text, ci(pattern), groups[name])
+    holds = F.lit(True)
+    for c in _HOLDS[form]:
+        holds = holds & (F.startswith(t, F.lit(c)) if c == "[" else F.contains(t, F.lit(c)))
+    parts = F.split(F.regexp_replace(t, ci(pattern), _CUT.join(f"${i}" for i in groups.values())), _CUT)
+    return F.when(holds, let(parts, lambda p: F.when(F.size(p) == len(groups), p)))
 
 
-def _fields(form: str, t: Column) -> Column:
-    """struct(campus, course, last, first) of a form that fits; a null campus if it is unknown."""
-    get = lambda name: _group(form, name, t)
+def _fields(form: str, groups: Column) -> Column:
+    """struct(campus, course, last, first) from the groups of a form; a null campus if it is unknown."""
+    names = list(FORMS[form][1])
+    get = lambda name: F.get(groups, F.lit(names.index(name)))
     campus = (F.lit(L.DEFAULT_CAMPUS) if form == "bare" else canonical_campus(get("campus"))).alias("campus")
     if form == "informal":
         parts = F.filter(tokens(without_honorifics(F.regexp_replace(squeeze(get("name")), ci(r"^(?:under|with|by)\s+"), ""), L.HONORIFICS)), lambda w: ~is_section(w))
@@ -129,10 +142,12 @@ def parse(title: Column) -> Column:
     """struct(campus, course, last, first) of the first form whose fields are valid, or null. Forms after it aren't
     worked out: coalesce stops."""
 
-    def tried(t: Column) -> Column:
-        return F.coalesce(*[F.when(t.rlike(ci(pattern)), let(_fields(form, t), lambda f: F.when(f["campus"].isNotNull() & valid(f["course"], f["last"], f["first"], title), f))) for form, (pattern, _) in FORMS.items()])
+    def form(name: str, t: Column) -> Column:
+        good = lambda f: F.when(f["campus"].isNotNull() & valid(f["course"], f["last"], f["first"]), f)
+        return let(_cut(name, t), lambda g: F.when(g.isNotNull(), let(_fields(name, g), good)))
 
-    return let(primary_title(F.coalesce(title, F.lit(""))), tried)
+    text = F.coalesce(title, F.lit(""))
+    return F.when(~chatter(text), let(F.translate(primary_title(text), _CUT, " "), lambda t: F.coalesce(*[form(f, t) for f in FORMS])))
 
 
 def parse_titles(df: DataFrame, title: str = "title") -> DataFrame:
