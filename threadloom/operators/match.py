@@ -168,7 +168,7 @@ def disambiguate(cands: DataFrame, evidence: DataFrame, teaching: DataFrame) ->
     return rows.select("n", "instructor_id", kind.alias("match_type"), conf.alias("confidence"))
 
 
-def _cleaned(names: DataFrame, times: int = 1) -> DataFrame:
+def cleaned(names: DataFrame, times: int = 1) -> DataFrame:
     out = names.select("n", F.coalesce("last", F.lit("")).alias("last"), F.coalesce("first", F.lit("")).alias("first"))
     for _ in range(times):
         out = out.withColumn("c", clean_name(F.col("last"), F.col("first"))).select("n", "c.last", "c.first")
@@ -178,12 +178,12 @@ def _cleaned(names: DataFrame, times: int = 1) -> DataFrame:
 def match(names: DataFrame, keys: DataFrame, teaching: DataFrame) -> DataFrame:
     """names: n (unique), last, first, courses, university. One row for each name with a match: n, instructor_id,
     match_type, confidence. Null names match nothing."""
-    sure = direct(hits(_cleaned(names), keys))
+    sure = direct(hits(cleaned(names), keys))
     open_ = names.join(sure.select("n"), "n", "left_anti")
-    cands = candidates(hits(_cleaned(open_, 2), keys))
+    cands = candidates(hits(cleaned(open_, 2), keys))
     return sure.unionByName(disambiguate(cands, names, teaching))
 
 
 def match_all(names: DataFrame, keys: DataFrame) -> DataFrame:
     """All candidates of each name, in order."""
-    return candidates(hits(_cleaned(names), keys))
+    return candidates(hits(cleaned(names), keys))

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from threadloom.functions.text import name_variants, normalize_name
 
 
+#: Heads of spellings, of four letters, that are looked up in place; of more, every place of a text becomes a row.
+MOST_HEADS = 10_000
+
+
 def _quoted(text: Column) -> Column:
     """As a literal inside a pattern."""
     return F.concat(F.lit(r"\Q"), F.replace(text, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
@@ -83,7 +87,12 @@ def match_texts(texts: DataFrame, terms: DataFrame) -> DataFrame:
     runs = runs.select("text_id", F.explode(F.transform(F.sequence(F.lit(1), F.size(w) - F.col("words") + 1), lambda i: F.array_join(F.slice(w, i, F.col("words")), " "))).alias("variant")).distinct()
     whole = runs.join(index, "variant")
     long = index.where(F.length("variant") >= 8).withColumn("head", F.substring("variant", 1, 4))
-    heads = norm.where(F.length("norm") >= 8).select("text_id", "norm", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("norm") - 7), lambda i: F.substr(F.col("norm"), i, F.lit(4))))).alias("head"))
+    windows = F.transform(F.sequence(F.lit(1), F.length("norm") - 7), lambda i: F.substr(F.col("norm"), i, F.lit(4)))
+    # where few spellings have such heads, other places of a text go before they become rows
+    known = [r[0] for r in long.select("head").distinct().limit(MOST_HEADS + 1).collect()]
+    if len(known) <= MOST_HEADS:
+        windows = F.filter(windows, lambda w: w.isin(known))
+    heads = norm.where(F.length("norm") >= 8).select("text_id", "norm", F.explode(F.array_distinct(windows)).alias("head"))
     inside = heads.join(long, "head").where(F.contains("norm", F.col("variant")))
     names = ["text_id", "variant", "term", "place", "words"]
     hits = whole.select(names).unionByName(inside.select(names)).distinct()

@@ -55,6 +55,11 @@ SELECT 'c' || CAST(c_custkey AS STRING) AS id, {pick(LASTS + "|TBA|1 Francisco",
   {pick(CAMPUSES, "c_custkey")} AS campus FROM {{customer}}"""
 ENTITY_POSTS = "SELECT CAST(o_orderkey AS STRING) AS post_id, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE 'c' || CAST(o_custkey AS STRING) END AS professor_id FROM {orders}"
 
+#: Pairs of surname and given name, one for each rule of plausible names and for what cleaning takes off.
+ODD_LASTS = "Reyes||TBA|Cruz|Cruz?|C|Cruz|Cruz|Cruz|1a2|Dela|Cruz@up|cruz.com|Cruz/Reyes|Cruz|Dr. Cruz|Dela Cruz|WFX - Cruz|Santos-Reyes|Classmates"
+ODD_FIRSTS = "Juan|Juan Cruz|Staff||Ana|Ana|Math 21|a b c d e f g h i|Ana, Maria|Ana|Ana|Ana|Ana|Ana|Ana and Ben|Ma. Ana|Juan prerog|Ana|Ana|Ana"
+ODD_NAMES = f"SELECT c_custkey AS id, {pick(ODD_LASTS, 'c_custkey')} AS last_name, {pick(ODD_FIRSTS, 'c_custkey')} AS first_name FROM {{customer}}"
+
 ROSTER = f"""
 SELECT CAST(s_suppkey AS STRING) AS instructor_id, upper({pick("Reyes|Dela Cruz|Santos|Garcia|Penaflor|Go|Villanueva|De Guzman|Tan|Aquino|Lim", "s_suppkey")}) || ', ' ||
   upper({pick("Juan|Maria Clara|Mark Lester|Ana|Jose|Teresa M.|Pedro", "s_nationkey")}) AS name_normalized, s_name AS name_display, s_suppkey AS ord FROM {{supplier}}"""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions import classify, lookups, text
-from threadloom.functions.titles import parse_form, parse_titles
+from threadloom.functions.titles import FORMS, parse_form, parse_titles
 from threadloom.operators import dedupe, match, mentions, relational, report
 from threadloom.plans import fixtures as fx
 from threadloom.sources import fallback, store
@@ -73,13 +73,6 @@ def campus_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relational.campus_counts(parsed_titles(spark, sf_dir))
 
 
-@query(_EXPECTED + "SELECT count(*) AS total_posts, count(campus) AS parsed_posts, count(*) - count(campus) AS unparsed_posts, printf('%.1f%%', 100.0 * count(campus) / count(*)) AS parse_rate FROM parsed")
-def parse_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = parsed_titles(spark, sf_dir)
-    none = posts.limit(0)
-    return relational.stats(posts, none, none).select("total_posts", "parsed_posts", "unparsed_posts", "parse_rate")
-
-
 @query(_EXPECTED + "SELECT post_id, epoch(o_orderdate)::DOUBLE AS created_utc FROM parsed WHERE campus IS NULL")
 def unparsed_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = parsed_titles(spark, sf_dir).withColumn("created_utc", epoch("o_orderdate"))
@@ -92,7 +85,22 @@ def display_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.groupBy(text.display_name(F.col("last_name"), F.col("first_name")).alias("display")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+def _fits(form: str) -> str:
+    """Whether a title fits a form's pattern; look-ahead isn't to be had in DuckDB, so `bare` has it apart."""
+    pattern, ahead = FORMS[form][0], ""
+    if form == "bare":
+        at = pattern.index("(?!"), pattern.index(r"\s)") + 3
+        ahead = f"NOT regexp_matches(t, {_sql(r'^' + chr(92) + 's*' + pattern[at[0]:at[1]].replace('(?!', '(?:'))}) AND "
+        pattern = pattern[: at[0]] + pattern[at[1] :]
+    return f"{ahead}regexp_matches(t, {_sql(pattern)})"
+
+
+def _sql(pattern: str) -> str:
+    return "'(?i)" + pattern.replace("'", "''") + "'"
+
+
+@query("WITH titles AS (SELECT regexp_extract(translate(trim(title), '–—−', '---'), '^([^;&]*)', 1) AS t FROM (" + fx.TITLES + ") x) SELECT form, count(*) AS n FROM (SELECT CASE "
+    + " ".join(f"WHEN {_fits(f)} THEN '{f}'" for f in FORMS).replace("{", "{{").replace("}", "}}") + " END AS form FROM titles) f GROUP BY 1")
 def title_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_form(fx.frame(spark, sf_dir, fx.TITLES)).groupBy("form").agg(F.count(F.lit(1)).alias("n"))
 
@@ -101,11 +109,22 @@ def title_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-WITH w AS (SELECT doc_id, regexp_extract(text, '^([^ \t\n]+)', 1) AS word FROM documents)
-SELECT doc_id, trim(regexp_replace(strip_accents(lower(word)), '[.,;:''"!?()/\\]', '', 'g')) AS name FROM w""")
+SELECT doc_id, length(name) AS n, md5(name) AS name_md5 FROM (
+  SELECT doc_id, trim(regexp_replace(regexp_replace(strip_accents(lower(text)), '[.,;:''"!?()/\\]', '', 'g'), '\s+', ' ', 'g')) AS name FROM documents) x""")
 def normalize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    word = F.regexp_extract("text", r"^([^ \t\n]+)", 1)
-    return read(spark, sf_dir, "documents").select("doc_id", text.normalize_name(word).alias("name"))
+    """Whole texts as names."""
+    rows = read(spark, sf_dir, "documents").select("doc_id", text.normalize_name(F.col("text")).alias("name"))
+    return rows.select("doc_id", F.length("name").cast("long").alias("n"), F.md5("name").alias("name_md5"))
+
+
+@query("""
+SELECT id, (id % 20) IN (0, 1, 15, 16, 17, 18) AS plausible, CASE WHEN (id % 20) IN (1, 15, 17) THEN 'Cruz' ELSE last_name END AS last,
+  CASE WHEN (id % 20) IN (1, 16) THEN 'Juan' ELSE first_name END AS first FROM (""" + fx.ODD_NAMES + ") e")
+def odd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule of plausible names, and every kind of cleaning, by a pair that only it concerns."""
+    e = fx.frame(spark, sf_dir, fx.ODD_NAMES)
+    c = text.clean_name(F.col("last_name"), F.col("first_name"))
+    return e.select("id", text.plausible_name(F.col("last_name"), F.col("first_name")).alias("plausible"), c["last"].alias("last"), c["first"].alias("first"))
 
 
 @query("""
@@ -126,10 +145,6 @@ def course_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- classification -------------------------------------------------------------------------------------------------
 
 
-def _sql(pattern: str) -> str:
-    return "'(?i)" + pattern.replace("'", "''") + "'"
-
-
 def reason_sql(body: str, is_post: str) -> str:
     """The rules as SQL; white space at the ends is off `body` already."""
     at = lambda p: f"regexp_matches({body}, {_sql(p)})"
@@ -212,14 +227,26 @@ def conversation_threads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, D
 
 @query("""
 WITH f AS (SELECT conv_id, min(turn) AS t0 FROM conversations GROUP BY 1)
-SELECT c.conv_id::VARCHAR AS post_id, min_by(c.text, c.turn) AS title, count(*) FILTER (turn > t0) AS n_comments,
+SELECT c.conv_id::VARCHAR AS post_id, min_by(c.text, c.turn) AS title, min(s_name) AS last_name, count(*) FILTER (turn > t0) AS n_comments,
   md5(coalesce(string_agg(c.text, chr(10) ORDER BY turn, c.text) FILTER (turn > t0), '')) AS bodies_md5
-FROM conversations c JOIN f ON f.conv_id = c.conv_id GROUP BY c.conv_id""")
+FROM conversations c JOIN f ON f.conv_id = c.conv_id LEFT JOIN supplier ON s_suppkey = c.conv_id % 13 AND c.conv_id % 13 > 2 GROUP BY c.conv_id""")
 def thread_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Threads with their person: of thirteen two are linked to nobody known, one to nobody."""
     posts, comments = conversation_threads(spark, sf_dir)
-    none = spark.createDataFrame([], store.schema("entities"))
-    t = relational.threads(posts, comments, none)
-    return t.select("post.post_id", "post.title", F.size("comments").cast("long").alias("n_comments"), F.md5(F.array_join(F.transform("comments", lambda c: c["body"]), "\n")).alias("bodies_md5"))
+    link = F.pmod(F.col("post_id").cast("long"), F.lit(13))
+    posts = posts.withColumn("professor_id", F.when(link > 0, F.concat(F.lit("s"), link.cast("string"))))
+    s = read(spark, sf_dir, "supplier").where("s_suppkey > 2")
+    entities = s.select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_name").alias("last_name"), F.lit("").alias("first_name"), F.lit("UPD").alias("campus"))
+    t = relational.threads(posts, comments, entities)
+    return t.select("post.post_id", "post.title", "professor.last_name", F.size("comments").cast("long").alias("n_comments"), F.md5(F.array_join(F.transform("comments", lambda c: c["body"]), "\n")).alias("bodies_md5"))
+
+
+@query("""
+WITH f AS (SELECT conv_id, min(turn) AS t0 FROM conversations GROUP BY 1)
+SELECT c.conv_id::VARCHAR AS post_id, max(turn - t0 - 1)::INTEGER AS deepest, count(*) AS n FROM conversations c JOIN f ON f.conv_id = c.conv_id WHERE turn > t0 GROUP BY 1""")
+def thread_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, comments = conversation_threads(spark, sf_dir)
+    return comments.groupBy("post_id").agg(F.max("depth").alias("deepest"), F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT l_suppkey::VARCHAR AS professor_id, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS courses FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1")
@@ -259,10 +286,11 @@ def resume_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.unseen(read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("post_id"), "o_custkey"), seen)
 
 
-@query("SELECT c_custkey AS id, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("SELECT c_custkey AS id, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey - o_custkey % 3 FROM orders WHERE o_custkey IS NOT NULL)")
 def orphan_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts are linked to every third customer, so the others are orphans."""
     e = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_name")
-    return dedupe.orphans(e, read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("professor_id")))
+    return dedupe.orphans(e, read(spark, sf_dir, "orders").select((F.col("o_custkey") - F.col("o_custkey") % 3).alias("professor_id")))
 
 
 @query("SELECT event_id, epoch(ts)::DOUBLE AS at, strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN microsecond(ts) % 1000000 > 0 THEN '.' || lpad((microsecond(ts) % 1000000)::VARCHAR, 6, '0') ELSE '' END || '+00:00' AS iso FROM events WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15'")
@@ -371,12 +399,118 @@ def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.match_entities(fx.frame(spark, sf_dir, fx.ENTITIES), posts, roster, report.teaching(section, si, course))
 
 
-@query()
+_TAUGHT = """taught AS (SELECT DISTINCT l_suppkey::VARCHAR AS instructor_id, upper(replace((['Math', 'Eng', 'PHYSICS', 'Fil', 'Soc Sci'])[(l_partkey % 40) % 5 + 1], ' ', '')) || (l_partkey % 40)::VARCHAR AS code FROM lineitem),
+home AS (SELECT instructor_id, u AS university_id FROM (SELECT l_suppkey::VARCHAR AS instructor_id, (['upd', 'uplb', 'upm', 'upou', 'upv', 'upmin', 'upb', 'upc', 'upt'])[l_orderkey % 9 + 1] AS u,
+    row_number() OVER (PARTITION BY l_suppkey ORDER BY count(*) DESC, (['upd', 'uplb', 'upm', 'upou', 'upv', 'upmin', 'upb', 'upc', 'upt'])[l_orderkey % 9 + 1]) AS r FROM lineitem GROUP BY l_suppkey, l_orderkey % 9) x WHERE r = 1)"""
+_UNTAUGHT = "taught AS (SELECT '' AS instructor_id, '' AS code WHERE false), home AS (SELECT '' AS instructor_id, '' AS university_id WHERE false)"
+
+
+def match_sql(names: str, taught: str = _TAUGHT) -> str:
+    """CTEs that match `names` (CTEs that end in names0: n, l, f, courses, university; names cleaned) with the fixture's
+    roster: sure, cands, matched (n, instructor_id, match_type, confidence). Written from what names can be there."""
+    fold = lambda c: f"upper(strip_accents(regexp_replace({c}, '[.,]', '', 'g')))"
+    typed = lambda label: f"CASE WHEN tag = 'as_is' THEN '{label}' ELSE '{label}_' || tag END"
+    return f"""{names}, {taught},
+roster AS (SELECT s_suppkey::VARCHAR AS instructor_id, s_suppkey AS ord, s_name AS display, split_part(name_normalized, ', ', 1) AS l, replace(split_part(name_normalized, ', ', 2), '.', '') AS f
+  FROM (SELECT *, {fx.ROSTER[fx.ROSTER.index("upper("):fx.ROSTER.index(" AS name_normalized")]} AS name_normalized FROM supplier) s),
+keys AS (
+  SELECT 'exact' AS kind, l || ', ' || f AS key, max_by(instructor_id, ord) AS instructor_id, max(ord) AS ord, split_part(min(l), ' ', 1) AS first_word FROM roster GROUP BY l, f
+  UNION ALL SELECT 'token', l || ',' || split_part(f, ' ', 1), instructor_id, ord, split_part(l, ' ', 1) FROM roster
+  UNION ALL SELECT 'last', l, instructor_id, ord, split_part(l, ' ', 1) FROM roster
+  UNION ALL SELECT 'head', split_part(l, ' ', 1), instructor_id, ord, split_part(l, ' ', 1) FROM roster WHERE l LIKE '% %'
+  UNION ALL SELECT 'token', split_part(l, ' ', 1) || ',' || split_part(f, ' ', 1), instructor_id, ord, split_part(l, ' ', 1) FROM roster WHERE l LIKE '% %'),
+folded AS (SELECT n, {fold("l")} AS l, {fold("f")} AS f, string_split({fold("f")}, ' ') AS g FROM names0),
+tried AS (
+  SELECT n, 0 AS reading, 'as_is' AS tag, l AS lk, f AS fk FROM folded
+  UNION ALL SELECT n, 1, 'hyphen_head', split_part(l, '-', 1), f FROM folded WHERE strpos(l, '-') > 1
+  UNION ALL SELECT n, 3, 'reversed', f, l FROM folded WHERE f <> ''
+  UNION ALL SELECT n, 4, 'rotate', g[1], array_to_string(g[2:], ' ') || ' ' || l FROM folded WHERE len(g) > 1
+  UNION ALL SELECT n, 5, 'particle_join', g[-1] || ' ' || l, array_to_string(g[:-2], ' ') FROM folded WHERE len(g) > 1 AND g[-1] IN ('DELA', 'DE', 'DEL', 'DELOS', 'SAN')),
+reads AS (SELECT n, lk, fk, min(reading) AS reading, min_by(tag, reading) AS tag, list_filter(string_split(fk, ' '), lambda w: length(w) > 1) AS w FROM tried GROUP BY n, lk, fk),
+plain AS (SELECT *, CASE WHEN len(w) > 0 THEN array_to_string(w, ' ') ELSE fk END AS p, CASE WHEN len(w) > 0 THEN w[1] ELSE split_part(fk, ' ', 1) END AS token FROM reads),
+probes AS (
+  SELECT n, reading, tag, token, 1 AS tier, 'exact' AS kind, CASE WHEN p = '' THEN lk ELSE lk || ', ' || p END AS key FROM plain
+  UNION ALL SELECT n, reading, tag, token, 2, 'exact', lk || ', ' || fk FROM plain WHERE p <> fk
+  UNION ALL SELECT n, reading, tag, token, 3, 'token', lk || ',' || token FROM plain WHERE token <> ''
+  UNION ALL SELECT n, reading, tag, token, 4, 'last', lk FROM plain UNION ALL SELECT n, reading, tag, token, 5, 'head', lk FROM plain),
+found AS (SELECT n, reading, tag, tier, token, instructor_id, ord, first_word FROM probes JOIN keys USING (kind, key)),
+steps AS (SELECT *, CASE WHEN tier = 5 THEN 6 ELSE tier END AS t FROM found UNION ALL SELECT *, 5 FROM found WHERE tier = 5 AND token <> '' AND first_word = token),
+alone AS (SELECT n, reading, tag, t, min(instructor_id) AS instructor_id FROM steps GROUP BY n, reading, tag, t HAVING count(*) = 1),
+best AS (SELECT n, reading, tag, min(t) AS t, min_by(instructor_id, t) AS instructor_id FROM alone GROUP BY n, reading, tag),
+sure AS (SELECT n, instructor_id, CASE t WHEN 1 THEN {typed("exact")} WHEN 2 THEN 'exact' WHEN 3 THEN {typed("first_token")} ELSE 'last_head_first_token' END AS match_type,
+    CASE WHEN t <= 2 THEN 1.0 ELSE 0.8 END::DOUBLE AS confidence FROM best WHERE t IN (1, 2, 3, 5) QUALIFY row_number() OVER (PARTITION BY n ORDER BY reading) = 1),
+loose AS (SELECT * FROM found WHERE tier <> 2 QUALIFY tier = min(tier) OVER (PARTITION BY n, reading)),
+opened AS (SELECT *, min(reading) OVER (PARTITION BY n) AS r0 FROM loose),
+kept AS (SELECT * FROM (SELECT *, min(CASE WHEN reading = r0 THEN tier END) OVER (PARTITION BY n) AS t0 FROM opened) x WHERE t0 > 3 OR reading = r0),
+once AS (SELECT n, instructor_id, reading, ord, tier FROM kept QUALIFY row_number() OVER (PARTITION BY n, instructor_id ORDER BY reading, ord, tier) = 1),
+cands AS (SELECT n, instructor_id, row_number() OVER (PARTITION BY n ORDER BY reading, ord, tier) AS place, CASE tier WHEN 1 THEN 'exact' WHEN 3 THEN 'first_token' WHEN 4 THEN 'last_name_only' ELSE 'last_head_only' END AS match_type,
+    CASE tier WHEN 1 THEN 1.0 WHEN 3 THEN 0.8 WHEN 4 THEN 0.5 ELSE 0.45 END::DOUBLE AS base FROM once),
+asked AS (SELECT n, upper(regexp_replace(unnest(courses), '[^A-Za-z0-9]', '', 'g')) AS code FROM names0),
+overlap AS (SELECT DISTINCT cands.n, cands.instructor_id FROM cands JOIN asked ON asked.n = cands.n JOIN taught ON taught.instructor_id = cands.instructor_id
+  WHERE asked.code <> '' AND (starts_with(asked.code, taught.code) OR starts_with(taught.code, asked.code))),
+scored AS (SELECT cands.*, round(base + CASE WHEN overlap.n IS NULL THEN 0 ELSE 0.35 END + CASE WHEN coalesce(home.university_id, 'unknown') = university THEN 0.1 ELSE 0 END, 4)::DOUBLE AS s, len(coalesce(courses, [])) > 0 AS asks
+  FROM cands JOIN names0 ON names0.n = cands.n LEFT JOIN overlap ON overlap.n = cands.n AND overlap.instructor_id = cands.instructor_id LEFT JOIN home ON home.instructor_id = cands.instructor_id
+  WHERE cands.n NOT IN (SELECT n FROM sure)),
+firsts AS (SELECT *, lead(s) OVER w AS after, count(*) OVER (PARTITION BY n) AS c, row_number() OVER w AS r FROM scored WINDOW w AS (PARTITION BY n ORDER BY s DESC, place)),
+judged AS (SELECT *, s >= 0.8 AND asks AND s > base AS helped, coalesce(s < 0.8 AND s >= 0.7 AND round(s - after, 4) >= 0.25, false) AS clear FROM firsts WHERE r = 1),
+matched AS (SELECT * FROM sure UNION ALL SELECT n, instructor_id, CASE WHEN c > 1 AND (helped OR clear) THEN match_type || '+course' ELSE match_type END,
+    CASE WHEN c = 1 THEN base WHEN helped THEN least(0.95, s) WHEN clear THEN least(0.9, s) ELSE base END FROM judged WHERE c = 1 OR s >= 0.8 OR clear)"""
+
+
+#: Entities as names: of those that are plausible, with the courses of their posts.
+_NAMES = "WITH e AS (" + fx.ENTITIES + "), p AS (" + fx.ENTITY_POSTS + """),
+of AS (SELECT professor_id, list_sort(list(DISTINCT 'Math ' || (post_id::BIGINT % 40)::VARCHAR)) AS courses FROM p WHERE professor_id IS NOT NULL GROUP BY 1),
+names0 AS (SELECT id AS n, replace(last_name, '1 ', '') AS l, first_name AS f, courses, CASE WHEN upper(campus) IN ('UPD', 'UPLB', 'UPMIN') THEN lower(campus) END AS university
+  FROM e LEFT JOIN of ON professor_id = id WHERE last_name <> 'TBA')"""
+_STATUS = "CASE WHEN id NOT IN (SELECT n FROM names0) THEN 'junk' WHEN m.n IS NOT NULL THEN 'resolved' WHEN c.n IS NOT NULL THEN 'ambiguous' ELSE 'unresolved' END"
+_ENTITY_STATUS = match_sql(_NAMES) + f""", status AS (SELECT id, {_STATUS} AS status, m.instructor_id, m.match_type, m.confidence, CASE WHEN m.n IS NULL THEN coalesce(c.k, 0) ELSE 0 END::INTEGER AS n_candidates
+  FROM e LEFT JOIN (SELECT * FROM matched WHERE confidence >= 0.8) m ON m.n = id LEFT JOIN (SELECT n, least(count(*), 8) AS k FROM cands GROUP BY n) c ON c.n = id)"""
+
+
+def _braced(sql: str) -> str:
+    """SQL with braces of its own and tables in braces: only the tables' are for `duck`."""
+    out = sql.replace("{", "{{").replace("}", "}}")
+    for t in fx.TABLES:
+        out = out.replace("{{" + t + "}}", "{" + t + "}")
+    return out
+
+
+def _entity_names(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Names of plausible entities with their evidence, keys of the roster, and what is taught."""
+    roster, section, si, course = roster_tables(spark, sf_dir)
+    e = fx.frame(spark, sf_dir, fx.ENTITIES).where(text.plausible_name(F.col("last_name"), F.col("first_name")))
+    posts = fx.frame(spark, sf_dir, fx.ENTITY_POSTS).withColumn("course", F.concat(F.lit("Math "), (F.col("post_id").cast("long") % 40).cast("string")))
+    courses = relational.entity_courses(posts).withColumnRenamed("professor_id", "id")
+    names = e.join(courses, "id", "left").select(F.col("id").alias("n"), F.col("last_name").alias("last"), F.col("first_name").alias("first"), "courses", text.university(F.col("campus")).alias("university"))
+    return names, match.roster_keys(roster), report.teaching(section, si, course)
+
+
+@query(_braced(match_sql(_NAMES) + " SELECT n AS id, instructor_id, match_type, confidence FROM sure"))
+def match_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names, keys, _ = _entity_names(spark, sf_dir)
+    return match.direct(match.hits(match.cleaned(names), keys)).select(F.col("n").alias("id"), "instructor_id", "match_type", "confidence")
+
+
+@query(_braced(match_sql(_NAMES) + " SELECT n AS id, place::INTEGER AS place, instructor_id, match_type, base AS confidence FROM cands"))
+def match_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names, keys, _ = _entity_names(spark, sf_dir)
+    return match.match_all(names, keys).select(F.col("n").alias("id"), "place", "instructor_id", "match_type", "confidence")
+
+
+@query(_braced(match_sql(_NAMES) + " SELECT n AS id, instructor_id, match_type, confidence FROM matched"))
+def match_disambiguated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names, keys, taught = _entity_names(spark, sf_dir)
+    return match.match(names, keys, taught).select(F.col("n").alias("id"), "instructor_id", "match_type", "confidence")
+
+
+@query(_braced(_ENTITY_STATUS + " SELECT * FROM status"))
 def match_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _matched(spark, sf_dir).select("id", "status", "instructor_id", "match_type", "confidence", F.coalesce(F.size("candidates"), F.lit(0)).alias("n_candidates"))
 
 
-@query()
+@query(_braced(_ENTITY_STATUS + """ SELECT matched, ambiguous, unmatched, junk, scraped, scraped - junk AS considered, matched::VARCHAR || '/' || (scraped - junk)::VARCHAR AS match_rate
+FROM (SELECT count(*) FILTER (status = 'resolved') AS matched, count(*) FILTER (status = 'ambiguous') AS ambiguous, count(*) FILTER (status = 'unresolved') AS unmatched,
+  count(*) FILTER (status = 'junk') AS junk, count(*) AS scraped FROM status) s"""))
 def match_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.match_summary(_matched(spark, sf_dir))
 
@@ -400,13 +534,27 @@ def _resolved(spark: SparkSession, sf_dir: str, strategy: str) -> DataFrame:
     return report.resolve_mentions(posts, entities, roster, report.teaching(section, si, course), strategy=strategy)
 
 
-@query()
+_RECENT = match_sql(_EXPECTED + """, names0 AS (SELECT post_id AS n, last_name AS l, first_name AS f, [course] AS courses, 'upd' AS university FROM parsed WHERE campus = 'UPD'
+  ORDER BY o_orderdate DESC, post_id LIMIT 100)""") + """, status AS (SELECT names0.n AS post_id, l || ', ' || f AS professor,
+  CASE WHEN m.n IS NOT NULL THEN 'resolved' WHEN names0.n IN (SELECT n FROM cands) THEN 'ambiguous' ELSE 'unresolved' END AS status, m.instructor_id, m.match_type, m.confidence
+  FROM names0 LEFT JOIN (SELECT * FROM matched WHERE confidence >= 0.8) m ON m.n = names0.n)"""
+
+
+@query(_braced(_RECENT + " SELECT * FROM status"))
 def resolve_sample_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resolved(spark, sf_dir, "recent").select("post_id", "professor", "status", "instructor_id", "match_type", "confidence")
 
 
-@query()
+@query(_braced(_RECENT + """ SELECT *, round(resolved_count / sample_size, 4)::DOUBLE AS resolve_rate, printf('%.1f%%', 100.0 * resolved_count / sample_size) AS resolve_rate_pct, 0.8::DOUBLE AS acceptance_threshold,
+  resolved_count / sample_size >= 0.8 AS acceptance_met
+FROM (SELECT count(*) AS sample_size, count(*) FILTER (status = 'resolved') AS resolved_count, count(*) FILTER (status = 'ambiguous') AS ambiguous_count, count(*) FILTER (status = 'unresolved') AS unresolved_count FROM status) s"""))
 def resolve_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.resolve_report(_resolved(spark, sf_dir, "recent"))
+
+
+@query()
+def resolve_report_random(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The random sample is by Spark's own hash, which DuckDB lacks."""
     return report.resolve_report(_resolved(spark, sf_dir, "random"))
 
 
@@ -425,7 +573,8 @@ def review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("professor").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query(_braced(match_sql(_EXPECTED + ", names0 AS (SELECT DISTINCT last_name || ', ' || first_name AS n, last_name AS l, first_name AS f, NULL::VARCHAR[] AS courses, NULL::VARCHAR AS university FROM parsed WHERE campus IS NOT NULL)", _UNTAUGHT)
+    + " SELECT n AS name FROM names0 WHERE n NOT IN (SELECT n FROM matched WHERE confidence >= 0.8)"))
 def unresolved_sidecar(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts, entities = _linked_posts(spark, sf_dir)
     return report.review_rows(posts, _bodies(spark, sf_dir), entities, roster_tables(spark, sf_dir)[0])[1]
@@ -439,6 +588,53 @@ def entity_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.regexp_replace("professor", ", $", "").alias("id"), "total_discussions", F.array_join("courses", ",").alias("courses"))
 
 
+_ALL_NAMES = ", names0 AS (SELECT DISTINCT {0} AS n, last_name AS l, first_name AS f, NULL::VARCHAR[] AS courses, NULL::VARCHAR AS university FROM parsed WHERE campus IS NOT NULL)"
+_REASONS = ", b AS (SELECT l_orderkey, l_suppkey, body, " + reason_sql("body", "false") + " AS reason FROM (" + fx.BODIES + ") x)"
+
+
+@query(_braced(_EXPECTED + _REASONS + f"""
+SELECT *, total_posts - parsed_posts AS unparsed_posts, total_posts - review_posts AS dropped_posts, total_comments - review_comments AS dropped_comments, printf('%.1f%%', 100.0 * parsed_posts / total_posts) AS parse_rate
+FROM (SELECT count(*) AS total_posts, count(campus) AS parsed_posts, count(*) FILTER (o_custkey % 3 > 0) AS review_posts FROM parsed) p,
+  (SELECT count(*) AS total_comments, count(*) FILTER (reason IS NULL) AS review_comments FROM b) c, (SELECT count(DISTINCT {_ID}) AS total_professors FROM parsed WHERE campus IS NOT NULL) e"""))
+def parse_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts, entities = _linked_posts(spark, sf_dir)
+    return relational.stats(posts.withColumn("is_review", (F.col("o_custkey") % 3 > 0).cast("int")), _bodies(spark, sf_dir), entities)
+
+
+@query(_braced(match_sql(_EXPECTED + _ALL_NAMES.format("last_name || ', ' || first_name"), _UNTAUGHT) + _REASONS + """,
+known AS (SELECT names0.n, CASE WHEN confidence >= 0.8 THEN 'resolved' WHEN confidence IS NOT NULL THEN 'ambiguous' ELSE 'unresolved' END AS resolve_status,
+  CASE WHEN confidence >= 0.8 THEN display ELSE names0.n END AS professor, CASE WHEN confidence >= 0.8 THEN instructor_id END AS teacher
+  FROM names0 LEFT JOIN matched ON matched.n = names0.n LEFT JOIN (SELECT instructor_id, display FROM roster) r USING (instructor_id))
+SELECT professor, resolve_status, coalesce(teacher, 'none') AS teacher, count(*) AS n FROM (
+  SELECT last_name || ', ' || first_name AS n FROM parsed WHERE campus IS NOT NULL
+  UNION ALL SELECT last_name || ', ' || first_name FROM parsed JOIN b ON b.l_orderkey::VARCHAR = post_id WHERE campus IS NOT NULL AND reason IS NULL) x JOIN known USING (n) GROUP BY ALL"""))
+def review_rows_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts, entities = _linked_posts(spark, sf_dir)
+    rows, _ = report.review_rows(posts, _bodies(spark, sf_dir), entities, roster_tables(spark, sf_dir)[0])
+    teacher = F.when(F.startswith("teacherId", F.lit("reddit:")), "none").otherwise(F.col("teacherId"))
+    return rows.groupBy("professor", "resolve_status", teacher.alias("teacher")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(_braced(match_sql(_EXPECTED + _ALL_NAMES.format(_ID)) + f""", said AS (SELECT {_ID} AS id, string_agg(lower(body), chr(10)) AS t FROM parsed JOIN ({fx.BODIES}) b ON b.l_orderkey::VARCHAR = post_id WHERE campus IS NOT NULL GROUP BY 1),
+d AS (SELECT {_ID} AS id, min(campus) AS campus, md5(string_agg(course || '|' || post_id, ',' ORDER BY o_orderdate DESC, post_id)) AS discussions_md5, count(*) AS n FROM parsed WHERE campus IS NOT NULL GROUP BY 1)
+SELECT d.id, campus, d.n AS total_discussions, discussions_md5, m.instructor_id, m.match_type, university_id, codes, workload, grading, workload_heavy, pedagogy_clear FROM d
+LEFT JOIN matched m ON m.n = d.id LEFT JOIN home ON home.instructor_id = m.instructor_id LEFT JOIN (SELECT instructor_id, count(*) AS codes FROM taught GROUP BY 1) c ON c.instructor_id = m.instructor_id
+LEFT JOIN ({_signals_sql("(SELECT d.id, coalesce(t, '') AS t FROM d LEFT JOIN said ON said.id = d.id)", "id", "strpos(t, '{0}') > 0")}) s ON s.id = d.id"""))
+def entity_export_verified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole index: order of discussions, signals, and the roster's word on each person."""
+    posts, entities = _linked_posts(spark, sf_dir)
+    roster, section, si, course = roster_tables(spark, sf_dir)
+    # the id in the campus' place tells rows of one display name apart
+    e = report.entity_index(posts, _bodies(spark, sf_dir), entities.withColumn("campus", F.concat_ws("|", "id", "campus")), roster, report.teaching(section, si, course))
+    d = F.transform("discussions", lambda x: F.concat(x["course"], F.lit("|"), F.regexp_extract(x["url"], "([0-9]+)$", 1)))
+    s, v = "signals_summary", "crs_verified"
+    return e.select(
+        F.split("campus", r"\|")[0].alias("id"), F.split("campus", r"\|")[1].alias("campus"), "total_discussions", F.md5(F.array_join(d, ",")).alias("discussions_md5"), f"{v}.instructor_id", f"{v}.match_type",
+        F.nullif(f"{v}.university_id", F.lit("unknown")).alias("university_id"), F.size(f"{v}.official_courses").cast("long").alias("codes"), f"{s}.workload", f"{s}.grading",
+        F.col(f"{s}.workload_mentions.heavy").alias("workload_heavy"), F.col(f"{s}.pedagogy_mentions.clear").alias("pedagogy_clear"),
+    )
+
+
 # --- mentions of people in free text --------------------------------------------------------------------------------
 
 _PEOPLE = "GARCIA, MARK LESTER B.|Juan Dela Cruz|GO, Ana|Santos, Maria|Reyes, Pedro|Reyes, Ana"
@@ -463,3 +659,26 @@ def attribute_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT text_id, CASE m WHEN 0 THEN 'sir garcia' WHEN 1 THEN 'mark garcia' WHEN 2 THEN 'dela cruz j' WHEN 3 THEN 'ana go' WHEN 7 THEN 'prof santos' END AS variant, CAST(0.95 AS DOUBLE) AS confidence FROM s WHERE m IN (0, 1, 2, 3, 7)""")
 def match_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mentions.match_texts(fx.frame(spark, sf_dir, _MENTION), _people(spark)).select("text_id", "variant", F.col("confidence").cast("double").alias("confidence"))
+
+
+#: Texts by rung of the score ladder, and what each of _PEOPLE scores in them, in order. Garcia and the Santos are the
+#: only ones of their surname, the two Reyes aren't, and Go is a short one.
+_RUNGS = {
+    "asked Mark Lester Garcia twice": (0.95, 0, 0, 0, 0, 0),
+    "Garcia is strict, they say Mark smiles": (0.85, 0, 0, 0, 0, 0),
+    "it is garcia m. again": (0.95, 0, 0, 0, 0, 0),
+    "that garcia again": (0.60, 0, 0, 0, 0, 0),
+    "go on and ask ana": (0, 0, 0.85, 0, 0, 0),
+    "Dela Cruz only": (0, 0.60, 0, 0, 0, 0),
+    "reyes and santos": (0, 0, 0, 0.60, 0.30, 0.75),  # an initial, as it happens
+    "reyes, pedro": (0, 0, 0, 0, 0.95, 0.30),
+    "no name at all": (0, 0, 0, 0, 0, 0),
+}
+_SCORED = f"""SELECT CAST(o_orderkey AS STRING) AS text_id, {fx.pick("|".join(_RUNGS), "o_orderkey")} AS text FROM {{orders}}"""
+
+
+@query("WITH t AS (" + _SCORED + "), s(text, term, score) AS (VALUES " + ", ".join(f"('{t}', '{p}', {x}::DOUBLE)" for t, xs in _RUNGS.items() for p, x in zip(_PEOPLE.split("|"), xs, strict=True)) + ") SELECT text_id, term, score FROM t JOIN s USING (text)")
+def mention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    people = _people(spark)
+    pairs = fx.frame(spark, sf_dir, _SCORED).crossJoin(F.broadcast(people.select("term")))  # six people a text
+    return mentions.score_mentions(pairs, people).select("text_id", "term", F.col("score").cast("double").alias("score"))
