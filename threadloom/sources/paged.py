@@ -2,8 +2,9 @@
 
 Pages are JSON documents below `path`, as a listing service returns them: `data.children[].data` and an opaque cursor
 `data.after`, which names the next page's file (`<cursor>.json`; the first is `first.json`). Reading stops at a missing
-page, a body that isn't JSON, an empty page, no cursor, or `limit` items. A stream's offset is the cursor; each trigger
-reads the pages that have come since. An HTTP client can stand in by another `fetch`.
+page, a body that isn't JSON, an empty page, no cursor, or `limit` items. A stream's offset is a page's cursor and how
+many of its items were read: a last page may grow, and may name a next one later. A trigger reads at most
+`pagesPerTrigger` pages, which the driver holds. An HTTP client can stand in by another `fetch`.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition,
 
 FIELDS = "id string, title string, permalink string, url string, author string, selftext string, score double, num_comments double, created_utc double, stickied boolean, removed_by_category string"
 NAMES = [f.split()[0] for f in FIELDS.split(", ")]
+#: Pages that a stream's trigger reads unless the option says otherwise.
+PAGES_PER_TRIGGER = 50
 _NUMBERS = {"score", "num_comments", "created_utc"}
 
 
@@ -90,26 +93,33 @@ class _Reader(DataSourceReader):
 
 class _Stream(SimpleDataSourceStreamReader):
     def __init__(self, options):
-        self.path = options["path"]
+        self.path, self.most = options["path"], int(options.get("pagesPerTrigger", PAGES_PER_TRIGGER))
 
     def initialOffset(self) -> dict:
-        return {"cursor": "first"}
+        return {"cursor": "first", "seen": 0}
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        rows, cursor = [], start["cursor"]
-        for items, after in pages(file_page(self.path), cursor):
-            rows += map(_row, items)
-            cursor = after or f"{cursor}-end"
-            if not after:
+        rows: list[tuple] = []
+        cursor, seen = start["cursor"], start["seen"]
+        for n, (items, after) in enumerate(pages(file_page(self.path), cursor)):
+            rows += map(_row, items[seen:])
+            cursor, seen = (after, 0) if after else (cursor, max(seen, len(items)))
+            if not after or n + 1 == self.most:
                 break
-        return iter(rows), {"cursor": cursor}
+        return iter(rows), {"cursor": cursor, "seen": seen}
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        for items, after in pages(file_page(self.path), start["cursor"]):
-            yield from map(_row, items)
-            if after is None or after == end["cursor"]:
+        cursor, seen = start["cursor"], start["seen"]
+        while (cursor, seen) != (end["cursor"], end["seen"]):
+            found = next(pages(file_page(self.path), cursor), None)
+            if found is None:
                 return
-
+            items, after = found
+            if cursor == end["cursor"]:
+                yield from map(_row, items[seen : end["seen"]])
+                return
+            yield from map(_row, items[seen:])
+            cursor, seen = after, 0
 
 
 def register(spark) -> None:
