@@ -15,12 +15,12 @@ signature; an instance in which this could cost a set its last shared one keeps
 
 Buckets. Signatures travel packed, some 12 bytes each, by hash to parts of bounded size; only those that two sets share
 come out as rows. Linking needs no pair twice: first each set is checked against the set that leads most of its
-buckets; then components are formed. Buckets that still hold several components tie their sets into families, and a
-family's sets go to one task, with their elements and signatures. There sets that share `need` signatures and are in
-different components are checked, and a link unites them at once, so a task hands on at most one link less than it
-has sets, never pairs. A family too large for a task is cut into blocks: first each block by itself, then, where a
-family still holds several components, each pair of blocks. A family of very many blocks gets further rounds of
-leaders first. No link between different components is lost. Checks count the exact intersection.
+buckets; then components are formed. Of the buckets that still hold several components those led by one set make a
+unit, and a unit's sets go to one task, with their elements and signatures. There sets that share `need` signatures and
+are in different components are checked, and a link unites them at once, so a task hands on at most one link less than
+it has sets, never pairs. A unit too large for a task is cut into blocks: first each block by itself, then, where a
+unit still holds several components, each pair of blocks. Where a unit has very many blocks there are further rounds
+of leaders first. No link between different components is lost. Checks count the exact intersection.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.llm import shingles
-from threadloom.llm.common import partitions, written
+from threadloom.llm.common import give_back, keep, partitions, ranges, written
 from threadloom.llm.components import components
 from threadloom.llm.shingles import U, mix
 
@@ -129,17 +129,17 @@ def _sign(percent: int, words: int, parts: int):
     def run(batches):
         import pyarrow as pa
 
-        scheme = PartEnum(percent)
+        scheme, done = keep("ngram_join", percent, lambda: PartEnum(percent)), set()
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                b = batch.slice(at, 2048)
+            for at in range(0, batch.num_rows, 1024):
+                b = batch.slice(at, 1024)
                 sets = shingles.shingle_sets(b.column(1), words)
                 ids = np.array([shingles.set_id(s) for s in sets], np.int64)
                 sizes = np.array([len(s) for s in sets], np.int64)
                 keys, null = b.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), np.array(b.column(0).is_null().to_pylist(), bool)
-                heads, sigs, where, done = [], [], [], set()
+                heads, sigs, where = [], [], []
                 for i, s in zip(ids.tolist(), sets, strict=True):
-                    if i in done:  # copies in the batch
+                    if i in done:  # copies in the task: 8 bytes a row of its are remembered
                         continue
                     done.add(i)
                     for band, need, sig in scheme.signatures(s):
@@ -183,32 +183,31 @@ def _gather(batches):
 
     names = ["sig", "band", "need", "id", "k", "n"]
     new: dict[int, list] = {}
-    held: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+    held: dict[int, tuple] = {}
     count: dict[int, int] = {}
 
     def settle(p: int):
         """(sig, head) to hand on; the rest, and one of each signature handed on, is held."""
-        sig, head, sent = held.pop(p, (np.zeros(0, np.uint64), np.zeros((0, 3), np.int64), np.zeros(0, bool)))
-        blobs = new.pop(p, [])
-        sig = np.concatenate([sig, *(s for s, _, _ in blobs)])
-        head = np.concatenate([head, *(h[w] for _, h, w in blobs)])
-        sent = np.concatenate([sent, np.zeros(len(sig) - len(sent), bool)])
+        blobs = [held.pop(p, (np.zeros(0, np.uint64), np.zeros((0, 3), np.int64), np.zeros(0, np.int32), np.zeros(0, bool))), *new.pop(p, [])]
+        base = np.cumsum([0, *(len(b[1]) for b in blobs)]).astype(np.int32)
+        sig, heads = np.concatenate([b[0] for b in blobs]), np.concatenate([b[1] for b in blobs])
+        at = np.concatenate([b[2].astype(np.int32) + first for b, first in zip(blobs, base, strict=False)])
+        sent = np.concatenate([blobs[0][3], np.zeros(len(sig) - len(blobs[0][3]), bool)])
         del blobs
         # one row for each signature and set, one handed on before others
-        order = np.lexsort((~sent, head[:, 0], sig))
-        sig, head, sent = sig[order], head[order], sent[order]
+        order = np.lexsort((~sent, heads[at, 0], sig))
+        sig, at, sent = sig[order], at[order], sent[order]
         fresh = np.ones(len(sig), bool)
-        fresh[1:] = (sig[1:] != sig[:-1]) | (head[1:, 0] != head[:-1, 0])
-        sig, head, sent = sig[fresh], head[fresh], sent[fresh]
+        fresh[1:] = (sig[1:] != sig[:-1]) | (heads[at[1:], 0] != heads[at[:-1], 0])
+        sig, at, sent = sig[fresh], at[fresh], sent[fresh]
         first = np.ones(len(sig), bool)
         first[1:] = sig[1:] != sig[:-1]
-        group = np.cumsum(first) - 1
-        many = (np.bincount(group) > 1)[group] if len(group) else first
+        begin = np.flatnonzero(first)
+        many = np.repeat(np.diff(np.append(begin, len(sig))) > 1, np.diff(np.append(begin, len(sig))))
         out = many & ~sent
-        keep = first
-        held[p] = (sig[keep], head[keep], (sent | many)[keep])
-        # which set stands for a signature doesn't matter once it is handed on; count it as handed on
-        return sig[out], head[out]
+        used, again = np.unique(at[first], return_inverse=True)
+        held[p] = (sig[first], heads[used], again.astype(np.int32), (sent | many)[first])
+        return sig[out], heads[at[out]]
 
     def rows(sig, head):
         for i in range(0, len(sig), 65536):
@@ -230,6 +229,7 @@ def _gather(batches):
     for p in list(new):
         yield from rows(*settle(p))
         held.pop(p)
+    give_back()
 
 
 def _sets(words: int):
@@ -268,17 +268,12 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(_linked(percent), "a long, b long")
 
 
-#: Of a block of a family: elements and sets aimed at; a pair of blocks is one task's memory.
+#: Of a block of a unit: elements and sets aimed at; a pair of blocks is one task's memory.
 BLOCK_ELEMENTS, BLOCK_SETS = 1 << 20, 2_000
-#: A family of more blocks gets a further round of leaders, as long as rounds leave a tenth fewer rows.
+#: A unit of more blocks gets a further round of leaders, as long as rounds leave a tenth fewer rows.
 MANY_BLOCKS = 16
 
 
-def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """begin[0], begin[0] + 1, ... for each range."""
-    return np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)
-
-
 def _span(percent: int):
     """Links that unite the components of a block, or those of two blocks with each other's: sets that share as many
     signatures as both need are checked unless they are united already. At most one link less than there are sets."""
@@ -322,7 +317,7 @@ def _span(percent: int):
             found = np.zeros(n, bool)
             for q in np.unique(band[own]).tolist():
                 g = group[own][band[own] == q]
-                common = np.bincount(posted[_ranges(at[g], long[g])], minlength=n)
+                common = np.bincount(posted[ranges(at[g], long[g])], minlength=n)
                 found |= common >= np.maximum(least[q], least[q][x])
             near = np.flatnonzero(found & able)
             flags[element[begin[x] : begin[x] + size[x]]] = True
@@ -333,7 +328,7 @@ def _span(percent: int):
                 y = y[root[y] != root[x]]
                 if not len(y):
                     continue
-                inside = np.cumsum(np.append(0, flags[element[_ranges(begin[y], size[y])]]))
+                inside = np.cumsum(np.append(0, flags[element[ranges(begin[y], size[y])]]))
                 stop = np.cumsum(size[y])
                 shared = inside[stop] - inside[stop - size[y]]
                 for z in y[100 * shared >= percent * (size[x] + size[y] - shared)].tolist():
@@ -343,6 +338,8 @@ def _span(percent: int):
                         b.append(ids[z])
                         root[root == root[z]] = root[x]
             flags[element[begin[x] : begin[x] + size[x]]] = False
+        if size.sum() > BLOCK_ELEMENTS // 4:
+            give_back()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
@@ -361,20 +358,21 @@ def _lead(shared: DataFrame, turn: int) -> DataFrame:
     return votes.groupBy("id").agg(F.max_by("lead", F.struct("c", -F.col("lead"))).alias("lead")).select(F.col("id").alias("a"), F.col("lead").alias("b"))
 
 
-def _families(rest: DataFrame, sets: DataFrame) -> DataFrame:
-    """family, id, component, marks (its signatures), elements, blocks (of its family), block. All sets that share a
-    bucket of rest (sig, lead, band, need, id, component) are of one family."""
+def _units(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """unit, id, component, marks (all open signatures of the set), elements, blocks (of the unit), block. rest: sig,
+    lead, band, need, id, component. A unit is the sets that share a bucket led by one set; a set is in as many units
+    as its buckets have leaders, which are few, since of any two buckets with the same sets one set leads both."""
     spark = rest.sparkSession
-    family = components(rest.select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct()).select(F.col("node").alias("id"), F.col("component").alias("family"))
     marks = rest.groupBy("id").agg(F.first("component").alias("component"), F.collect_list(F.struct("sig", "band", "need")).alias("marks"))
-    rows = written(spark, marks.join(family, "id").join(sets, "id"), "families")
-    size = rows.groupBy("family").agg(F.sum(F.octet_length("elements") / 8).alias("elements"), F.count(F.lit(1)).alias("sets"))
+    own = written(spark, marks.join(sets, "id"), "open")
+    member = rest.select("id", F.col("lead").alias("unit")).distinct().join(own.select("id", (F.octet_length("elements") / 8).alias("elements")), "id")
+    size = member.groupBy("unit").agg(F.sum("elements").alias("elements"), F.count(F.lit(1)).alias("sets"))
     blocks = F.ceil(F.greatest(F.col("elements") / BLOCK_ELEMENTS, F.col("sets") / BLOCK_SETS)).cast("int")
-    rows = rows.join(size.select("family", blocks.alias("blocks")), "family")
-    return rows.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")).cast("int"))
+    member = written(spark, member.select("id", "unit").join(size.select("unit", blocks.alias("blocks")), "unit"), "units")
+    return member.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")).cast("int")).join(own, "id")
 
 
-_UNIT = ["family", "left", "right", "id", "component", "block", "elements", "marks"]
+_UNIT = ["unit", "left", "right", "id", "component", "block", "elements", "marks"]
 
 
 def jaccard_classes(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -413,24 +411,25 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT, words: int = WORDS,
         labels = components(links)
         # buckets that still hold several components
         named = _labelled(alive, labels)
-        open_ = named.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("id").alias("lead")).where("lo <> hi").select("sig", "lead")
-        rows = _families(written(spark, named.join(open_, "sig"), "rest"), sets)
+        first = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id"))
+        open_ = named.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), first.alias("l")).where("lo <> hi").select("sig", F.col("l.id").alias("lead"))
+        rows = _units(written(spark, named.join(open_, "sig"), "rest"), sets)
         most, left = rows.agg(F.max("blocks"), F.count(F.lit(1))).first()
         turn += 1
         if (most or 0) <= MANY_BLOCKS or (before is not None and left > 0.9 * before):
             break
         before = left
 
-    # each block by itself, then those of a family with each other where it still has several components
+    # each block by itself, then those of a unit with each other where it still has several components
     alone = rows.withColumns({"left": F.col("block"), "right": F.col("block")}).select(*_UNIT)
-    links = links.unionByName(written(spark, alone.groupBy("family", "left", "right").applyInArrow(_span(percent), "a long, b long"), "links"))
+    links = links.unionByName(written(spark, alone.groupBy("unit", "left", "right").applyInArrow(_span(percent), "a long, b long"), "links"))
     labels = components(links)
     if (most or 0) > 1:
         rows = _labelled(rows.where("blocks > 1").drop("component"), labels)
-        still = rows.groupBy("family").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("family")
+        still = rows.groupBy("unit").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("unit")
         others = F.transform(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: o != F.col("block")), lambda o: F.struct(F.least("block", o).alias("left"), F.greatest("block", o).alias("right")))
-        dealt = rows.join(still, "family", "left_semi").withColumn("of", F.explode(others)).withColumns({"left": F.col("of.left"), "right": F.col("of.right")}).select(*_UNIT)
-        links = links.unionByName(written(spark, dealt.groupBy("family", "left", "right").applyInArrow(_span(percent), "a long, b long"), "links"))
+        dealt = rows.join(still, "unit", "left_semi").withColumn("of", F.explode(others)).withColumns({"left": F.col("of.left"), "right": F.col("of.right")}).select(*_UNIT)
+        links = links.unionByName(written(spark, dealt.groupBy("unit", "left", "right").applyInArrow(_span(percent), "a long, b long"), "links"))
         labels = components(links)
 
     placed = classes.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
