@@ -157,3 +157,13 @@ def test_fallback(spark):
     empty, one = spark.createDataFrame([], "id string"), spark.createDataFrame([("x",)], "id string")
     assert [(r.id, r.source) for r in fallback.first_with_rows(fallback.ranked([("json", empty), ("archive", one), ("rss", one)])).collect()] == [("x", "archive")]
     assert fallback.source_order(False, False, "q", False) == ["archive", "rss"]
+
+
+def test_expressions_are_built_once(spark):
+    from threadloom.functions import text
+
+    a = spark.createDataFrame([("Dr. Cruz", "Ana", "Reyes", "Juan pls")], "l string, f string, l2 string, f2 string")
+    one, again, other = (text.clean_name(F.col(x), F.col(y)) for x, y in (("l", "f"), ("l", "f"), ("l2", "f2")))
+    assert one is again and one is not other
+    r = a.select(one.alias("x"), other.alias("y"), F.transform(F.array("l", "l2"), lambda v: text.split_name(v)["first"]).alias("z")).first()
+    assert (tuple(r.x), tuple(r.y), r.z) == (("Cruz", "Ana"), ("Reyes", "Juan"), ["Dr.", ""])

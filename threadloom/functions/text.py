@@ -5,10 +5,13 @@ Patterns run with Java's flags (?idU): case-insensitive, Unicode classes and bou
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Callable
+from functools import wraps
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.functions import lookups as L
@@ -24,6 +27,29 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+_built: WeakKeyDictionary = WeakKeyDictionary()
+#: How a plain column prints, other than a lambda's variable.
+_PLAIN = re.compile(r"Column<'(?![a-z]_\d+'>)[A-Za-z_]\w*'>")
+
+
+def built_once(build: Callable[..., Column]) -> Callable[..., Column]:
+    """A large expression over plain columns is built once a session: each of its nodes is a call to the JVM, so that
+    building takes longer than planning. Expressions are unresolved, so they serve any table with such columns."""
+
+    @wraps(build)
+    def wrapped(*columns: Column) -> Column:
+        names = tuple(map(str, columns))
+        if not all(map(_PLAIN.fullmatch, names)):
+            return build(*columns)
+        known = _built.setdefault(SparkSession.active(), {})
+        key = (build.__qualname__, names)
+        if key not in known:
+            known[key] = build(*columns)
+        return known[key]
+
+    return wrapped
+
+
 def ci(pattern: str) -> str:
     return f"(?idU){pattern}"
 
@@ -105,6 +131,7 @@ def without_honorifics(text: Column, honorifics: str = L.HONORIFICS_OF_NAMES) ->
     return joined(F.filter(tokens(text), lambda t: ~has(strip(t, r".,"), f"^(?:{honorifics})$")))
 
 
+@built_once
 def split_name(raw: Column) -> Column:
     """struct(last, first): at a comma (of a list of people, the first), else the last word with the particles before
     it, but never the first word, as surname."""
@@ -129,6 +156,7 @@ def split_name(raw: Column) -> Column:
     return let(strip(F.coalesce(raw, F.lit(""))), lambda s: let(strip(first_person(s)), parts))
 
 
+@built_once
 def clean_name(last: Column, first: Column) -> Column:
     """struct(last, first) without honorifics, a section glued to the surname, and noise after the given name."""
     name = F.struct(
@@ -138,6 +166,7 @@ def clean_name(last: Column, first: Column) -> Column:
     return let(name, lambda n: F.when((n["last"] == "") & (n["first"] != ""), split_name(n["first"])).otherwise(n))
 
 
+@built_once
 def plausible_name(last: Column, first: Column) -> Column:
     """Whether a cleaned pair can be a person's name."""
 
@@ -162,6 +191,7 @@ def plausible_name(last: Column, first: Column) -> Column:
     return let(clean_name(last, first), test)
 
 
+@built_once
 def name_variants(term: Column) -> Column:
     """struct(last, first, first_full, middle_initial, is_short, variants): the ordered spellings of a name."""
 

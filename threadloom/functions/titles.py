@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.functions import lookups as L
-from threadloom.functions.text import canonical_campus, ci, clean_name, entity_id, has, joined, let, plausible_name, squeeze, strip, title_case, tokens, without_honorifics
+from threadloom.functions.text import built_once, canonical_campus, ci, clean_name, entity_id, has, joined, let, plausible_name, squeeze, strip, title_case, tokens, without_honorifics
 
 _TAIL = r"\s*(?:\(.*\))?\s*$"
 #: Fixed patterns of the forms: what stands where in a title.
@@ -138,6 +138,7 @@ def _fields(form: str, groups: Column) -> Column:
     return let(fields, lambda f: F.struct(campus, f["course"].alias("course"), f["last"].alias("last"), f["first"].alias("first")))
 
 
+@built_once
 def parse(title: Column) -> Column:
     """struct(campus, course, last, first) of the first form whose fields are valid, or null. Forms after it aren't
     worked out: coalesce stops."""
