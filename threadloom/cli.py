@@ -83,12 +83,16 @@ def ingest(spark: SparkSession, store: Store, a: argparse.Namespace) -> int:
     if a.resume:
         posts = posts.join(store.read("posts").select("post_id"), "post_id", "left_anti")
     posts = posts.persist()
-    n = posts.count()
+    n, parsed = posts.agg(F.count(F.lit(1)), F.count("professor_id")).first()
     if n:
         store.merge(posts=posts, entities=raw.entities_from_posts(posts))
         got = load_comments(spark, store, a.raw, posts.limit(a.comments) if a.comments else posts, a.archive)
     posts.unpersist()
     print(f"{n} posts, {got if n else 0} comments")
+    totals = getattr(a, "totals", None)
+    if totals is not None:
+        for name, more in (("posts", n), ("comments", got if n else 0), ("parsed", parsed)):
+            totals[name] = totals.get(name, 0) + more
     return 0 if n or a.query or a.resume else 2
 
 
@@ -101,6 +105,22 @@ def enrich(spark: SparkSession, store: Store, a: argparse.Namespace) -> None:
     gaps.unpersist()
 
 
+def show_match(matched: DataFrame, taught: DataFrame) -> None:
+    """The lists of a match, then its summary; of junk only the first rows."""
+    lists = report.match_lists(matched, taught).persist()
+    counts = {r["status"]: r["count"] for r in lists.groupBy("status").count().collect()}
+    for status in ("resolved", "ambiguous", "unresolved", "junk"):
+        if counts.get(status):
+            print(f"{status} ({counts[status]})")
+            rows = lists.where(F.col("status") == status).orderBy("name", "campus")
+            for r in (rows.limit(report.LIST_JUNK) if status == "junk" else rows).toLocalIterator():
+                print("  " + " | ".join(str(x) for x in r[1:] if x not in (None, "")))
+            if status == "junk" and counts[status] > report.LIST_JUNK:
+                print(f"  +{counts[status] - report.LIST_JUNK} more")
+    lists.unpersist()
+    report.match_summary(matched).show(vertical=True)
+
+
 def reparse(store: Store, everything: bool) -> None:
     posts = store.read("posts")
     again = posts if everything else posts.where("professor_id is null")
@@ -158,7 +178,7 @@ def main(argv: list[str] | None = None) -> int:
     for name in ("stats", "clean-junk", "triage-reviews"):
         sub.add_parser(name)
     a = p.parse_args(argv)
-    spark = SparkSession.builder.appName("threadloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    spark = SparkSession.builder.appName("threadloom").config("spark.sql.session.timeZone", "UTC").config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate()
     store = Store(spark, a.store)
     try:
         if a.command in ("scrape", "scrape-all"):
@@ -166,7 +186,9 @@ def main(argv: list[str] | None = None) -> int:
         if a.command == "scrape":
             return ingest(spark, store, a)
         if a.command == "scrape-all":
+            a.totals = {}
             codes = [ingest(spark, store, argparse.Namespace(**vars(a) | {"sort": sort, "query": q, "limit": posts, "comments": comments, "resume": True})) for sort, q, posts, comments in scaled_passes(a.scale)]
+            print("in all: " + ", ".join(f"{n} {name}" for name, n in a.totals.items()))
             return max(codes)
         if a.command == "reparse":
             reparse(store, a.everything)
@@ -192,7 +214,7 @@ def main(argv: list[str] | None = None) -> int:
                 return 0 if a.command == "match" else 2
             official, taught = roster.load(spark, a.roster)
             if a.command == "match":
-                report.match_summary(report.match_entities(store.read("entities"), store.read("posts"), official, taught)).show(vertical=True)
+                show_match(report.match_entities(store.read("entities"), store.read("posts"), official, taught), taught)
                 return 0
             rows = report.resolve_mentions(store.read("posts"), store.read("entities"), official, taught, None if a.all_campuses else "UPD", a.strategy, a.sample, a.seed).persist()
             one = report.resolve_report(rows).first().asDict()

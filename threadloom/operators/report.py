@@ -58,6 +58,22 @@ def match_entities(entities: DataFrame, posts: DataFrame, roster: DataFrame, tau
     return e.select("id", display_name(F.col("last_name"), F.col("first_name")).alias("name"), "campus", F.coalesce("courses", F.array().cast("array<string>")).alias("scraped_courses")).join(s.withColumnRenamed("n", "id"), "id")
 
 
+#: Courses and candidates shown in a row of the match's lists, and rows of junk.
+LIST_COURSES, LIST_CANDIDATES, LIST_JUNK = 5, 3, 40
+
+
+def match_lists(matched: DataFrame, taught: DataFrame) -> DataFrame:
+    """A row per entity for the lists of a match: status, name, campus, instructor, match_type, confidence and note: the
+    first courses taught of a resolved name, the first candidates of an ambiguous one."""
+    t = taught.select("instructor_id", F.col("courses").alias("taught"))
+    rows = matched.join(t, "instructor_id", "left").withColumn("taught", F.coalesce("taught", F.array().cast("array<string>")))
+    more = F.size("taught") - LIST_COURSES
+    courses = F.concat(F.array_join(F.slice("taught", 1, LIST_COURSES), ", "), F.when(more > 0, F.concat(F.lit(" (+"), more.cast("string"), F.lit(")"))).otherwise(""))
+    people = F.array_join(F.transform(F.slice("candidates", 1, LIST_CANDIDATES), lambda c: F.concat(c["name"], F.lit(" ("), c["match_type"], F.lit(")"))), "; ")
+    note = F.when(F.col("status") == "resolved", courses).when(F.col("status") == "ambiguous", people).otherwise("")
+    return rows.select("status", "name", "campus", "instructor", "match_type", "confidence", note.alias("note"))
+
+
 def match_summary(matched: DataFrame) -> DataFrame:
     """One row: counts by status, considered, match_rate (`m/n`)."""
     n = lambda s: F.count_if(F.col("status") == s)
