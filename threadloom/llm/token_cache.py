@@ -14,15 +14,15 @@ from __future__ import annotations
 import hashlib
 import os
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadloom.llm.common import shared_dir
+from threadloom.llm.chunks import LONGEST, Known, distinct_ranges, text_slices
+from threadloom.llm.common import keep, shared_dir
 
 CACHE = T.StructType([T.StructField("tokenizer", T.StringType()), T.StructField("digest", T.BinaryType()), T.StructField("n_tokens", T.LongType())])
-#: Entries a worker keeps of counted chunks before it starts afresh; bounds its memory.
-MEMO = 300_000
 
 
 def tokenizer_version(path: str) -> str:
@@ -37,12 +37,9 @@ def _digest(text: Column, fold_space: bool) -> tuple[Column, Column]:
     return text, F.unhex(F.sha2(text, 256))
 
 
-_counter: dict = {}
-
-
-class ChunkCounter(dict):
-    """Counts of chunks between spaces. A space ends every token of the two kinds of files used with it, so the
-    counts of a text's chunks add up to the text's; chunks recur, texts hardly do."""
+class ChunkCounter:
+    """Counts of chunks between spaces. A space ends every token of the `.json` files used with it, so the counts of a
+    text's chunks add up to the text's; chunks recur, texts hardly do. Distinct chunks are found by 128-bit hashes."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -60,33 +57,59 @@ class ChunkCounter(dict):
             sp = sentencepiece.SentencePieceProcessor(model_file=path)
             self.encode = lambda xs: [len(x) for x in sp.encode(xs, num_threads=1)]
             self.by_chunk = False  # its pieces carry a prefix space: whole texts
-
-    def count(self, texts: list[str]) -> list[int]:
-        if not self.by_chunk:
-            return self.encode(texts)
-        if len(self) > MEMO:
-            self.clear()
-        split = [t.split(" ") for t in texts]
-        new = list({c for chunks in split for c in chunks if c not in self})
-        for i in range(0, len(new), 4096):
-            self.update(zip(new[i : i + 4096], self.encode(new[i : i + 4096]), strict=True))
-        get = self.__getitem__
-        return [sum(map(get, chunks)) for chunks in split]
+        self.known = Known()
+
+    def _library(self, raw: bytes, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        chunks = [raw[a:b].decode() for a, b in zip(begin.tolist(), stop.tolist(), strict=True)]
+        return np.array([n for i in range(0, len(chunks), 4096) for n in self.encode(chunks[i : i + 4096])], np.int64)
+
+    def _slice(self, data: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Chunks are the runs of anything but U+0020 in a text; those of more than LONGEST bytes aren't remembered."""
+        if not len(data):
+            return np.zeros(len(begin), np.int64)
+        raw, gap = data.tobytes(), data == 0x20
+        cut = ~gap
+        cut[1:] &= gap[:-1]
+        full = begin[begin < stop]
+        cut[full] = ~gap[full]
+        first = np.flatnonzero(cut)
+        edges = np.sort(np.concatenate([np.flatnonzero(gap), stop]))
+        last = edges[np.searchsorted(edges, first, "right")]
+        n = np.zeros(len(first), np.int64)
+        usual = np.flatnonzero(last - first <= LONGEST)
+        found = distinct_ranges(data, first[usual], last[usual])
+        if found is None:
+            usual = usual[:0]
+        else:
+            u, g, one, of = found
+            at, un, good = self.known.find(u, g)
+            new = np.flatnonzero(~good)
+            un[new] = self._library(raw, first[usual][one[new]], last[usual][one[new]])
+            n[usual] = un[of]
+            self.known.keep(u[new], g[new], at[new], un[new], 0)
+        rest = np.ones(len(first), bool)
+        rest[usual] = False
+        n[rest] = self._library(raw, first[rest], last[rest])
+        total = np.append(0, np.cumsum(n))
+        return total[np.searchsorted(first, stop)] - total[np.searchsorted(first, begin)]
+
+    def count(self, column, whole: bool = False) -> list[int]:
+        """column: an Arrow string array without nulls."""
+        if whole or not self.by_chunk:
+            return self.encode(column.to_pylist())
+        return np.concatenate([np.zeros(0, np.int64), *(self._slice(*s) for s in text_slices(column))]).tolist()
 
 
 def _count(path: str, whole: bool):
     def run(batches):
         import pyarrow as pa
 
-        if (path, whole) not in _counter:
-            _counter[path, whole] = ChunkCounter(path)
-            _counter[path, whole].by_chunk &= not whole
-        counter = _counter[path, whole]
+        counter = keep("token_cache", path, lambda: ChunkCounter(path))
         for b in batches:
             digests, texts = b.column(0), b.column(1)
-            for i in range(0, b.num_rows, 256):
-                got = counter.count(texts.slice(i, 256).to_pylist())
-                yield pa.RecordBatch.from_arrays([digests.slice(i, 256), pa.array(got, pa.int64())], ["digest", "n_tokens"])
+            for i in range(0, b.num_rows, 1024):
+                got = counter.count(texts.slice(i, 1024), whole)
+                yield pa.RecordBatch.from_arrays([digests.slice(i, 1024), pa.array(got, pa.int64())], ["digest", "n_tokens"])
 
     return run
 
