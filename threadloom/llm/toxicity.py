@@ -2,8 +2,9 @@
 
 Kernel. K(s, t) sums over common subsequences of ORDER characters, each weighed by DECAY to the length it spans in
 both, so gaps and inserted characters lower it but don't break it. A word is compared with each landmark; the value is
-divided by the landmark's own and cut at 1, so a stem counts alike in short and longer words; of words more than
-SPARE letters longer than the landmark it takes the share of those lengths. Values below FLOOR are 0.
+divided by the landmark's own; below FLOOR it is 0, and from ENOUGH on, which a landmark with one letter put in
+anywhere reaches, it is 1, so such words and a stem in short and longer words count alike. Of words more than SPARE
+letters longer than the landmark it takes the share of those lengths.
 A sentence's value for a landmark is its best word's; these are whitened by the landmarks' own kernel matrix
 (Nystroem) and go to a linear machine.
 
@@ -31,10 +32,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ORDER, DECAY, FLOOR, NEAR, WIDTH, SPARE = 4, 0.7, 0.4, 0.7, 32, 6
+from threadloom.llm.common import Memo, keep
+
+ORDER, DECAY, FLOOR, ENOUGH, NEAR, WIDTH, SPARE = 4, 0.7, 0.4, 0.69, 0.7, 32, 6
 LANDMARKS, MOST_LABELLED, THRESHOLD = 48, 800, 0.3
-#: Words a worker remembers as seen before it starts afresh; bounds its memory.
-MEMO = 600_000
+#: Bytes of words and their values that a worker remembers.
+MEMO = 48 << 20
 
 # Digits and signs that are read as letters.
 LOOKS = str.maketrans("013457@$", "oieastas")
@@ -136,7 +139,7 @@ class Machine:
             a, b = i[k : k + 20_000], j[k : k + 20_000]
             v = np.minimum(subsequence_kernel(codes[a], self.codes[b]) / self.own[b], 1)
             v *= np.minimum(1, (self.sizes[b] + SPARE) / np.maximum(1, (codes[a] > 0).sum(1)))
-            np.maximum.at(out, (at[a], b), np.where(v >= FLOOR, v, 0))
+            np.maximum.at(out, (at[a], b), np.where(v >= ENOUGH, 1, np.where(v >= FLOOR, v, 0)))
         return out
 
     def margin(self, values: np.ndarray) -> np.ndarray:
@@ -148,41 +151,41 @@ class Machine:
 
 
 class Scorer:
-    """Scores texts; remembers which words have no value."""
+    """Scores texts; remembers the values of words."""
 
     def __init__(self, machine: Machine):
-        self.machine, self.blank, self.hit = machine, set(), {}
+        self.machine, self.memo = machine, Memo(MEMO)
         self.none = float(machine.score(machine.margin(np.zeros((1, len(machine.landmarks)), np.float32)))[0])
 
-    def learn(self, words: set[str]) -> None:
-        new = list(words)
-        for k in range(0, len(new), 4096):
-            some = new[k : k + 4096]
-            values = self.machine.word_values([normal(w) for w in some])
-            good = values.any(1)
-            self.hit.update((some[i], values[i]) for i in np.flatnonzero(good).tolist())
-            self.blank.update(w for w, g in zip(some, good.tolist(), strict=True) if not g)
-
-    def sentence_values(self, text: str) -> list[np.ndarray]:
-        """Of the sentences with a word of value."""
+    def _learn(self, words: list[str]) -> list[np.ndarray | None]:
+        out: list[np.ndarray | None] = []
+        for k in range(0, len(words), 4096):
+            values = self.machine.word_values([normal(w) for w in words[k : k + 4096]])
+            out += [v.copy() if g else None for v, g in zip(values, values.any(1).tolist(), strict=True)]
+        return out
+
+    def values(self, words: set[str]) -> dict[str, np.ndarray]:
+        """Of the words that have a value."""
+        return {w: v for w, v in self.memo.of(words, self._learn).items() if v is not None}
+
+    def sentence_values(self, text: str, hit: dict[str, np.ndarray]) -> list[np.ndarray]:
+        """Of the sentences with a word of value. hit: those of the text's words that have one."""
         out = []
         for sentence in _SENTENCE.split(text):
-            words = sentence.split() + [spaced(x) for x in _SINGLES.findall(sentence)]
-            self.learn({w for w in words if w not in self.hit and w not in self.blank})
-            if got := [self.hit[w] for w in words if w in self.hit]:
+            got = [hit[w] for w in sentence.split() if w in hit]
+            if runs := {spaced(x) for x in _SINGLES.findall(sentence)}:
+                got += self.values(runs).values()
+            if got:
                 out.append(np.maximum.reduce(got))
         return out
 
     def scores(self, texts: list[str]) -> list[float]:
-        if len(self.blank) > MEMO:
-            self.blank.clear()
-            self.hit.clear()
         lower = [t.lower() for t in texts]
         words = [set(t.split()) for t in lower]
-        self.learn(set().union(*words).difference(self.blank, self.hit) if words else set())
+        hit = self.values(set().union(*words))
         out = []
         for t, w in zip(lower, words, strict=True):
-            values = self.sentence_values(t) if not self.hit.keys().isdisjoint(w) or _SINGLES.search(t) else []
+            values = self.sentence_values(t, hit) if not hit.keys().isdisjoint(w) or _SINGLES.search(t) else []
             out.append(float(self.machine.score(self.machine.margin(np.array(values)).max())) if values else self.none)
         return out
 
@@ -286,8 +289,8 @@ def fit(sample: list[tuple[str, int]], landmarks: int = LANDMARKS, seed: int = 5
     if not machine.landmarks or y.min() == y.max():
         return machine
     scorer = Scorer(machine)
-    scorer.learn(set().union(*[set(t.split()) for t in texts]))
-    by_doc = [scorer.sentence_values(t) for t in texts]
+    hit = scorer.values(set().union(*[set(t.split()) for t in texts]))
+    by_doc = [scorer.sentence_values(t, hit) for t in texts]
     rows = [(v, 1.0 if label else -1.0) for values, label in zip(by_doc, y, strict=True) for v in values]
     shapes = [x for z in machine.landmarks for _ in range(3) for x in _variants(z, rng)]
     rows += [(v, 1.0) for v in machine.word_values(shapes) if v.any()]
@@ -315,19 +318,17 @@ def held_out(key: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Machine:
     """Fit on labelled rows outside the held-out fold: at most `most` toxic and 2 * `most` others, of least hash.
 
-    Rows with a null key, text or label and keys without a document are left out.
+    Rows with a null key, text or label and keys without a document are left out; where documents repeat a key, the
+    least of their texts counts. Empty tables give a machine that scores everything alike.
     """
     own = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).where(F.col("k").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("k")))
     order = [F.xxhash64("k"), F.col("k"), F.col("y")]
     picked = own.where("y = 1").orderBy(*order).limit(most).unionByName(own.where("y = 0").orderBy(*order).limit(2 * most))
-    # 3 * most keys: a bounded side
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t is not null").join(F.broadcast(picked.distinct()), "k").collect()
+    # 3 * most keys: a bounded side; of documents that repeat a key the least text, so as many rows at most
+    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t is not null").join(F.broadcast(picked.distinct()), "k").groupBy("k", "y").agg(F.min("t").alias("t")).collect()
     return fit([(r["t"], r["y"]) for r in sorted(rows, key=lambda r: (r["k"], r["y"], r["t"]))])
 
 
-_scorers: dict = {}
-
-
 def score(docs: DataFrame, machine: Machine, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of docs: key, score (0 to 1).
 
@@ -341,13 +342,11 @@ def score(docs: DataFrame, machine: Machine, key: str = "doc_id", text: str = "t
     def run(batches):
         import pyarrow as pa
 
-        if name not in _scorers:
-            _scorers.clear()
-            _scorers[name] = Scorer(machine)
+        scorer = keep(f"toxicity {name}", None, lambda: Scorer(machine))
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 b = batch.slice(at, 512)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_scorers[name].scores(b.column(1).to_pylist()), pa.float64())], ["k", "score"])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scorer.scores(b.column(1).to_pylist()), pa.float64())], ["k", "score"])
 
     kind = docs.schema[key].dataType
     rows = docs.select(F.col(key).alias("k"), F.coalesce(text, F.lit("")).alias("t"))
@@ -365,13 +364,11 @@ def reject_toxic(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD
     def run(batches):
         import pyarrow as pa
 
-        if name not in _scorers:
-            _scorers.clear()
-            _scorers[name] = Scorer(machine)
+        scorer = keep(f"toxicity {name}", None, lambda: Scorer(machine))
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 b = batch.slice(at, 512)
-                found = _scorers[name].scores([x or "" for x in b.column(place).to_pylist()])
+                found = scorer.scores([x or "" for x in b.column(place).to_pylist()])
                 yield b.filter(pa.array([x < threshold for x in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
