@@ -4,8 +4,9 @@ Pre-tokenising works on whole batches without regex. Every code point gets a sym
 it where that matters); an eight-state automaton over these symbols tells where a piece begins. Its transition
 functions compose associatively, so the batch is cut into blocks: each block's function is built for all states at
 once, an exclusive scan composes the blocks' functions, and a second sweep marks the boundaries. The slices between
-boundaries go to pair merging by rank, memoised by slice. Decoding takes the token bytes by id and joins them;
-offsets of the pieces and of the ids are kept.
+boundaries go to pair merging by rank, memoised by slice. Offsets are kept beside the ids: where each slice begins,
+in code points and in ids. Decoding takes the token bytes by id and joins them; with the offsets it checks every
+slice's length, and it can decode a span of code points without the rest.
 
 Semantics of the pattern (fixed, as the public pattern has it): contractions `'s 't 're 've 'm 'll 'd` in lower
 case; an optional space before a run of letters, of numbers, or of other non-space characters; a run of white space
@@ -25,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from threadloom.llm.common import Memo, keep
+
 # Unicode's White_Space.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
@@ -57,19 +60,22 @@ def _automaton() -> tuple[np.ndarray, np.ndarray]:
 
 
 MOVE, BEGINS = _automaton()
-_classes: list[np.ndarray] = []
 #: Length of a block of the scan, and code points scanned at once.
-BLOCK, SCAN = 128, 1 << 21
+BLOCK, SCAN = 128, 1 << 18
+#: Bytes of pieces and their ids that a worker remembers.
+MEMO = 48 << 20
+
+
+def _classes() -> np.ndarray:
+    kinds = {"L": LETTER, "N": NUMBER}
+    of = np.fromiter((kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(sys.maxunicode + 1)), np.uint8, sys.maxunicode + 1)
+    of[WHITE_SPACE] = SPACE
+    return of
 
 
 def classes() -> np.ndarray:
     """The class of every code point; built once a worker."""
-    if not _classes:
-        kinds = {"L": LETTER, "N": NUMBER}
-        of = np.fromiter((kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(sys.maxunicode + 1)), np.uint8, sys.maxunicode + 1)
-        of[WHITE_SPACE] = SPACE
-        _classes.append(of)
-    return _classes[0]
+    return keep("byte_bpe", "classes", _classes)
 
 
 def symbols(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -126,9 +132,9 @@ def starts(sym: np.ndarray) -> np.ndarray:
     return np.flatnonzero(out.T.ravel()[:n])
 
 
-def split(texts: list[str]) -> list[list[str]]:
-    """The pieces of each text."""
-    out: list[list[str]] = []
+def split(texts: list[str]) -> list[tuple[list[str], np.ndarray]]:
+    """The pieces of each text, and the code point at which each begins."""
+    out: list[tuple[list[str], np.ndarray]] = []
     i = 0
     while i < len(texts):  # a bounded number of code points at once; one text is never cut
         j, size = i, 0
@@ -143,7 +149,7 @@ def split(texts: list[str]) -> list[list[str]]:
         pieces = [text[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
         first = 0
         for k in np.searchsorted(at, ends).tolist():
-            out.append(pieces[first:k])
+            out.append((pieces[first:k], at[first:k] - at[first]))
             first = k + 1
         i = j
     return out
@@ -152,9 +158,6 @@ def split(texts: list[str]) -> list[list[str]]:
 class ByteBpe:
     """Encoder and decoder for a rank file (base64 token, rank)."""
 
-    #: Pieces that a worker remembers before it starts afresh; bounds its memory.
-    MEMO = 400_000
-
     def __init__(self, path: str):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
@@ -164,7 +167,7 @@ class ByteBpe:
         self.tokens = np.empty(max(self.ranks.values()) + 1, object)
         for token, i in self.ranks.items():
             self.tokens[i] = token
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo(MEMO)
 
     def merge(self, pieces: list[str]) -> list[bytes]:
         """Packed ids of each piece: pairs merge by rank. Pieces go to the library in one call, kept apart by NUL,
@@ -179,62 +182,54 @@ class ByteBpe:
             got.update((p, packed[a:b]) for p, a, b in zip(some, [0, *(c + 4 for c in cuts)], [*cuts, len(packed)], strict=True))
         return [got[p] for p in pieces]
 
+    def encode_pieces(self, texts: list[str]) -> list[tuple[list[bytes], np.ndarray]]:
+        """Of each text the packed ids (little-endian uint32) of its pieces, and the code points where these begin."""
+        cut = split(texts)
+        get = self.memo.of(set().union(*[pieces for pieces, _ in cut]), self.merge).__getitem__
+        return [(list(map(get, pieces)), at) for pieces, at in cut]
+
     def encode_packed(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian uint32."""
-        if len(self.memo) > self.MEMO:
-            self.memo.clear()
-        memo, out = self.memo, []
-        cut = split(texts)
-        new = list(set().union(*cut).difference(memo))
-        memo.update(zip(new, self.merge(new), strict=True))
-        for pieces in cut:
-            out.append(b"".join(map(memo.__getitem__, pieces)))
-        return out
+        return [b"".join(pieces) for pieces, _ in self.encode_pieces(texts)]
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_packed([text])[0], "<u4").tolist()
 
-    def offsets(self, text: str) -> list[tuple[int, int]]:
-        """Code point spans of the pieces."""
-        at, out = 0, []
-        for p in split([text])[0]:
-            out.append((at, at + len(p)))
-            at += len(p)
-        return out
-
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(self.tokens[ids].tolist())
 
-
-_coders: dict[str, ByteBpe] = {}
+    def decode_span(self, ids: np.ndarray, id_at: np.ndarray, char_at: np.ndarray, first: int, last: int) -> str:
+        """Code points first to last (exclusive) of a text, from the ids of the pieces that hold them. A piece whose
+        ids don't give as many code points as the offsets say is an error."""
+        i = max(0, int(np.searchsorted(char_at, first, "right")) - 1)
+        j = int(np.searchsorted(char_at, last))
+        if j <= i:
+            return ""
+        starts, stops = id_at[i:j], np.append(id_at[i + 1 : j], id_at[j] if j < len(id_at) else len(ids))
+        pieces = [self.decode(ids[a:b]).decode() for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
+        held = np.diff(char_at[i : j + 1])
+        if any(len(p) != n for p, n in zip(pieces, held.tolist(), strict=False)):
+            raise ValueError("offsets and ids do not belong together")
+        return "".join(pieces)[first - int(char_at[i]) : max(0, last - int(char_at[i]))]
 
 
 def coder(path: str) -> ByteBpe:
-    if path not in _coders:
-        _coders[path] = ByteBpe(path)
-    return _coders[path]
+    return keep("byte_bpe", path, lambda: ByteBpe(path))
 
 
-def _batches(it, rows: int = 512):
+def _batches(it, rows: int = 256):
     """Batches of at most so many rows: bounds what a worker holds at once."""
     for b in it:
         for i in range(0, b.num_rows, rows):
             yield b.slice(i, rows)
 
 
-def _encode(path: str):
-    def run(it):
-        import pyarrow as pa
-
-        bpe = coder(path)
-        for b in _batches(it):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bpe.encode_packed(b.column(1).to_pylist()), pa.binary())], ["k", "ids"])
-
-    return run
+_OFFSETS = T.ArrayType(T.IntegerType())
 
 
 def encode(docs: DataFrame, ranks: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of docs: key, ids array<int>.
+    """One row per row of docs: key, ids, id_at and char_at, each array<int>: of every slice that was merged by
+    itself, the place of its first id and of its first code point.
 
     Null texts count as empty and have no ids; very long texts are encoded whole; repeated rows and null keys stay;
     further columns are ignored; an empty table gives none. ranks: a file each executor reads at that path.
@@ -243,18 +238,23 @@ def encode(docs: DataFrame, ranks: str, key: str = "doc_id", text: str = "text")
     def run(it):
         import pyarrow as pa
 
-        for b in _encode(ranks)(it):
-            lists = [np.frombuffer(x, "<u4").astype(np.int32) for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lists, pa.list_(pa.int32()))], ["k", "ids"])
+        bpe = coder(ranks)
+        for b in _batches(it):
+            got = bpe.encode_pieces(b.column(1).to_pylist())
+            ids = [np.frombuffer(b"".join(p), "<u4").astype(np.int32) for p, _ in got]
+            sizes = [np.fromiter(map(len, p), np.int32, len(p)) // 4 for p, _ in got]
+            columns = [ids, [np.cumsum(n, dtype=np.int32) - n for n in sizes], [at.astype(np.int32) for _, at in got]]
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, pa.list_(pa.int32())) for c in columns]], ["k", "ids", "id_at", "char_at"])
 
     kind = docs.schema[key].dataType
     rows = docs.select(F.col(key).alias("k"), F.coalesce(text, F.lit("")).alias("t"))
-    out = rows.mapInArrow(run, T.StructType([T.StructField("k", kind), T.StructField("ids", T.ArrayType(T.IntegerType()))]))
-    return out.select(F.col("k").alias(key), "ids")
+    out = rows.mapInArrow(run, T.StructType([T.StructField("k", kind), *[T.StructField(c, _OFFSETS) for c in ("ids", "id_at", "char_at")]]))
+    return out.withColumnRenamed("k", key)
 
 
 def decode(rows: DataFrame, ranks: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """One row per row: key, bytes binary. Null ids count as none; an id without a token is an error."""
+    """One row per row: key, bytes binary. Null ids count as none, repeated rows and null keys stay, an empty table
+    gives none; further columns are ignored; an id without a token is an error."""
 
     def run(it):
         import pyarrow as pa
@@ -266,7 +266,29 @@ def decode(rows: DataFrame, ranks: str, key: str = "doc_id", ids: str = "ids") -
 
     kind = rows.schema[key].dataType
     out = rows.select(F.col(key).alias("k"), F.col(ids).alias("ids")).mapInArrow(run, T.StructType([T.StructField("k", kind), T.StructField("bytes", T.BinaryType())]))
-    return out.select(F.col("k").alias(key), "bytes")
+    return out.withColumnRenamed("k", key)
+
+
+def decode_spans(rows: DataFrame, ranks: str, first: str = "first", last: str = "last", key: str = "doc_id") -> DataFrame:
+    """rows: as `encode` gives them, with two more columns: code points from `first` to before `last` are asked for.
+    key, text: only ids of the slices that hold some of the span are decoded. Beyond the text's end there is nothing;
+    a null in one of the columns gives a null text. Repeated rows and null keys stay; an empty table gives none."""
+
+    def run(it):
+        import pyarrow as pa
+
+        bpe = coder(ranks)
+        for b in _batches(it):
+            got = []
+            for ids, id_at, char_at, lo, hi in zip(*[b.column(i).to_pylist() for i in range(1, 6)], strict=True):
+                known = None not in (ids, id_at, char_at, lo, hi)
+                got.append(bpe.decode_span(*[np.array(x, np.int64) for x in (ids, id_at, char_at)], max(0, lo), max(0, hi)) if known else None)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.string())], ["k", "text"])
+
+    kind = rows.schema[key].dataType
+    asked = rows.select(F.col(key).alias("k"), "ids", "id_at", "char_at", F.col(first).cast("long").alias("lo"), F.col(last).cast("long").alias("hi"))
+    out = asked.mapInArrow(run, T.StructType([T.StructField("k", kind), T.StructField("text", T.StringType())]))
+    return out.withColumnRenamed("k", key)
 
 
 def round_trip(docs: DataFrame, ranks: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -278,7 +300,7 @@ def round_trip(docs: DataFrame, ranks: str, key: str = "doc_id", text: str = "te
         import pyarrow as pa
 
         bpe = coder(ranks)
-        decimal = np.array([str(i) for i in range(len(bpe.tokens))], object)
+        decimal = keep("byte_bpe", "decimal", lambda: np.array([str(i) for i in range(len(bpe.tokens))], object))
         for b in _batches(it):
             n, shas, decoded = [], [], []
             for packed in bpe.encode_packed(b.column(1).to_pylist()):
