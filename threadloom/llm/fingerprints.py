@@ -7,7 +7,9 @@ equal roots; where two roots differ, sections, then their paragraphs, then spans
 
 The printed fingerprint is the root, a colon, and the first `SHORT` hex digits of every leaf digest, paragraphs parted
 by dots, so two fingerprints can be compared without their texts. Likeness is twice the number of distinct leaves in
-common over the sum of both numbers (two empty texts: 1).
+common over the sum of both numbers (two empty texts: 1). It is found by descent: equal roots are equal texts; what
+lies below sections that agree in place and digest is common; of the other sections the paragraphs are compared by
+digest, and only the leaves of paragraphs that the other tree lacks are compared one by one.
 """
 
 from __future__ import annotations
@@ -15,8 +17,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPAN, SECTION, SHORT = 4, 16, 6
-#: Of the range buckets in which documents find their successors: rows aimed at, and the most there are.
+from threadloom.llm.common import written
+
+SPAN, SECTION, SHORT = 4, 16, 10
+#: Of the range buckets in which documents find their successors: rows aimed at, and the most bounds that a quantile
+#: is asked for at once.
 BUCKET_ROWS, MOST_BUCKETS = 2_048, 16_384
 
 _SPANS = r"(?:[^ ]*+ ){0,%d}[^ ]*+(?: |$)" % (SPAN - 1)
@@ -42,28 +47,46 @@ def root(sections: Column) -> Column:
     return F.sha2(F.array_join(sections, ","), 256)
 
 
-def short_leaves(tree: Column) -> Column:
-    """Distinct short leaf digests."""
-    return F.array_distinct(F.transform(F.flatten(tree), lambda d: F.substring(d, 1, SHORT)))
-
+def short(tree: Column) -> Column:
+    """array<string>: the first digits of each paragraph's leaf digests, joined by commas."""
+    return F.transform(tree, lambda p: F.array_join(F.transform(p, lambda d: F.substring(d, 1, SHORT)), ","))
 
-def printed(root_digest: Column, tree: Column) -> Column:
-    return F.concat(root_digest, F.lit(":"), F.array_join(F.transform(tree, lambda p: F.array_join(F.transform(p, lambda d: F.substring(d, 1, SHORT)), "")), "."))
 
-
-def likeness(a: Column, b: Column) -> Column:
-    """Of two arrays of distinct leaves."""
-    both = F.size(a) + F.size(b)
-    return F.when(both == 0, F.lit(1.0)).otherwise(F.lit(2.0) * F.size(F.array_intersect(a, b)) / both)
+def printed(root_digest: Column, shorts: Column) -> Column:
+    return F.concat(root_digest, F.lit(":"), F.translate(F.array_join(shorts, "."), ",", ""))
 
 
 def with_trees(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """For each text column: prefix, five columns <prefix>_tree, _paragraphs, _sections, _root, _leaves. Step by step,
+    """For each text column: prefix, five columns <prefix>_tree, _paragraphs, _sections, _root, _short. Step by step,
     so that no expression is worked out twice."""
     df = df.withColumns({f"{p}_tree": leaves(F.col(c)) for c, p in columns.items()})
-    df = df.withColumns({f"{p}_paragraphs": paragraph_digests(F.col(f"{p}_tree")) for p in columns.values()})
+    df = df.withColumns({f"{p}_paragraphs": paragraph_digests(F.col(f"{p}_tree")) for p in columns.values()} | {f"{p}_short": short(F.col(f"{p}_tree")) for p in columns.values()})
     df = df.withColumns({f"{p}_sections": section_digests(F.col(f"{p}_paragraphs")) for p in columns.values()})
-    return df.withColumns({f"{p}_root": root(F.col(f"{p}_sections")) for p in columns.values()} | {f"{p}_leaves": short_leaves(F.col(f"{p}_tree")) for p in columns.values()})
+    return df.withColumns({f"{p}_root": root(F.col(f"{p}_sections")) for p in columns.values()})
+
+
+def _distinct_leaves(paragraphs: Column) -> Column:
+    """Of paragraphs as `short` gives them, or with a digest and a colon before."""
+    return F.array_distinct(F.flatten(F.transform(paragraphs, lambda p: F.filter(F.split(F.substring_index(p, ":", -1), ","), lambda d: d != ""))))
+
+
+def with_likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
+    """df with `out`, from the trees of `with_trees` with prefixes a and b. Working columns go again."""
+    t = lambda name: F.col(f"{out}__{name}")
+    agree = lambda i: F.get(f"{a}_sections", F.floor(i / SECTION).cast("int")).eqNullSafe(F.get(f"{b}_sections", F.floor(i / SECTION).cast("int")))
+    nodes = lambda p: F.zip_with(f"{p}_paragraphs", f"{p}_short", lambda d, s: F.concat(d, F.lit(":"), s))
+    same, none = F.col(f"{a}_root") == F.col(f"{b}_root"), F.array().cast("array<string>")
+    rest = lambda p: F.when(same, none).otherwise(F.filter(nodes(p), lambda n, i: ~agree(i)))
+    steps = [
+        {"a": rest(a), "b": rest(b), "kept": F.when(same, none).otherwise(F.filter(f"{a}_short", lambda n, i: agree(i)))},
+        {"a_only": F.array_except(t("a"), t("b")), "b_only": F.array_except(t("b"), t("a")), "both": F.array_intersect(t("a"), t("b"))},
+        {"edited": F.array_intersect(_distinct_leaves(t("a_only")), _distinct_leaves(t("b_only"))), "whole": _distinct_leaves(F.concat(t("kept"), t("both")))},
+        {"common": F.size(F.array_union(t("whole"), t("edited"))), "sum": F.size(_distinct_leaves(F.col(f"{a}_short"))) + F.size(_distinct_leaves(F.col(f"{b}_short")))},
+    ]
+    for step in steps:
+        df = df.withColumns({f"{out}__{n}": c for n, c in step.items()})
+    value = F.when(same | (t("sum") == 0), F.lit(1.0)).otherwise(F.lit(2.0) * t("common") / t("sum"))
+    return df.withColumn(out, value).drop(*[f"{out}__{n}" for step in steps for n in step])
 
 
 def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -73,22 +96,27 @@ def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     are ignored; an empty table gives none. No shuffle.
     """
     t = with_trees(docs.select(F.col(key).alias("k"), F.col(text).alias("x")), {"x": "x"})
-    return t.select(F.col("k").alias(key), F.col("x_root").alias("root"), F.col("x_sections").alias("sections"), F.col("x_paragraphs").alias("paragraphs"), printed(F.col("x_root"), F.col("x_tree")).alias("fingerprint"))
+    return t.select(F.col("k").alias(key), F.col("x_root").alias("root"), F.col("x_sections").alias("sections"), F.col("x_paragraphs").alias("paragraphs"), printed(F.col("x_root"), F.col("x_short")).alias("fingerprint"))
 
 
 def locate_edits(a: DataFrame, b: DataFrame, key: str = "doc_id") -> DataFrame:
-    """a, b: as `fingerprint` gives them. key, same (boolean), edited: places (from 0) of paragraphs that differ, are
-    new or are gone. Only sections whose digests differ are descended into. Keys that are null or on one side only
-    give no row; a repeated key gives a row a pair."""
-    left = a.select(F.col(key).alias("k"), *[F.col(c).alias(f"a_{c}") for c in ("root", "sections", "paragraphs")])
-    right = b.select(F.col(key).alias("k2"), *[F.col(c).alias(f"b_{c}") for c in ("root", "sections", "paragraphs")])
-    both = left.join(right, F.col("k") == F.col("k2"))
-    n = F.greatest(F.size("a_sections"), F.size("b_sections"))
-    same = lambda kind, i: F.get(f"a_{kind}", i).eqNullSafe(F.get(f"b_{kind}", i))
-    sections = F.filter(F.sequence(F.lit(0), n - 1), lambda i: ~same("sections", i))
-    places = F.flatten(F.transform(sections, lambda s: F.sequence(s * SECTION, s * SECTION + SECTION - 1)))
-    edited = F.filter(places, lambda i: ~same("paragraphs", i))
-    return both.select(F.col("k").alias(key), (F.col("a_root") == F.col("b_root")).alias("same"), F.when(F.col("a_root") == F.col("b_root"), F.array().cast("array<int>")).otherwise(edited).alias("edited"))
+    """a, b: as `fingerprint` gives them. key, same (boolean), edited: places (from 0) in b of paragraphs that are new
+    or changed, gone: places in a of those that b lacks. Equal roots end the search; else paragraphs are aligned from
+    both ends, and between the ends told apart by digest, so one that is put in doesn't mark those after it. Keys that
+    are null or on one side only give no row; a repeated key gives a row a pair."""
+    left = a.select(F.col(key).alias("k"), F.col("root").alias("a_root"), F.col("paragraphs").alias("a"))
+    right = b.select(F.col(key).alias("k2"), F.col("root").alias("b_root"), F.col("paragraphs").alias("b"))
+    both = left.join(right, F.col("k") == F.col("k2")).withColumn("same", F.col("a_root") == F.col("b_root"))
+    run = lambda x, y: F.coalesce(F.nullif(F.array_position(F.zip_with(x, y, lambda p, q: p.eqNullSafe(q)), F.lit(False)), F.lit(0)), F.size(x) + 1) - 1
+    both = both.withColumn("head", F.least(run(F.col("a"), F.col("b")), F.size("a"), F.size("b")).cast("int"))
+    rest = lambda c: F.reverse(F.slice(c, F.col("head") + 1, F.greatest(F.size(c) - F.col("head"), F.lit(0))))
+    both = both.withColumns({"ra": rest("a"), "rb": rest("b")})
+    both = both.withColumn("tail", F.least(run(F.col("ra"), F.col("rb")), F.size("ra"), F.size("rb")).cast("int"))
+    middle = lambda c: F.slice(c, F.col("head") + 1, F.greatest(F.size(c) - F.col("head") - F.col("tail"), F.lit(0)))
+    both = both.withColumns({"ma": middle("a"), "mb": middle("b")})
+    both = both.withColumns({"new": F.array_except("mb", "ma"), "old": F.array_except("ma", "mb")})
+    places = lambda c, of: F.array_compact(F.transform(c, lambda d, i: F.when(F.array_contains(of, d), i + F.col("head"))))
+    return both.select(F.col("k").alias(key), "same", places("mb", F.col("new")).alias("edited"), places("ma", F.col("old")).alias("gone"))
 
 
 def _bucket(k: Column, bounds: list) -> Column:
@@ -111,19 +139,22 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     each row finds its successor within its bucket and a text is shuffled once. A key that many rows share shares
     their bucket's task; its rows spill there.
     """
-    rows = docs.select(F.col(key).alias("k"), F.coalesce(text, F.lit("")).alias("x"))
-    n = rows.count()
+    rows = docs.select(F.col(key).alias("k"), F.coalesce(text, F.lit("")).alias("x")).withColumn("h", F.xxhash64("x"))
+    # bounds and firsts come from a table of 16 bytes a row, so texts are read twice in all
+    keys = written(docs.sparkSession, rows.select("k", "h"), "keys")
+    n = keys.count()
     buckets = 1
     while buckets < MOST_BUCKETS and buckets * BUCKET_ROWS < n:
         buckets *= 2
     bounds = []
     if buckets > 1:
-        found = rows.agg(F.percentile_approx("k", [i / buckets for i in range(1, buckets)], 10 * buckets)).first()[0]
+        found = keys.agg(F.percentile_approx("k", [i / buckets for i in range(1, buckets)], 10 * buckets)).first()[0]
         bounds = sorted(found or [])
-    placed = rows.withColumn("h", F.xxhash64("x")).withColumn("b", _bucket(F.col("k"), bounds).cast("int"))
+    of = _bucket(F.col("k"), bounds).cast("int")
+    placed = rows.withColumn("b", of)
     order = F.struct(F.col("k").isNull().alias("n"), "k", "h")
     # at most MOST_BUCKETS rows of a few bytes, so these may be broadcast
-    firsts = placed.groupBy("b").agg(F.min(order).alias("f"))
+    firsts = keys.withColumn("b", of).groupBy("b").agg(F.min(order).alias("f"))
     before = F.coalesce(F.lag("b").over(Window.orderBy("b")), F.max("b").over(Window.partitionBy()))
     firsts = F.broadcast(firsts.select(F.col("b").alias("fb"), "f", before.alias("before")))
     first = F.col("k").eqNullSafe(F.col("f.k")) & (F.col("h") == F.col("f.h"))
@@ -141,15 +172,16 @@ def edit_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text", part
     key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. Edge cases as in
     `with_next` and `fingerprint`; one document alone is its own next.
     """
-    rows = with_next(docs, key, text).withColumn("n", F.length("x")).withColumn("q", F.floor(F.col("n") / part).cast("int"))
-    rows = rows.withColumn("e", F.concat(F.substring(F.col("x"), F.lit(1), F.col("n") - F.col("q")), F.substring(F.col("next"), F.lit(1), F.col("q"))))
-    rows = with_trees(rows, {"x": "x", "e": "e"}).withColumn("next_leaves", short_leaves(leaves(F.col("next"))))
+    rows = with_next(docs, key, text).withColumn("size", F.length("x")).withColumn("q", F.floor(F.col("size") / part).cast("int"))
+    rows = rows.withColumn("e", F.concat(F.substring(F.col("x"), F.lit(1), F.col("size") - F.col("q")), F.substring(F.col("next"), F.lit(1), F.col("q"))))
+    rows = with_trees(rows, {"x": "x", "e": "e", "next": "n"})
+    rows = with_likeness(with_likeness(rows, "x", "e", "near_edited"), "x", "n", "near_next")
     return rows.select(
         F.col("k").alias(key),
-        F.col("n").cast("long").alias("n_chars"),
+        F.col("size").cast("long").alias("n_chars"),
         F.sha2("e", 256).alias("edited_sha256"),
-        printed(F.col("x_root"), F.col("x_tree")).alias("fingerprint"),
-        printed(F.col("e_root"), F.col("e_tree")).alias("edited_fingerprint"),
-        likeness(F.col("x_leaves"), F.col("e_leaves")).alias("near_edited"),
-        likeness(F.col("x_leaves"), F.col("next_leaves")).alias("near_next"),
+        printed(F.col("x_root"), F.col("x_short")).alias("fingerprint"),
+        printed(F.col("e_root"), F.col("e_short")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
     )

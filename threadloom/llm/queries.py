@@ -71,13 +71,13 @@ n AS (SELECT doc_id, x, coalesce(lead(x) OVER (ORDER BY doc_id), first_value(x)
 e AS (SELECT *, left(x, n_chars - n_chars // 4) || left(nx, n_chars // 4) AS e FROM n),
 t AS (SELECT *, {_tree_sql("x")} AS xt, {_tree_sql("e")} AS et, {_tree_sql("nx")} AS nt FROM e),
 p AS (SELECT *, list_transform(xt, lambda p: sha256(array_to_string(p, ','))) AS xp, list_transform(et, lambda p: sha256(array_to_string(p, ','))) AS ep,
-  list_distinct(list_transform(flatten(xt), lambda d: substr(d, 1, 6))) AS xl, list_distinct(list_transform(flatten(et), lambda d: substr(d, 1, 6))) AS el,
-  list_distinct(list_transform(flatten(nt), lambda d: substr(d, 1, 6))) AS nl FROM t),
+  list_distinct(list_transform(flatten(xt), lambda d: substr(d, 1, 10))) AS xl, list_distinct(list_transform(flatten(et), lambda d: substr(d, 1, 10))) AS el,
+  list_distinct(list_transform(flatten(nt), lambda d: substr(d, 1, 10))) AS nl FROM t),
 s AS (SELECT *, list_transform(range(0, len(xp), 16), lambda i: sha256(array_to_string(xp[i + 1 : i + 16], '|'))) AS xs,
   list_transform(range(0, len(ep), 16), lambda i: sha256(array_to_string(ep[i + 1 : i + 16], '|'))) AS es FROM p)
 SELECT doc_id, n_chars::BIGINT AS n_chars, sha256(e) AS edited_sha256,
-  sha256(array_to_string(xs, ',')) || ':' || array_to_string(list_transform(xt, lambda p: array_to_string(list_transform(p, lambda d: substr(d, 1, 6)), '')), '.') AS fingerprint,
-  sha256(array_to_string(es, ',')) || ':' || array_to_string(list_transform(et, lambda p: array_to_string(list_transform(p, lambda d: substr(d, 1, 6)), '')), '.') AS edited_fingerprint,
+  sha256(array_to_string(xs, ',')) || ':' || array_to_string(list_transform(xt, lambda p: array_to_string(list_transform(p, lambda d: substr(d, 1, 10)), '')), '.') AS fingerprint,
+  sha256(array_to_string(es, ',')) || ':' || array_to_string(list_transform(et, lambda p: array_to_string(list_transform(p, lambda d: substr(d, 1, 10)), '')), '.') AS edited_fingerprint,
   CASE WHEN len(xl) + len(el) = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect(xl, el)) / (len(xl) + len(el)) END AS near_edited,
   CASE WHEN len(xl) + len(nl) = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect(xl, nl)) / (len(xl) + len(nl)) END AS near_next
 FROM s
@@ -166,11 +166,11 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP10_SQL = r"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]))::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """

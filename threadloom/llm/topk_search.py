@@ -12,7 +12,7 @@ size. So no block grows with the data, and no bin is dropped.
 Search: queries are packed into blocks by the annulus nearest to them. First each query is scored against that
 annulus alone, which gives a lower bound t of its k-th best score. Then the annuli are taken whose triangle bound
 max(rmin - d(q, p), d(q, p) - rmax, 0) allows a score of t or more; scores below t are not handed on. An annulus is
-sent once to the task that scores it, against all query blocks that need it. Bounds are loosened by a small relative
+sent to the task that scores it, against the query blocks that need it; where these are many, to several. Bounds are loosened by a small relative
 slack against rounding; the scores themselves are whole numbers and exact.
 """
 
@@ -24,15 +24,19 @@ from pyspark.sql import functions as F
 
 from threadloom.llm.common import written
 
+#: Each task knows all pivots and a bin table of them, some 16 MB at this number.
+MOST_PIVOTS = 1_024
+#: Query blocks that a task scores against a block, about.
+QUERY_BLOCKS = 16
 #: Components are exact while products' sums stay below 2^53.
 SLACK = 1e-6
 
 
 def integer_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: float = 64.0) -> DataFrame:
-    """k, v: floor(scale * x) of each component as array<long>. Rows with a null key, a null or empty vector, or a
-    null or non-finite component take no part; equal rows count once."""
+    """k, v: floor(scale * x) of each component as array<long>. Rows with a null key, a null vector, or a null or
+    non-finite component take no part; equal rows count once."""
     x = F.col("v")
-    whole = x.isNotNull() & (F.size(x) > 0) & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    whole = x.isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     got = rows.select(F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v")).where(F.col("k").isNotNull() & whole)
     return got.select("k", F.transform("v", lambda c: F.floor(c * scale)).alias("v")).distinct()
 
@@ -94,22 +98,34 @@ def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def exact_top_k(rows: DataFrame, queries: DataFrame, k: int = 20, pivots: int = 16, bins: int = 1024, block_rows: int = 4096, query_rows: int = 256) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k highest products of each query, ties to the smaller vec_id.
 
-    rows, queries: k, v as `integer_vectors` gives them. Rows with the query's own key take no part. Vectors whose
-    length isn't the most usual one take no part. Where fewer than k candidates exist all are given; no queries or
-    no candidates give an empty result. Ties, equal vectors and equal rows need no care of the caller.
+    rows, queries: k, v as `integer_vectors` gives them. Rows with the query's own key take no part. A product is of
+    two vectors of one length: each length that occurs has an index and a search of its own (vectors without
+    components score 0 with each other). `pivots` is the least number of them; it grows with the square root of the
+    number of blocks. Where fewer than k candidates exist all are given; no queries or no candidates give an empty
+    result. Ties, equal vectors and equal rows need no care of the caller; further columns are ignored.
     """
+    spark = rows.sparkSession
+    own = lambda df: df.select("k", F.size("v").alias("n"), F.when(F.size("v") == 0, F.array(F.lit(0).cast("long"))).otherwise(F.col("v")).alias("v"))
+    # the key may be repeated with other vectors; all are candidates
+    rows, queries = written(spark, own(rows), "vectors"), own(queries)
+    norm = F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)).alias("m2")
+    lengths = rows.groupBy("n").agg(F.count(F.lit(1)).alias("c"), norm).orderBy("n").collect()  # a row a length
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    for at in lengths:
+        own_pivots = max(pivots, int((at["c"] / block_rows) ** 0.5) * 2)
+        mine = lambda df, n=at["n"]: df.where(F.col("n") == n).select("k", "v")
+        found = _search(mine(rows), mine(queries), k, min(own_pivots, MOST_PIVOTS), float(at["m2"]), bins, block_rows, query_rows)
+        out = found if len(lengths) == 1 else out.unionByName(found)
+    return out
+
+
+def _search(rows: DataFrame, queries: DataFrame, k: int, pivots: int, m2: float, bins: int, block_rows: int, query_rows: int) -> DataFrame:
+    """The search among vectors of one length. m2: the square of the greatest norm."""
     import pyarrow as pa
 
     spark = rows.sparkSession
-    # the key may be repeated with other vectors; all are candidates
-    rows = written(spark, rows, "vectors")
-    lengths = rows.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("c"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)).alias("m2")).orderBy(F.desc("c"), "n").first()
-    if lengths is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    dims = lengths["n"]
-    rows, queries = rows.where(F.size("v") == dims), queries.where(F.size("v") == dims)
     chosen = rows.orderBy(F.xxhash64("k"), "k", "v").limit(pivots).select("v").collect()
-    index = Index(np.array([r["v"] for r in chosen], np.float64), float(lengths["m2"]), bins)
+    index = Index(np.array([r["v"] for r in chosen], np.float64), m2, bins)
 
     def place(batches):
         for b in batches:
@@ -185,8 +201,13 @@ def exact_top_k(rows: DataFrame, queries: DataFrame, k: int = 20, pivots: int =
                     pair = np.unique(np.column_stack([a[s], c[s], qa[i[s]], g[i[s]]]), axis=0)
                     yield pa.RecordBatch.from_arrays([pa.array(pair[:, x]) for x in range(4)], ["a", "c", "qa", "g"])
 
-    wanted = known.mapInArrow(needed, "a long, c long, qa long, g long").distinct()
-    sent = wanted.join(known, ["qa", "g"]).select(F.col("a").alias("sa"), F.col("c").alias("sc"), "k", "v", "t")
+    wanted = written(spark, known.mapInArrow(needed, "a long, c long, qa long, g long").distinct(), "wanted")
+    # a block that many query blocks need is sent to several tasks, each with some of them
+    per = wanted.groupBy("a", "c").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCKS).alias("tasks"))
+    wanted = wanted.join(per, ["a", "c"]).withColumn("task", F.pmod(F.xxhash64("qa", "g"), F.col("tasks")))
+    sent = wanted.join(known, ["qa", "g"]).select(F.col("a").alias("sa"), F.col("c").alias("sc"), "task", "k", "v", "t")
+    places = per.select(F.col("a").alias("pa"), F.col("c").alias("pc"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1)).alias("task"))
+    placed_blocks = block.join(places, (F.col("a") == F.col("pa")) & (F.col("c") == F.col("pc"))).select("a", "c", "task", "k", "v")
 
     def score(key, left, right):
         """left: queries that need this block, right: the block."""
@@ -208,7 +229,7 @@ def exact_top_k(rows: DataFrame, queries: DataFrame, k: int = 20, pivots: int =
                     got[2].append(line[best])
         return pa.table({n: pa.array(np.concatenate(g), pa.int64()) for n, g in zip(("query_id", "vec_id", "score"), got, strict=True)})
 
-    scored = sent.groupBy("sa", "sc").cogroup(block.groupBy("a", "c")).applyInArrow(score, "query_id long, vec_id long, score long")
+    scored = sent.groupBy("sa", "sc", "task").cogroup(placed_blocks.groupBy("a", "c", "task")).applyInArrow(score, "query_id long, vec_id long, score long")
     best = scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
