@@ -5,7 +5,8 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,6 +47,19 @@ def written(spark: SparkSession, df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 256) -> Iterator[None]:
+    """What is written meanwhile goes to Python in batches of so many rows, and not of Spark's 10,000, which are held
+    outside the heap by the executor and again by the worker. The session's setting comes back afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared store through Spark's own file system layer."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

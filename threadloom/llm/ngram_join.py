@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.llm import shingles
-from threadloom.llm.common import give_back, keep, partitions, ranges, written
+from threadloom.llm.common import give_back, keep, partitions, ranges, small_batches, written
 from threadloom.llm.components import components
 from threadloom.llm.shingles import U, mix
 
@@ -122,6 +122,24 @@ class PartEnum:
         return out
 
 
+#: Documents whose signatures travel in one blob a part.
+SIGNED = 1024
+
+
+def _joined(batches):
+    """Batches on end joined to some SIGNED rows or 4 MB."""
+    import pyarrow as pa
+
+    held: list = []
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) >= SIGNED or sum(x.nbytes for x in held) >= 4 << 20:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _sign(percent: int, words: int, parts: int):
     """Texts to packed rows by part. A batch's blob for a part: keys, sizes and ids of documents dealt there, and
     signatures of sets as 8-byte hashes with the place of their set in a table of (id, instance, need)."""
@@ -130,9 +148,9 @@ def _sign(percent: int, words: int, parts: int):
         import pyarrow as pa
 
         scheme, done = keep("ngram_join", percent, lambda: PartEnum(percent)), set()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                b = batch.slice(at, 1024)
+        for batch in _joined(batches):
+            for at in range(0, batch.num_rows, SIGNED):
+                b = batch.slice(at, SIGNED)
                 sets = shingles.shingle_sets(b.column(1), words)
                 ids = np.array([shingles.set_id(s) for s in sets], np.int64)
                 sizes = np.array([len(s) for s in sets], np.int64)
@@ -384,6 +402,11 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT, words: int = WORDS,
     A null key counts only where a component has no other; repeated rows are members alike. Very long texts are
     treated whole; an empty table gives empty results; further columns are ignored.
     """
+    with small_batches(docs.sparkSession):  # all tables are written here; what is returned has no Python
+        return _classes(docs, percent, words, key, text)
+
+
+def _classes(docs: DataFrame, percent: int, words: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("x"))
     size = rows.agg(F.sum(F.octet_length("x"))).first()[0] or 0
