@@ -13,11 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import word_count
+from threadloom.llm.common import word_count, written
 
-#: Buckets of the key space a source: powers of two up to this, by its number of rows.
-MOST_BUCKETS = 65_536
-#: Rows aimed at in a bucket.
+#: Rows aimed at in a bucket; buckets of a source are a power of two, by its number of rows.
 BUCKET_ROWS = 4_096
 #: Of the random keys.
 SEED = 20
@@ -56,12 +54,14 @@ def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most_epochs:
     key and stand beside each other; nothing is dropped. Documents without words take none. An empty table gives
     none; further columns are ignored.
     """
+    # every text is read once: what follows reads some 60 bytes a row
     rows = docs.select(F.col(key).alias("k"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), random_key(F.col(key), F.col(text), seed).alias("r"))
+    rows = written(docs.sparkSession, rows, "sizes")
     per = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
-    buckets = F.least(F.lit(MOST_BUCKETS), F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("n") / BUCKET_ROWS))))).cast("int")
+    buckets = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("n") / BUCKET_ROWS)))).cast("long")
     plan = targets(per.select("source", "source_size"), weights, share, most_epochs).alias("t").join(per.select(F.col("source").alias("s2"), buckets.alias("buckets")), F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
-    # the first four hex digits of the key, cut into the source's number of ranges
-    of = F.floor(F.conv(F.substring("r", 1, 4), 16, 10).cast("long") * F.col("buckets") / MOST_BUCKETS).cast("int")
+    # the first eight hex digits of the key, cut into the source's number of ranges
+    of = F.shiftright(F.conv(F.substring("r", 1, 8), 16, 10).cast("long") * F.col("buckets"), 32)
     keyed = rows.join(plan.withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2"))).drop("s2").withColumn("b", of)
     totals = keyed.groupBy(F.col("source").alias("s2"), F.col("b").alias("b2")).agg(F.sum("size").alias("words"))
     base = totals.withColumn("base", F.coalesce(F.sum("words").over(Window.partitionBy("s2").orderBy("b2").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("words")
