@@ -181,10 +181,39 @@ def test_fingerprints(docs, spark):
         assert rows[i].n_chars == len(t) and rows[i].edited_sha256 == hashlib.sha256(e.encode()).hexdigest()
     assert rows[0].fingerprint == rows[1].fingerprint != rows[2].fingerprint and rows[0].near_next == 1.0 and 0.5 < rows[0].near_edited
     a, b = (fingerprints.fingerprint(spark.createDataFrame([(1, t)], "doc_id long, text string")) for t in ("p\nq\nr", "p\nx\nr\ns"))
-    assert fingerprints.locate_edits(a, b).first().edited == [1, 3]
+    assert tuple(fingerprints.locate_edits(a, b).first())[1:] == (False, [1, 3], [1])
+    c, d = (fingerprints.fingerprint(spark.createDataFrame([(1, t)], "doc_id long, text string")) for t in ("\n".join(f"p {i}" for i in range(90)), "\n".join(["p 0", "put in", *(f"p {i}" for i in range(1, 90))])))
+    assert tuple(fingerprints.locate_edits(c, d).first())[1:] == (False, [1], []) and tuple(fingerprints.locate_edits(c, c).first())[1:] == (True, [], [])
     assert fingerprints.edit_likeness(empty(docs)).count() == 0
 
 
+def test_likeness_by_descent(spark):
+    """Against sets of leaf digests: repeated spans and paragraphs, edits in several sections, equal texts, empty ones."""
+    import hashlib
+
+    rng = random.Random(11)
+    lines = [" ".join(rng.choices("a b c d e".split(), k=rng.randint(0, 14))) for _ in range(120)]
+    texts = []
+    for _ in range(25):
+        own = rng.choices(lines, k=rng.randint(0, 70))
+        other = [x if rng.random() < 0.8 else rng.choice(lines) for x in own]
+        if other and rng.random() < 0.5:
+            other.insert(rng.randrange(len(other)), rng.choice(lines))
+        texts.append(("\n".join(own), "\n".join(other)))
+    texts += [("", ""), ("a b", "a b"), ("", "a")]
+
+    def leaves(t):
+        return {hashlib.md5(x.encode()).hexdigest()[: fingerprints.SHORT] for p in t.split("\n") for x in re.findall(r"(?:[^ ]* ){0,3}[^ ]*(?: |$)", p) if x}
+
+    want = {}
+    for i, (a, b) in enumerate(texts):
+        x, y = leaves(a), leaves(b)
+        want[i] = 2 * len(x & y) / (len(x) + len(y)) if x or y else 1.0
+    df = fingerprints.with_trees(spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "i long, a string, b string"), {"a": "x", "b": "y"})
+    got = {r.i: r.like for r in fingerprints.with_likeness(df, "x", "y", "like").select("i", "like").collect()}
+    assert got == pytest.approx(want)
+
+
 def test_token_files(docs, spark):
     from tokenizers import Tokenizer
 
@@ -208,6 +237,36 @@ def test_token_files(docs, spark):
     assert token_files.round_trip(empty(docs), path, folder + "-none", 2).count() == 0
 
 
+def test_token_files_of_odd_texts(spark, monkeypatch):
+    """Whole batches against the library: white space of all kinds, added tokens, long chunks, a small memory, null and
+    repeated keys, a long text; and a task that runs twice leaves one shard that the manifest names."""
+    from tokenizers import Tokenizer
+
+    from threadloom.llm import chunks
+
+    path, rng = P.path("byte_bpe_50k.json"), random.Random(2)
+    parts = ["a", "B", "é", "1", "٣", " ", "  ", "\n", "\t", "'", "'s", " 'll", "!", "\u3000", "漢", "\0", "\x1c", "😀", "\r\n", "word", "Ärger", ", ", "<|endoftext|>", "\xa0", ".", "\u2003", "\x85", "x" * 70]
+    odd = ["".join(rng.choices(parts, k=rng.randint(0, 25))) for _ in range(2500)]
+    own = Tokenizer.from_file(path)
+    want = [e.ids for e in own.encode_batch(odd, add_special_tokens=False)]
+    for memo, size in ((2_000_000, 1 << 20), (300, 2_000)):
+        monkeypatch.setattr(chunks, "MEMO", memo)
+        monkeypatch.setattr(chunks, "SLICE", size)
+        encoder = token_files.ChunkEncoder(path, 2)
+        for _ in range(2):
+            assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode_packed(odd)] == want
+    long = " ".join(rng.choices(odd, k=60_000))
+    rows = [(1, "b a"), (1, "a b"), (1, "a b"), (None, "x"), (None, None), (0, long)]
+    df = spark.createDataFrame([(k, t, 1, "p") for k, t in rows], "doc_id long, text string, n_tokens long, shard string")
+    manifest = token_files.write_token_files(df, path, shared_dir(spark, "files"), 2, shards=3)
+    got = [(r.k, r.n_tokens) for r in token_files.with_starts(token_files.read_token_files(manifest), manifest).orderBy("start").collect()]
+    size = lambda t: len(own.encode(t or "", add_special_tokens=False).ids) + 1
+    assert got[0] == (0, size(long)) and [k for k, _ in got] == [0, 1, 1, 1, None, None] and sorted(n for _, n in got) == sorted(size(t) for _, t in rows)
+    names = {r.path for r in manifest.collect()}
+    again = token_files.write_token_files(df, path, next(iter(names)).rpartition("/")[0], 2, shards=3)
+    assert names.isdisjoint(r.path for r in again.collect()) and token_files.read_token_files(manifest).count() == 6
+
+
 def test_token_cache(docs, spark):
     from tokenizers import Tokenizer
 
@@ -220,6 +279,69 @@ def test_token_cache(docs, spark):
     assert stored.count() == stored.select("digest").distinct().count()  # the second run appended nothing
 
 
+def test_token_cache_is_asked_first(spark):
+    """Stored counts are used as they are, for the same tokenizer only; equal content but for white space hits."""
+    from tokenizers import Tokenizer
+
+    path, cache = P.path("word_bpe_49k.json"), shared_dir(spark, "cache")
+    texts = [f"document number {i} of the second kind" for i in range(40)]
+    docs = spark.createDataFrame([(i, t, "c", i) for i, t in enumerate(texts)] + [(40, "  document\nnumber 0 of  the second kind", "c", 1), (None, None, "c", 1), (41, "", "c", 2)], "doc_id long, text string, digest string, n_tokens long")
+    token_cache.count_tokens(docs.where("doc_id < 20"), path, cache).count()
+    stored = spark.read.parquet(cache)
+    warm, other = shared_dir(spark, "cache"), "0" * 64
+    stored.withColumn("n_tokens", F.lit(1000).cast("long")).unionByName(stored.withColumns({"tokenizer": F.lit(other), "n_tokens": F.lit(5).cast("long")})).write.parquet(warm)
+    got = {r.doc_id: r.n_tokens for r in token_cache.count_tokens(docs, path, warm).collect()}
+    own = Tokenizer.from_file(path)
+    count = lambda t: len(own.encode(t or "", add_special_tokens=False).ids)
+    assert got == {i: 1000 if i in (*range(20), 40) else count(t) for i, t in [*enumerate(texts), (40, ""), (41, ""), (None, "")]}
+    added = spark.read.parquet(warm).where(F.col("tokenizer") == token_cache.tokenizer_version(path))
+    assert added.count() == 20 + 20 + 1  # stored; misses; the empty text
+    assert token_cache.count_tokens(docs.limit(0), path, warm).count() == 0
+
+
+def test_counts_by_chunk():
+    import pyarrow as pa
+
+    from threadloom.llm import chunks
+
+    rng = random.Random(3)
+    odd = ["".join(rng.choices(["a", "B", "é", "1", " ", "  ", "\n", "'s", "!", "\u3000", "漢", "\0", "😀", "word", "<|endoftext|>", "x" * 70], k=rng.randint(0, 25))) for _ in range(1500)]
+    own = token_cache.ChunkCounter(P.path("word_bpe_49k.json"))
+    assert own.count(pa.array(odd)) == own.count(pa.array(odd)) == own.encode(odd) and own.count(pa.array([], pa.string())) == []
+    assert chunks.LONGEST < 70
+
+
+def test_toxicity_of_inserted_letters():
+    """Each landmark of a fit with one letter put in, anywhere inside."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("bcfghlmnprsuvz", k=rng.randint(3, 9))) for _ in range(400)]
+    clean = lambda: " ".join(rng.choices(words, k=40))
+    sample = [(clean() + rng.choice([" idiot ", " worthless ", " pathetic ", " trash "]) + clean(), 1) for _ in range(100)] + [(clean(), 0) for _ in range(200)]
+    machine = toxicity.fit(sample)
+    scorer = toxicity.Scorer(machine)
+    put = [w[:i] + "q" + w[i:] for w in machine.landmarks for i in range(1, len(w))]
+    assert any("idiot".startswith(w) or w in "idiot" for w in machine.landmarks)
+    assert min(scorer.scores([f"{clean()} {w} {clean()}" for w in [*put, "idxiot", "pathxetic", "tra-sh", "worthlless"]])) >= toxicity.THRESHOLD
+    assert max(scorer.scores([clean() for _ in range(100)])) < toxicity.THRESHOLD
+
+
+def test_train_and_score(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choices("bcfghlmnprsuvz", k=rng.randint(3, 9))) for _ in range(300)]
+    clean = lambda: " ".join(rng.choices(words, k=30))
+    rows = [(i, clean() + (" grumbler " if i % 2 else " ") + clean()) for i in range(200)] + [(None, "grumbler"), (None, None), (7, "grumbler again"), (7, "grumbler again"), (500, "")]
+    docs = spark.createDataFrame([(k, t, 0.5, "k") for k, t in rows], "doc_id long, text string, score double, k string")
+    labels = spark.createDataFrame([(i, i % 2, i) for i in range(200)] + [(None, 1, 1), (3, None, 1), (9999, 1, 1)], "doc_id long, toxic int, k long")
+    machine = toxicity.train(docs, labels)
+    got = sorted(((r.doc_id, r.score >= toxicity.THRESHOLD) for r in toxicity.score(docs, machine).collect()), key=str)
+    assert got == sorted(((k, "grumbler" in (t or "")) for k, t in rows), key=str)
+    fold = {r[0]: r[1] for r in docs.select("doc_id", toxicity.held_out(F.col("doc_id"))).collect()}
+    assert all(v == (zlib.crc32(b"" if k is None else str(k).encode()) % 4 == 2) for k, v in fold.items())
+    # no held-out label is used
+    assert toxicity.train(docs, labels.where(toxicity.held_out(F.col("doc_id")))).landmarks == []
+    assert toxicity.train(docs.limit(0), labels).landmarks == [] and toxicity.score(docs.limit(0), machine).count() == 0
+
+
 def test_toxicity():
     rng = random.Random(1)
     words = ["".join(rng.choices("abcdefghilmnorstu", k=rng.randint(3, 9))) for _ in range(400)]
@@ -284,7 +406,12 @@ def test_byte_bpe(docs):
         ids = np.frombuffer(ids, "<u4")
         assert ids.tolist() == enc.encode_ordinary(x) and bpe.decode(ids) == x.encode()
     assert {r.doc_id: r.ids for r in byte_bpe.encode(docs, path).collect()} == {k: enc.encode_ordinary(t or "") for k, t, _ in TEXTS}
-    assert {r.doc_id: bytes(r.bytes).decode() for r in byte_bpe.decode(byte_bpe.encode(docs, path), path).collect()} == {k: t or "" for k, t, _ in TEXTS}
+    coded = byte_bpe.encode(docs, path)
+    assert {r.doc_id: bytes(r.bytes).decode() for r in byte_bpe.decode(coded, path).collect()} == {k: t or "" for k, t, _ in TEXTS}
+    spans = coded.withColumn("first", F.col("doc_id") * 2).withColumn("last", F.when(F.col("doc_id") < 13, F.col("doc_id") * 5 + 1))
+    assert {r.doc_id: r.text for r in byte_bpe.decode_spans(spans, path).collect()} == {k: (t or "")[2 * k : 5 * k + 1] if k < 13 else None for k, t, _ in TEXTS}
+    with pytest.raises(Exception, match="do not belong together"):
+        byte_bpe.decode_spans(spans.withColumn("char_at", F.transform("char_at", lambda x: x * 2)), path).collect()
 
 
 def test_top_k(spark):
@@ -298,3 +425,18 @@ def test_top_k(spark):
     want = {(q, r + 1, int(i), int(e[q] @ e[i])) for q in range(0, 300, 20) for r, i in enumerate(sorted((i for i in range(300) if i != q), key=lambda i: (-int(e[q] @ e[i]), i))[:20])}
     assert {tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()} == want
     assert topk_search.exact_top_k(own.limit(0), own.limit(0)).count() == 0
+
+
+def test_top_k_of_several_lengths(spark, monkeypatch):
+    """Each length has a search of its own; empty vectors score 0; ties, repeated rows and clashing columns."""
+    monkeypatch.setattr(topk_search, "QUERY_BLOCKS", 1)
+    rng = np.random.default_rng(7)
+    vectors = {i: rng.integers(-3, 4, 0 if i % 10 == 0 else 3 + i % 2).astype(float).tolist() for i in range(120)}
+    rows = [(i, v, "k", 1.0) for i, v in vectors.items()] + [(5, vectors[5], "k", 1.0), (130, [float("inf"), 1.0, 1.0], "k", 1.0)]
+    own = topk_search.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, k string, score double"), scale=1.0)
+    got = topk_search.exact_top_k(own, own.where("k % 3 = 0"), 5, pivots=3, bins=16, block_rows=10, query_rows=4)
+    want = set()
+    for q in range(0, 120, 3):
+        scored = sorted((-int(np.dot(vectors[q], v)), i) for i, v in vectors.items() if i != q and len(v) == len(vectors[q]))
+        want |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:5])}
+    assert {tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()} == want
