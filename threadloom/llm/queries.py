@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import byte_bpe, fingerprints, line_dedup, mixing, ngram_join, token_cache, token_files, topk_search, toxicity, url_filter
+from threadloom.llm import byte_bpe, conversation_trie, fingerprints, line_dedup, media_store, mixing, ngram_join, spelling, token_cache, token_files, topk_search, toxicity, url_filter
 from threadloom.llm.common import shared_dir, table
 
 
@@ -175,6 +175,105 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+
+#: The table of the checksum crc32 by its rule, and the checksum of a list of bytes.
+_CRC_TABLE = "crc(steps) AS (SELECT list(list_reduce(range(8), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) FROM range(256) r(i))"
+
+
+def _crc_sql(data: str) -> str:
+    return f"xor(4294967295, list_reduce({data}, lambda c, b: xor(c >> 8, crc.steps[xor(c & 255, b) + 1]), 4294967295))"
+
+
+def _bytes_sql(digits: str) -> str:
+    return f"list_transform(range(1, length({digits}), 2), lambda i: ('0x' || substr({digits}, i::INT, 2))::BIGINT)"
+
+
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.word_counts(table(spark, sf_dir, "documents"))).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+OP11_SQL = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT doc_id, run, count(*) AS times FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 5 GROUP BY ALL),
+hashed AS (SELECT *, hex(coalesce(doc_id::VARCHAR, '') || ':' || run) AS x FROM runs),
+typed AS (SELECT run, times, {_crc_sql(_bytes_sql("x"))} AS h FROM hashed, crc),
+words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, sum(times)::BIGINT AS n
+  FROM typed GROUP BY 1 HAVING length(word) >= 5 AND sum(times) >= 3),
+cut AS (SELECT word, n, i, left(word, i::INT - 1) || substr(word, i::INT + 1) AS rest FROM (SELECT word, n, unnest(range(1, 1 + length(word))) AS i FROM words)),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, max(other_n) AS most FROM near GROUP BY word),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN most >= 2 * w.n THEN most END AS form_n,
+    CASE WHEN most >= 2 * w.n THEN (SELECT min(other) FROM near x WHERE x.word = w.word AND x.other_n = most) END AS form
+  FROM words w LEFT JOIN best ON best.word = w.word),
+follow AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT follow.word, formed.form FROM follow JOIN formed ON formed.word = follow.at WHERE formed.form IS NOT NULL),
+last AS (SELECT follow.word, follow.at AS root FROM follow JOIN formed ON formed.word = follow.at WHERE formed.form IS NULL)
+SELECT formed.word, form, root, n, n_near, form_n FROM formed JOIN last ON last.word = formed.word
+"""
+
+
+def op12_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = media_store.media_features(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", *media_store.FEATURES)
+
+
+_TWO = lambda v: f"lpad(to_hex({v} & 255), 2, '0') || lpad(to_hex(({v} >> 8) & 255), 2, '0') || lpad(to_hex(({v} >> 16) & 255), 2, '0') || lpad(to_hex(({v} >> 24) & 255), 2, '0')"
+
+OP12_SQL = f"""
+WITH {_CRC_TABLE},
+raw AS (SELECT doc_id, coalesce(text, '') AS x, strlen(coalesce(text, ''))::BIGINT AS n_bytes FROM documents),
+sized AS (SELECT *, greatest(64, (n_bytes + 63) // 64 * 64)::BIGINT AS payload_bytes FROM raw),
+hexed AS (SELECT *, hex(x) || repeat('00', (payload_bytes - n_bytes)::INT) AS p FROM sized),
+wav AS (SELECT *, '52494646' || {_TWO("(36 + payload_bytes)")} || '57415645666d74201000000001000100401f0000401f00000100080064617461' || {_TWO("payload_bytes")} || p AS m,
+  {_bytes_sql("p")} AS b FROM hexed),
+walked AS (SELECT *, list_zip(b[1 : len(b) - 1], b[2 : len(b)]) AS s FROM wav)
+SELECT doc_id, n_bytes, payload_bytes, sha256(unhex(p)) AS payload_sha256, {_crc_sql("b[len(b) - 63 : len(b)]")} AS tail_crc32,
+  payload_bytes + 44 AS media_bytes, sha256(unhex(m)) AS media_sha256,
+  array_to_string(list_concat(list_transform(range(8), lambda k: len(list_filter(b, lambda v: v >> 5 = k))),
+    [list_sum(list_transform(s, lambda z: abs(z[1] - z[2])))::BIGINT, len(list_filter(s, lambda z: (z[1] >= 128) <> (z[2] >= 128)))]), ',') AS feature
+FROM walked, crc
+"""
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = conversation_trie.rebuilt(conversation_trie.conversations(table(spark, sf_dir, "conversations")))
+    return conversation_trie.prefix_trie(conversation_trie.distinct_sequences(convs))
+
+
+OP13_SQL = f"""
+WITH {_CRC_TABLE},
+turns AS (
+  SELECT conv_id AS c, turn, strlen(coalesce(text, ''))::BIGINT AS n, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS d
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list({{'d': d, 'n': n}} ORDER BY turn NULLS FIRST, d) AS t FROM turns GROUP BY c),
+hashed AS (SELECT c, t, {_crc_sql(_bytes_sql("hex(c::VARCHAR)"))} % 9 AS h FROM own, crc),
+built AS (
+  SELECT o.c, list_concat(coalesce(b.t[1 : h], []), o.t[h + 1 : len(o.t)]) AS t
+  FROM hashed o LEFT JOIN own b ON b.c = o.c - o.c % 5),
+prefixes AS (
+  SELECT c, i AS depth, list_transform(t[1 : i], lambda x: x.d) AS node, list_transform(t[1 : i - 1], lambda x: x.d) AS above, i = len(t) AS ends, CASE WHEN i > 0 THEN t[i].n ELSE 0 END AS n
+  FROM (SELECT c, t, unnest(range(0, len(t) + 1)) AS i FROM built)),
+nodes AS (
+  SELECT node, depth::BIGINT AS depth, any_value(CASE WHEN depth > 0 THEN above END) AS above, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(n) AS own,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256 FROM prefixes GROUP BY node, depth),
+heirs AS (SELECT above AS node, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+full_nodes AS (SELECT nodes.*, coalesce(heirs.n, 0)::BIGINT AS n_children FROM nodes LEFT JOIN heirs ON heirs.node = nodes.node AND heirs.depth = nodes.depth),
+below AS (
+  SELECT x.node, x.depth, count(*) FILTER (y.n_children = 0) AS n_leaves, sum(y.own)::BIGINT AS saved_tokens
+  FROM full_nodes x JOIN full_nodes y ON y.depth >= x.depth AND y.node[1 : x.depth] = x.node GROUP BY x.node, x.depth)
+SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, b.n_leaves, b.saved_tokens, f.ends_sha256
+FROM full_nodes f JOIN below b ON b.node = f.node AND b.depth = f.depth LEFT JOIN full_nodes p ON p.node = f.above AND p.depth = f.depth - 1
+"""
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_url_filters": op2_url_filters,
@@ -186,6 +285,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_topk": op10_topk,
+    "op11_spelling": op11_spelling,
+    "op12_media": op12_media,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
-ORACLE = {"op1_ngram_join": OP1_SQL, "op2_url_filters": OP2_SQL, "op3_fingerprints": OP3_SQL, "op7_line_dedup": OP7_SQL, "op8_mixing": OP8_SQL, "op10_topk": OP10_SQL}
+ORACLE = {"op1_ngram_join": OP1_SQL, "op2_url_filters": OP2_SQL, "op3_fingerprints": OP3_SQL, "op7_line_dedup": OP7_SQL, "op8_mixing": OP8_SQL, "op10_topk": OP10_SQL, "op11_spelling": OP11_SQL, "op12_media": OP12_SQL, "op13_conversation_trie": OP13_SQL}
