@@ -1,7 +1,7 @@
 """Media columns: payloads in a container, cut into chunks by content, equal chunks stored once.
 
-A payload becomes a WAV file of 8-bit samples. Its header is a chunk, and its samples are cut where a rolling gear hash
-of the last 32 bytes is low, so that an insertion moves only the cuts around it. Digests of all chunks are counted by a
+A payload becomes a WAV file of 8-bit samples. Its samples are cut where a rolling gear hash of the last 32 bytes is
+low, so that an insertion moves only the cuts around it; its header follows from their number and isn't kept. Digests of all chunks are counted by a
 shuffle of digests alone; what occurs again goes to the table of shared chunks, once, by a grouped join on digests; the
 rest stays inside its medium's row, so most payloads are never shuffled. Each medium keeps the ordered list of its
 chunks. Reading puts media together from both, and checks each chunk's digest and the medium's.
@@ -99,17 +99,17 @@ def _slices(column) -> Iterator[list[str | None]]:
 
 
 def chunked(texts: list[str | None]) -> Iterator[tuple[int, bytes, list[tuple[bytes, bytes]]]]:
-    """For each text its bytes' number, its medium, and the medium's chunks (digest, bytes) in order."""
+    """For each text its bytes' number, its medium, and the chunks of the medium's samples (digest, bytes) in order."""
     payloads = [padded(x) for x in texts]
     data = b"".join(p for _, p in payloads)
     low, at = low_places(np.frombuffer(data, np.uint8)).tolist() if data else [], 0
     for n, p in payloads:
-        parts, begin = [header(len(p))], at
+        parts, begin = [], at
         for end in cuts(low, at, at + len(p)):
             parts.append(data[begin:end])
             begin = end
         at += len(p)
-        yield n, parts[0] + p, [(hashlib.blake2b(x, digest_size=DIGEST).digest(), x) for x in parts]
+        yield n, header(len(p)) + p, [(hashlib.blake2b(x, digest_size=DIGEST).digest(), x) for x in parts]
 
 
 def _position(digest: bytes) -> int:
@@ -198,7 +198,7 @@ def _assemble(it):
                 if hashlib.blake2b(part, digest_size=DIGEST).digest() != c["digest"]:
                     raise ValueError("a chunk is not what its digest says")
                 parts.append(part)
-            medium = b"".join(parts)
+            medium = b"".join([header(sum(map(len, parts))), *parts])
             if hashlib.sha256(medium).digest() != sha:
                 raise ValueError("a medium is not what its digest says")
             yield pa.RecordBatch.from_arrays([b.column(0).slice(row, 1), pa.array([medium], pa.binary())], ["who", "media"])
