@@ -41,6 +41,16 @@ def in_window(rows: DataFrame, at: str, after: float | None = None, before: floa
     return out if before is None else out.where(F.col(at) < before)
 
 
+def listing_order(rows: DataFrame, sort: str = "new", key: str = "id") -> DataFrame:
+    """The order of a listing: `top` by score, `hot` by score halved for each half day of age, `rising` by comments, else
+    newest first; ties by time, then by id, so that a cut of it is the same in each run."""
+    score, at = F.coalesce("score", F.lit(0)), F.coalesce("created_utc", F.lit(0.0))
+    # twice the score counts like half a day
+    hot = F.log2(F.greatest(score, F.lit(1))) + at / 43_200.0
+    first = {"top": [F.desc(score)], "hot": [F.desc(hot)], "rising": [F.desc(F.coalesce("num_comments", F.lit(0)))]}.get(sort, [])
+    return rows.orderBy(*first, F.desc(at), key)
+
+
 def short_ids(posts: DataFrame, top: int, most: int = 12) -> DataFrame:
     """Of the top rows (0: all) those with ids that aren't too long: first the slice, then the filter."""
     return (posts.limit(top) if top > 0 else posts).where(F.length("post_id") <= most)

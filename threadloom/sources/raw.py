@@ -79,7 +79,7 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
 def read_reply_trees(spark: SparkSession, path: str) -> DataFrame:
     """Comments of thread files: JSON lines with post_id and tree (the nested listing of replies as text). A deleted
     comment goes with its replies."""
-    return flatten_replies(spark.read.schema("post_id string, tree string").json(path))
+    return flatten_replies(read_threads(spark, path))
 
 
 def _walk(batches):
@@ -105,13 +105,34 @@ def _walk(batches):
 
 
 def _parse(tree: str | None):
-    """None where the text is no JSON. json raises RecursionError on nesting it can't hold, which is thousands deep."""
+    """None where the text is no JSON, or nested deeper than the parser can hold (tens of thousands of levels)."""
     try:
         return json.loads(tree or "null")
-    except ValueError:
+    except (ValueError, RecursionError):
         return None
 
 
+def unreadable_trees(rows: DataFrame) -> DataFrame:
+    """post_id of the trees (post_id, tree) that give no comments because they can't be parsed; null trees can."""
+
+    def run(batches):
+        for b in batches:
+            ok = [tree in (None, "", "null") or _parse(tree) is not None for tree in b.column(1).to_pylist()]
+            yield b.filter(pa_array([not x for x in ok])).select([0])
+
+    def pa_array(x):
+        import pyarrow as pa
+
+        return pa.array(x, pa.bool_())
+
+    return rows.select(F.col("post_id").cast("string"), F.col("tree").cast("string")).mapInArrow(run, "post_id string")
+
+
+def read_threads(spark: SparkSession, path: str) -> DataFrame:
+    """Thread files as JSON lines: post_id, tree, and where the thread's head came along its score and num_comments."""
+    return spark.read.schema("post_id string, tree string, score double, num_comments double").json(path)
+
+
 def _comments(listing) -> list[dict]:
     """The comments of a listing, without deleted ones."""
     data = listing.get("data") if isinstance(listing, dict) else None
