@@ -29,7 +29,7 @@ def query(sql: str | None = None):
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return fx.table(spark, sf_dir, name)
 
 
 def epoch(c: str):
