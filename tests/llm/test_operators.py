@@ -62,6 +62,27 @@ def test_signatures_lose_no_link():
             assert any(len(x[i][1] & y[i][1]) >= max(x[i][0], y[i][0]) for i in x.keys() & y.keys())
 
 
+def test_signing_does_not_follow_the_parts():
+    """A batch is dealt to the parts that occur in it, however many there are; the rows are the same."""
+    import time
+
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(5000)], k=60)) for _ in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200), pa.int64()), pa.array(texts)], ["k", "x"])
+    took, sigs = {}, {}
+    for parts in (16, 16, 1_000_000):
+        began = time.process_time()
+        (got,) = list(ngram_join._sign(80, 5, parts)(iter([batch])))
+        took[parts] = time.process_time() - began
+        rows = got.to_pylist()
+        sigs[parts] = sorted(x for r in rows for x in np.frombuffer(r["sig"], np.uint64).tolist())
+        assert len({r["p"] for r in rows}) == len(rows) and all((int(x) >> 32) * parts >> 32 == r["p"] for r in rows for x in np.frombuffer(r["sig"], np.uint64))
+        assert sorted(int(x) for r in rows for x in np.frombuffer(r["docs"], np.int64).reshape(-1, 4)[:, 0]) == list(range(200))
+    assert sigs[16] == sigs[1_000_000] and took[1_000_000] < 5 * took[16] + 2
+
+
 def unit(sets, components=None, blocks=None):
     """The rows of a family's task."""
     import pyarrow as pa
@@ -414,6 +435,29 @@ def test_byte_bpe(docs):
         byte_bpe.decode_spans(spans.withColumn("char_at", F.transform("char_at", lambda x: x * 2)), path).collect()
 
 
+def test_byte_bpe_with_a_second_file(spark, docs, tmp_path):
+    """What a worker keeps of one rank file isn't used for another; offsets that don't fit are an error."""
+    import base64
+
+    import tiktoken
+
+    small = {bytes([i]): i for i in range(256)} | {b"w1": 256, b" w": 257}
+    path = tmp_path / "small.tiktoken"
+    path.write_bytes(b"\n".join(base64.b64encode(t) + b" " + str(i).encode() for t, i in small.items()))
+    for p in (str(path), P.path("byte_bpe_multi_50k.tiktoken"), str(path)):
+        ranks = byte_bpe.ByteBpe(p).ranks
+        enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        sha = lambda x: __import__("hashlib").sha256(x).hexdigest()
+        want = {k: (len(ids := enc.encode_ordinary(t or "")), sha(",".join(map(str, ids)).encode()), sha((t or "").encode())) for k, t, _ in TEXTS}
+        assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in byte_bpe.round_trip(docs.coalesce(1), p).collect()} == want
+    bpe = byte_bpe.ByteBpe(str(path))
+    ((pieces, char_at),) = bpe.encode_pieces(["é w1 x"])
+    ids, sizes = np.frombuffer(b"".join(pieces), "<u4"), np.array([len(p) // 4 for p in pieces])
+    assert bpe.decode_whole(ids, np.cumsum(sizes) - sizes, char_at) == "é w1 x".encode()
+    with pytest.raises(ValueError, match="do not belong together"):
+        bpe.decode_whole(ids, np.cumsum(sizes) - sizes, char_at + 1)
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(4)
     v = rng.normal(size=(300, 8)).round(2)
@@ -430,6 +474,7 @@ def test_top_k(spark):
 def test_top_k_of_several_lengths(spark, monkeypatch):
     """Each length has a search of its own; empty vectors score 0; ties, repeated rows and clashing columns."""
     monkeypatch.setattr(topk_search, "QUERY_BLOCKS", 1)
+    monkeypatch.setattr(topk_search, "ANNULI", 5)
     rng = np.random.default_rng(7)
     vectors = {i: rng.integers(-3, 4, 0 if i % 10 == 0 else 3 + i % 2).astype(float).tolist() for i in range(120)}
     rows = [(i, v, "k", 1.0) for i, v in vectors.items()] + [(5, vectors[5], "k", 1.0), (130, [float("inf"), 1.0, 1.0], "k", 1.0)]

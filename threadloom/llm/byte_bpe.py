@@ -167,6 +167,8 @@ class ByteBpe:
         self.tokens = np.empty(max(self.ranks.values()) + 1, object)
         for token, i in self.ranks.items():
             self.tokens[i] = token
+        self.sizes = np.array([len(t or b"") for t in self.tokens.tolist()], np.int64)
+        self.decimal = np.array([str(i) for i in range(len(self.tokens))], object)
         self.memo = Memo(MEMO)
 
     def merge(self, pieces: list[str]) -> list[bytes]:
@@ -198,6 +200,15 @@ class ByteBpe:
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(self.tokens[ids].tolist())
 
+    def decode_whole(self, ids: np.ndarray, id_at: np.ndarray, char_at: np.ndarray) -> bytes:
+        """The bytes of a text. Each slice must begin where its offsets say, in ids and in code points."""
+        raw = self.decode(ids)
+        size = np.append(0, np.cumsum(self.sizes[ids]))
+        begun = np.append(0, np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80))
+        if not np.array_equal(begun[size[id_at]], char_at):
+            raise ValueError("offsets and ids do not belong together")
+        return raw
+
     def decode_span(self, ids: np.ndarray, id_at: np.ndarray, char_at: np.ndarray, first: int, last: int) -> str:
         """Code points first to last (exclusive) of a text, from the ids of the pieces that hold them. A piece whose
         ids don't give as many code points as the offsets say is an error."""
@@ -293,21 +304,22 @@ def decode_spans(rows: DataFrame, ranks: str, first: str = "first", last: str =
 
 def round_trip(docs: DataFrame, ranks: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_tokens, ids_sha256 (of the decimal ids joined by commas), decoded_sha256 (of the bytes that the ids
-    decode to): `encode` and `decode` in one pass, so that ids don't travel between processes. Edge cases as there.
+    decode to): `encode` and `decode` in one pass, so that ids don't travel between processes; slices are decoded by the
+    offsets that encoding kept of them. Edge cases as there.
     """
 
     def run(it):
         import pyarrow as pa
 
         bpe = coder(ranks)
-        decimal = keep("byte_bpe", "decimal", lambda: np.array([str(i) for i in range(len(bpe.tokens))], object))
         for b in _batches(it):
             n, shas, decoded = [], [], []
-            for packed in bpe.encode_packed(b.column(1).to_pylist()):
-                ids = np.frombuffer(packed, "<u4")
+            for pieces, char_at in bpe.encode_pieces(b.column(1).to_pylist()):
+                ids = np.frombuffer(b"".join(pieces), "<u4")
+                sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
                 n.append(len(ids))
-                shas.append(hashlib.sha256(",".join(decimal[ids].tolist()).encode()).hexdigest())
-                decoded.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+                shas.append(hashlib.sha256(",".join(bpe.decimal[ids].tolist()).encode()).hexdigest())
+                decoded.append(hashlib.sha256(bpe.decode_whole(ids, np.cumsum(sizes) - sizes, char_at)).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(shas), pa.array(decoded)], ["k", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema[key].dataType

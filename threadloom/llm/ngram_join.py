@@ -168,19 +168,20 @@ def _sign(percent: int, words: int, parts: int):
                 place = np.concatenate(where) if where else np.zeros(0, np.uint32)
                 part = (sig >> U(32)).astype(np.int64) * parts >> 32
                 order = np.argsort(part, kind="stable")
-                cuts = np.searchsorted(part[order], np.arange(parts + 1))
+                # only parts that occur: what a batch costs doesn't follow their number
+                occur = np.union1d(part, np.arange(min(parts, len(ids))))
+                cuts = np.searchsorted(part[order], np.append(occur, parts))
                 table = np.array(heads, np.int64).reshape(-1, 3)
                 out: dict[str, list] = {"p": [], "heads": [], "sig": [], "place": [], "docs": []}
-                for p in range(parts):
-                    got = order[cuts[p] : cuts[p + 1]]
+                for i, p in enumerate(occur.tolist()):
+                    got = order[cuts[i] : cuts[i + 1]]
                     mine = np.arange(p, len(ids), parts)
-                    if len(got) or len(mine):
-                        used, again = np.unique(place[got], return_inverse=True)
-                        out["p"].append(p)
-                        out["heads"].append(table[used].tobytes())
-                        out["sig"].append(sig[got].tobytes())
-                        out["place"].append(again.astype(np.uint16).tobytes())
-                        out["docs"].append(np.column_stack([keys[mine], null[mine], sizes[mine], ids[mine]]).astype(np.int64).tobytes())
+                    used, again = np.unique(place[got], return_inverse=True)
+                    out["p"].append(p)
+                    out["heads"].append(table[used].tobytes())
+                    out["sig"].append(sig[got].tobytes())
+                    out["place"].append(again.astype(np.uint16).tobytes())
+                    out["docs"].append(np.column_stack([keys[mine], null[mine], sizes[mine], ids[mine]]).astype(np.int64).tobytes())
                 yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("p", pa.int32()), *[(c, pa.binary()) for c in ("heads", "sig", "place", "docs")]]))
 
     return run

@@ -28,6 +28,8 @@ from threadloom.llm.common import written
 MOST_PIVOTS = 1_024
 #: Query blocks that a task scores against a block, about.
 QUERY_BLOCKS = 16
+#: Annuli whose bounds a task works out at a time, for some queries.
+ANNULI = 16_384
 #: Components are exact while products' sums stay below 2^53.
 SLACK = 1e-6
 
@@ -81,10 +83,13 @@ class Index:
         self.low, self.high = np.array([m[2] for m in made]), np.array([m[3] for m in made])
         self.chunks = np.maximum(1, -(-self.rows // block_rows))
 
-    def nearest(self, q: np.ndarray) -> np.ndarray:
-        """Lower bounds of the distance from queries to annuli."""
-        d = self.distances(q, np.zeros(len(q)))[:, self.of]
-        return np.maximum(np.maximum(self.low - d, d - self.high), 0)
+    def nearest(self, q: np.ndarray):
+        """Lower bounds of the distance from queries to annuli, some annuli at a time: (the first one's place, bounds)."""
+        to_pivots = self.distances(q, np.zeros(len(q)))
+        for a in range(0, len(self.of), ANNULI):
+            s = slice(a, a + ANNULI)
+            d = to_pivots[:, self.of[s]]
+            yield a, np.maximum(np.maximum(self.low[s] - d, d - self.high[s]), 0)
 
 
 def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -151,11 +156,20 @@ def _search(rows: DataFrame, queries: DataFrame, k: int, pivots: int, m2: float,
     def seeds(batches):
         for b in batches:
             if b.num_rows:
-                near = index.nearest(_matrix(b.column(1)))
                 # of the nearest annuli one that can hold k others, if any can
-                enough = index.rows > k
-                a = np.where(enough, near, np.inf).argmin(1) if enough.any() else near.argmin(1)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(a)], ["k", "v", "a"])
+                usable = index.rows > k
+                usable = usable if usable.any() else np.ones(len(usable), bool)
+                best = np.zeros(b.num_rows, np.int64)
+                for at in range(0, b.num_rows, query_rows):
+                    q = _matrix(b.column(1).slice(at, query_rows))
+                    least = np.full(len(q), np.inf)
+                    for a, near in index.nearest(q):
+                        near = np.where(usable[a : a + near.shape[1]], near, np.inf)
+                        i = near.argmin(1)
+                        value = near[np.arange(len(q)), i]
+                        best[at : at + len(q)] = np.where(value < least, a + i, best[at : at + len(q)])
+                        least = np.minimum(least, value)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(best)], ["k", "v", "a"])
 
     asked = queries.select("k", "v").mapInArrow(seeds, "k long, v array<long>, a long")
     # query blocks of at most so many rows: (a, g)
@@ -191,15 +205,17 @@ def _search(rows: DataFrame, queries: DataFrame, k: int, pivots: int, m2: float,
                 part = b.slice(at, query_rows)
                 q, t = _matrix(part.column(1)), part.column(2).to_numpy(zero_copy_only=False).astype(np.float64)
                 far = np.sqrt(np.maximum((q**2).sum(1) + index.m2 - 2 * t, 0)) * (1 + SLACK) + SLACK
-                i, a = np.nonzero(index.nearest(q) <= far[:, None])
-                n = index.chunks[a]
-                i, a = np.repeat(i, n), np.repeat(a, n)
-                c = np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
-                for j in range(0, len(i), 65536):
-                    s = slice(j, j + 65536)
-                    qa, g = part.column(3).to_numpy(zero_copy_only=False), part.column(4).to_numpy(zero_copy_only=False)
-                    pair = np.unique(np.column_stack([a[s], c[s], qa[i[s]], g[i[s]]]), axis=0)
-                    yield pa.RecordBatch.from_arrays([pa.array(pair[:, x]) for x in range(4)], ["a", "c", "qa", "g"])
+                qa, g = part.column(3).to_numpy(zero_copy_only=False), part.column(4).to_numpy(zero_copy_only=False)
+                for first, near in index.nearest(q):
+                    i, a = np.nonzero(near <= far[:, None])
+                    a += first
+                    n = index.chunks[a]
+                    i, a = np.repeat(i, n), np.repeat(a, n)
+                    c = np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
+                    for j in range(0, len(i), 65536):
+                        s = slice(j, j + 65536)
+                        pair = np.unique(np.column_stack([a[s], c[s], qa[i[s]], g[i[s]]]), axis=0)
+                        yield pa.RecordBatch.from_arrays([pa.array(pair[:, x]) for x in range(4)], ["a", "c", "qa", "g"])
 
     wanted = written(spark, known.mapInArrow(needed, "a long, c long, qa long, g long").distinct(), "wanted")
     # a block that many query blocks need is sent to several tasks, each with some of them

@@ -198,7 +198,7 @@ def _choose_landmarks(toxic: list[set[str]], clean: list[set[str]], count: int)
         own = set()
         for w in words - known:
             for n in range(4, 10):
-                own.update(w[i : i + n] for i in range(min(len(w), 64) - n + 1))
+                own.update(w[i : i + n] for i in range(len(w) - n + 1))
             if 4 <= len(w) <= 9:
                 own.add(w)
         runs.append(own)
@@ -208,18 +208,14 @@ def _choose_landmarks(toxic: list[set[str]], clean: list[set[str]], count: int)
     # how often clean documents hold them, within any word
     seen: Counter = Counter()
     for words in clean:
-        own = {w[i : i + n] for w in words for n in range(4, 10) for i in range(min(len(w), 64) - n + 1)}
+        own = {w[i : i + n] for w in words for n in range(4, 10) for i in range(len(w) - n + 1)}
         seen.update(own & able)
     rate = lambda r: (df[r] / max(1, len(toxic))) / ((seen[r] + 0.5) / max(1, len(clean)))
     able = {r for r in able if rate(r) >= 20}
-    holders = {r: [i for i, own in enumerate(runs) if r in own] for r in sorted(able)} if len(able) < 2000 else {}
-    if not holders:
-        by = sorted(able, key=lambda r: (-df[r], r))[:2000]
-        keep = set(by)
-        holders = {r: [] for r in by}
-        for i, own in enumerate(runs):
-            for r in own & keep:
-                holders[r].append(i)
+    holders: dict[str, list[int]] = {r: [] for r in sorted(able)}
+    for i, own in enumerate(runs):
+        for r in own & able:
+            holders[r].append(i)
     # a run that clean documents hold too is worth less
     worth = {r: len(r) * max(0.0, 1 - 30 * (seen[r] / max(1, len(clean))) / (df[r] / len(toxic))) for r in holders}
     covered, chosen = np.zeros(len(toxic)), []
