@@ -112,38 +112,38 @@ def chunked(texts: list[str | None]) -> Iterator[tuple[int, bytes, list[tuple[by
         yield n, header(len(p)) + p, [(hashlib.blake2b(x, digest_size=DIGEST).digest(), x) for x in parts]
 
 
-def _position(digest: bytes) -> int:
-    return int.from_bytes(digest[:8], "little") % POSITIONS
+def _position(digest: bytes, positions: int) -> int:
+    return int.from_bytes(digest[:8], "little") % positions
 
 
-def repeated(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """The bitmap of the positions whose chunks occur more than once in all media: at most POSITIONS / 8 bytes."""
+def repeated(docs: DataFrame, text: str = "text", positions: int = POSITIONS) -> np.ndarray:
+    """The bitmap of the positions whose chunks occur more than once in all media: an eighth of `positions` bytes."""
 
     def run(it):
         import pyarrow as pa
 
         for b in it:
             for texts in _slices(b.column(0)):
-                yield pa.RecordBatch.from_arrays([pa.array([_position(d) for _, _, chunks in chunked(texts) for d, _ in chunks], pa.int64())], ["p"])
+                yield pa.RecordBatch.from_arrays([pa.array([_position(d, positions) for _, _, chunks in chunked(texts) for d, _ in chunks], pa.int64())], ["p"])
 
     places = docs.select(F.col(text)).mapInArrow(run, "p long").groupBy("p").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     pages = places.groupBy(F.floor(F.col("p") / _PAGE).alias("page")).agg(F.bitmap_construct_agg(F.col("p") % _PAGE).alias("bits"))
-    bitmap = np.zeros(POSITIONS // 8, np.uint8)
-    for r in pages.toLocalIterator():  # POSITIONS / _PAGE rows of 4 KB at most
+    bitmap = np.zeros(-(-positions // _PAGE) * _PAGE // 8, np.uint8)
+    for r in pages.toLocalIterator():  # positions / _PAGE rows of 4 KB at most
         bitmap[r.page * _PAGE // 8 : (r.page + 1) * _PAGE // 8] = np.frombuffer(r.bits, np.uint8)
     return bitmap
 
 
-def write_media(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text") -> MediaStore:
+def write_media(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text", positions: int = POSITIONS) -> MediaStore:
     """Every text as a medium in `folder`. Null texts count as empty; an empty payload is one unit of zeros; repeated
     rows and null keys stay; equal texts share all chunks; no rows give an empty store."""
     spark = docs.sparkSession
-    bitmap = spark.sparkContext.broadcast(zlib.compress(repeated(docs, text).tobytes(), 1))
+    bitmap = spark.sparkContext.broadcast(zlib.compress(repeated(docs, text, positions).tobytes(), 1))
     kind = docs.schema[key].dataType
 
     def again():
         bits = np.frombuffer(zlib.decompress(bitmap.value), np.uint8)
-        return lambda d: bool(bits[(p := _position(d)) >> 3] >> (p & 7) & 1)
+        return lambda d: bool(bits[(p := _position(d, positions)) >> 3] >> (p & 7) & 1)
 
     def media(it):
         import pyarrow as pa
@@ -266,10 +266,10 @@ def describe(media: DataFrame) -> DataFrame:
     return media.mapInArrow(run, schema)
 
 
-def media_features(docs: DataFrame, folder: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+def media_features(docs: DataFrame, folder: str | None = None, key: str = "doc_id", text: str = "text", positions: int = POSITIONS) -> DataFrame:
     """key, n_bytes and the features of every text's medium, written to the store and read back from it. Media that many
     rows have are read once; edge cases as in `write_media`."""
-    store = write_media(docs, folder or shared_dir(docs.sparkSession, "media"), key, text)
+    store = write_media(docs, folder or shared_dir(docs.sparkSession, "media"), key, text, positions)
     some = store.media.where(~F.forall("chunks", lambda c: c["own"])).select("k", "n_bytes", "media_sha")
     again = some.join(describe(read_shared(store)), "media_sha").drop("media_sha")
     return describe(read_whole(store)).unionByName(again).withColumnRenamed("k", key)
