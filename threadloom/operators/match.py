@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import clean_name, course_key, fold_key, joined, let, split_name, strip, tokens
+from threadloom.sources.shared import kept
 
 # Given-name endings that belong to the surname; confidences.
 JOINING_PARTICLES = ["dela", "de", "del", "delos", "san"]
@@ -118,6 +119,11 @@ def direct(found: DataFrame) -> DataFrame:
     rows = found.withColumn("t", F.when(F.col("tier") == 5, F.lit(6)).otherwise(F.col("tier")))
     rows = rows.unionByName(found.where(narrow).withColumn("t", F.lit(5)))
     per = rows.groupBy("n", "reading", "tag", "t").agg(F.count(F.lit(1)).alias("c"), F.min_by("instructor_id", "ord").alias("instructor_id")).where("c = 1")
+    return _first_sure(per)
+
+
+def _first_sure(per: DataFrame) -> DataFrame:
+    """per: n, reading, tag, t, instructor_id of unique hits."""
     best = per.groupBy("n", "reading", "tag").agg(F.min(F.struct("t", "instructor_id")).alias("b")).select("n", "reading", "tag", "b.*")
     t, tagged = F.col("t"), lambda label: F.when(F.col("tag") == "as_is", label).otherwise(F.concat(F.lit(f"{label}_"), "tag"))
     kind = F.when(t == 1, tagged("exact")).when(t == 2, "exact").when(t == 3, tagged("first_token")).when(t == 5, "last_head_first_token")
@@ -175,13 +181,50 @@ def cleaned(names: DataFrame, times: int = 1) -> DataFrame:
     return out.where("last <> ''")
 
 
+def both_cleaned(names: DataFrame) -> DataFrame:
+    """n, last, first, once, twice: names cleaned once, for a sure match, and cleaned again, for candidates; most names
+    are the same then and have one row. Null names and such without a surname have none."""
+    one = names.select("n", clean_name(F.coalesce("last", F.lit("")), F.coalesce("first", F.lit(""))).alias("c"))
+    two = one.select("n", "c", clean_name(F.col("c.last"), F.col("c.first")).alias("d"))
+    pair = lambda c, once, twice: F.struct(F.col(f"{c}.last").alias("last"), F.col(f"{c}.first").alias("first"), F.lit(once).alias("once"), F.lit(twice).alias("twice"))
+    rows = F.when(F.col("c") == F.col("d"), F.array(pair("c", True, True))).otherwise(F.array(pair("c", True, False), pair("d", False, True)))
+    return two.select("n", F.explode(rows).alias("r")).select("n", "r.*").where("last <> ''")
+
+
+def postings(keys: DataFrame) -> DataFrame:
+    """A row for each key that names can be found by: how many instructors it has, the first of them, and of those whose
+    name begins with a given word the number and the first (first_word null: all)."""
+    many = F.grouping("first_word") == 1
+    per = keys.groupingSets([["kind", "key"], ["kind", "key", "first_word"]], "kind", "key", "first_word")
+    got = per.agg(many.alias("whole"), F.count(F.lit(1)).alias("c"), F.min_by("instructor_id", "ord").alias("instructor_id"))
+    return got.where(F.col("whole") | (F.col("kind") == "head"))
+
+
+def settled(looked: DataFrame, posted: DataFrame) -> DataFrame:
+    """What `direct` makes of all hits, from a row a probe: a tier is unique if its key's posting counts one, so lists of
+    namesakes are never expanded. looked: probes of names cleaned once."""
+    whole = looked.join(posted.where("whole").drop("whole", "first_word"), ["kind", "key"]).withColumn("t", F.when(F.col("tier") == 5, F.lit(6)).otherwise(F.col("tier")))
+    narrow = posted.where("not whole and kind = 'head' and first_word <> ''").select("kind", "key", F.col("first_word").alias("token"), "c", "instructor_id")
+    narrow = looked.where("tier = 5 and token <> ''").join(narrow, ["kind", "key", "token"]).withColumn("t", F.lit(5))
+    columns = ["n", "reading", "tag", "t", "c", "instructor_id"]
+    return _first_sure(whole.select(columns).unionByName(narrow.select(columns)).where("c = 1"))
+
+
+def found_and_open(names: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sure, hits): the sure matches of names, and all hits of the rest with once and twice. Both are written tables: the
+    hits are read several times, and lists of namesakes are expanded for names that need them alone."""
+    read = kept(both_cleaned(names), "names")
+    looked = kept(probes(readings(read.withColumn("n", F.struct("n", "once", "twice")))).select("n.*", "reading", "tag", "tier", "kind", "key", "token"), "probes")
+    sure = kept(settled(looked.where("once").drop("once", "twice"), postings(keys)), "sure")
+    rest = looked.join(sure.select("n"), "n", "left_anti").join(keys, ["kind", "key"]).drop("kind", "key")
+    return sure, kept(rest, "hits")
+
+
 def match(names: DataFrame, keys: DataFrame, teaching: DataFrame) -> DataFrame:
     """names: n (unique), last, first, courses, university. One row for each name with a match: n, instructor_id,
     match_type, confidence. Null names match nothing."""
-    sure = direct(hits(cleaned(names), keys))
-    open_ = names.join(sure.select("n"), "n", "left_anti")
-    cands = candidates(hits(cleaned(open_, 2), keys))
-    return sure.unionByName(disambiguate(cands, names, teaching))
+    sure, rest = found_and_open(names, keys)
+    return sure.unionByName(disambiguate(candidates(rest.where("twice")), names, teaching))
 
 
 def match_all(names: DataFrame, keys: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from threadloom.functions.classify import signals_by
 from threadloom.functions.text import display_name, iso_time, plausible_name, strip, university
 from threadloom.operators import match as M
 from threadloom.operators.relational import entity_courses, hash_sample, mentions
+from threadloom.sources.shared import kept
 
 ACCEPT = 0.80
 #: Candidates shown of an ambiguous name in the summary and in the report.
@@ -31,16 +32,19 @@ def statuses(names: DataFrame, roster: DataFrame, taught: DataFrame, shown: int)
     """names: n, last, first, courses, university. n, status (resolved, ambiguous, unresolved; skipped for implausible
     names), instructor_id, instructor, match_type, confidence, candidates (array, where ambiguous).
 
-    Equal names are matched once: their number, not that of mentions, is what the joins see.
+    Equal names are matched once: their number, not that of mentions, is what the joins see. Names that the roster
+    settles by a unique key are done by its counts alone.
     """
     evidence = [F.coalesce("last", F.lit("")), F.coalesce("first", F.lit("")), F.coalesce(F.array_join("courses", "\0"), F.lit("")), F.coalesce("university", F.lit(""))]
     rows = names.withColumn("m", F.sha2(F.concat_ws("\1", *evidence), 256))
-    one = rows.select(F.col("m").alias("n"), "last", "first", "courses", "university").dropDuplicates(["n"]).withColumn("ok", plausible_name(F.col("last"), F.col("first")))
-    keys = M.roster_keys(roster)
+    one = kept(rows.select(F.col("m").alias("n"), "last", "first", "courses", "university").dropDuplicates(["n"]).withColumn("ok", plausible_name(F.col("last"), F.col("first"))), "names")
+    keys = kept(M.roster_keys(roster), "keys")
     able = one.where("ok").drop("ok")
-    best = M.match(able, keys, taught).where(F.col("confidence") >= ACCEPT)
+    sure, rest = M.found_and_open(able, keys)
+    best = sure.unionByName(M.disambiguate(M.candidates(rest.where("twice")), able, taught)).where(F.col("confidence") >= ACCEPT)
     display = roster.select("instructor_id", F.col("name_display").alias("instructor"))
-    cands = M.match_all(able, keys).join(display, "instructor_id").where(F.col("place") <= shown)
+    # names with a sure match aren't ambiguous, so that their candidates aren't asked for
+    cands = M.candidates(rest.where("once")).join(display, "instructor_id").where(F.col("place") <= shown)
     note = F.struct("place", F.col("instructor").alias("name"), "match_type", "confidence")
     cands = cands.groupBy("n").agg(F.transform(F.array_sort(F.collect_list(note)), lambda c: c.dropFields("place")).alias("candidates"))
     best = best.join(display, "instructor_id")
@@ -89,6 +93,7 @@ def sample_mentions(pool: DataFrame, strategy: str, size: int, seed: int) -> Dat
 def resolve_mentions(posts: DataFrame, entities: DataFrame, roster: DataFrame, taught: DataFrame, campus: str | None = L.DEFAULT_CAMPUS, strategy: str = "recent", size: int = 100, seed: int = 42) -> DataFrame:
     """The sampled mentions, each with its status; none is dropped."""
     pool = sample_mentions(mentions(posts, entities, campus), strategy, size, seed)
+    pool = kept(pool, "mentions")  # at most `size` rows
     names = pool.select(F.col("post_id").alias("n"), F.col("last_name").alias("last"), F.col("first_name").alias("first"), F.when(F.coalesce("course", F.lit("")) != "", F.array("course")).alias("courses"), university(F.col("campus")).alias("university"))
     s = statuses(names, roster, taught, REPORT_CANDIDATES).withColumnRenamed("n", "post_id")
     base = pool.select("post_id", "title", "campus", "course", display_name(F.col("last_name"), F.col("first_name")).alias("professor"), "professor_id", thread_url(F.col("post_id")).alias("permalink"), "created_utc")

@@ -13,6 +13,7 @@ from threadloom.functions.titles import FORMS, parse_form, parse_titles
 from threadloom.operators import dedupe, match, mentions, relational, report
 from threadloom.plans import fixtures as fx
 from threadloom.sources import fallback, store
+from threadloom.sources.shared import kept
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -517,7 +518,8 @@ def match_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _linked_posts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Parsed fixture titles as posts, and their entities."""
-    posts = parsed_titles(spark, sf_dir).withColumns({"created_utc": epoch("o_orderdate"), "url": F.lit(""), "score": F.lit(0), "num_comments": F.lit(1), "author": F.lit(None).cast("string"), "selftext": F.col("title"), "is_review": F.lit(1)})
+    # titles are parsed once and written, as a store would have them
+    posts = kept(parsed_titles(spark, sf_dir), "posts").withColumns({"created_utc": epoch("o_orderdate"), "url": F.lit(""), "score": F.lit(0), "num_comments": F.lit(1), "author": F.lit(None).cast("string"), "selftext": F.col("title"), "is_review": F.lit(1)})
     entities = posts.where("professor_id is not null").groupBy(F.col("professor_id").alias("id")).agg(F.min(F.struct("last_name", "first_name", "campus")).alias("e")).select("id", "e.*")
     return posts, entities
 
