@@ -283,6 +283,11 @@ def test_token_files_of_odd_texts(spark, monkeypatch):
     got = [(r.k, r.n_tokens) for r in token_files.with_starts(token_files.read_token_files(manifest), manifest).orderBy("start").collect()]
     size = lambda t: len(own.encode(t or "", add_special_tokens=False).ids) + 1
     assert got[0] == (0, size(long)) and [k for k, _ in got] == [0, 1, 1, 1, None, None] and sorted(n for _, n in got) == sorted(size(t) for _, t in rows)
+    # shards closed by size: in one task many, in order
+    small = token_files.write_token_files(df, path, shared_dir(spark, "files"), 2, shards=1, most_docs=2)
+    starts = [(r.k, r.start, r.n_tokens) for r in token_files.with_starts(token_files.read_token_files(small), small).orderBy("start").collect()]
+    assert small.count() == 3 and [k for k, _, _ in starts] == [0, 1, 1, 1, None, None] and [s for _, s, _ in starts] == [sum(n for _, _, n in starts[:i]) for i in range(6)]
+    assert {r.doc_id: len(r.ids) for r in token_files.fetch(small, spark.createDataFrame([(0,)], "doc_id long")).collect()} == {0: size(long)}
     names = {r.path for r in manifest.collect()}
     again = token_files.write_token_files(df, path, next(iter(names)).rpartition("/")[0], 2, shards=3)
     assert names.isdisjoint(r.path for r in again.collect()) and token_files.read_token_files(manifest).count() == 6

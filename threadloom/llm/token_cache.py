@@ -20,10 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadloom.llm.chunks import LONGEST, Known, distinct_ranges, text_slices
-from threadloom.llm.common import keep, shared_dir
+from threadloom.llm.common import keep, shared_dir, written
 
 CACHE = T.StructType([T.StructField("tokenizer", T.StringType()), T.StructField("digest", T.BinaryType()), T.StructField("n_tokens", T.LongType())])
 
+#: Digests of misses that are sent to all tasks, 32 bytes each; of more, texts are shuffled to them.
+MOST_SENT = 500_000
+
 
 def tokenizer_version(path: str) -> str:
     with open(path, "rb") as f:
@@ -138,8 +141,12 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None, key:
     content, digest = _digest(F.col(text), fold_space)
     known = read_cache(spark, cache, version)
     rows = docs.select(F.col(key).alias("k"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"), digest.alias("digest"))
+    texts = docs.select(digest.alias("digest"), content.alias("content"))
+    if not known.isEmpty():
+        # digests alone meet the cache; then texts meet the misses, which few of them do with a warm cache
+        open_ = written(spark, rows.select("digest").distinct().join(known.select("digest"), "digest", "left_anti"), "misses")
+        texts = texts.join(F.broadcast(open_) if open_.count() <= MOST_SENT else open_, "digest", "left_semi")
     # distinct texts: the aggregate drops copies within each task before the shuffle
-    texts = docs.select(digest.alias("digest"), content.alias("content")).join(known.select("digest"), "digest", "left_anti")
     misses = texts.groupBy("digest").agg(F.first("content").alias("content"))
     counted = misses.mapInArrow(_count(tokenizer, not by_chunk), "digest binary, n_tokens long")
     counted.select(F.lit(version).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(cache)

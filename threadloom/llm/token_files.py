@@ -36,6 +36,9 @@ from threadloom.llm.common import keep, partitions, ranges, written
 INDEX_MAGIC, TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 #: A frame is closed when it holds this many ids; a longer document has a frame of its own.
 FRAME_IDS = 1 << 16
+#: A task closes a shard that holds so many documents, or ids, and goes on with another: shards follow the data, and
+#: what a writer or reader holds of a shard's index is some 30 MB at most.
+SHARD_DOCS, SHARD_IDS = 1 << 18, 1 << 29
 
 
 class Shard:
@@ -275,13 +278,14 @@ def _open(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int | None = None, key: str = "doc_id", text: str = "text", width: int = 2, shards: int | None = None) -> DataFrame:
+def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int | None = None, key: str = "doc_id", text: str = "text", width: int = 2, shards: int | None = None, most_docs: int = SHARD_DOCS) -> DataFrame:
     """Encode the texts and write shards below `folder` (shared storage); returns the manifest.
 
     Documents are in ascending key order over all shards: null keys last, equal keys by a hash of the text and then
     the text. Null texts count as empty; each document gets `end_id` appended if one is given. width: bytes an id
     (2 where the vocabulary fits). Very long texts are written whole, in a frame of their own; an empty table gives
-    no shards and an empty manifest; further columns are ignored.
+    no shards and an empty manifest; further columns are ignored. shards: tasks that write; most_docs: documents of a
+    shard at most.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(text, F.lit("")).alias("t")).withColumn("h", F.xxhash64("t"))
@@ -295,23 +299,32 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
         from pyspark import TaskContext
 
         encoder, task = keep("token_files", (tokenizer, width), lambda: ChunkEncoder(tokenizer, width)), TaskContext.get()
-        shard, out, n_docs, n_tokens = None, None, 0, 0
+        shard, out, name, made, n_tokens = None, None, "", 0, 0
         fs, top = _open(folder)
-        name = f"shard-{task.partitionId():06d}-{task.taskAttemptId()}.zst"
+
+        def closed():
+            n_docs = len(shard.keys)
+            shard.close()
+            out.close()
+            number = (task.partitionId() << 20) + made - 1
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([f"{folder}/{name}"]), pa.array([n_docs], pa.int64()), pa.array([n_tokens], pa.int64())], ["shard", "path", "n_docs", "n_tokens"])
+
         for b in batches:
-            if b.num_rows and shard is None:
-                fs.create_dir(top, recursive=True)
-                shard = Shard(out := fs.open_output_stream(f"{top}/{name}", compression=None), width)
             keys, at = b.column(0).to_pylist(), 0
             for some in encoder.packed(b.column(1)):
                 for k, packed in zip(keys[at : at + len(some)], some, strict=True):
+                    if shard is not None and (len(shard.keys) >= most_docs or n_tokens >= SHARD_IDS):
+                        yield closed()
+                        shard = None
+                    if shard is None:
+                        fs.create_dir(top, recursive=True)
+                        name = f"shard-{task.partitionId():06d}-{made:06d}-{task.taskAttemptId()}.zst"
+                        shard, made, n_tokens = Shard(out := fs.open_output_stream(f"{top}/{name}", compression=None), width), made + 1, 0
                     shard.add(k, packed + tail)
-                    n_docs, n_tokens = n_docs + 1, n_tokens + shard.counts[-1]
+                    n_tokens += shard.counts[-1]
                 at += len(some)
         if shard is not None:
-            shard.close()
-            out.close()
-            yield pa.RecordBatch.from_arrays([pa.array([task.partitionId()], pa.int64()), pa.array([f"{folder}/{name}"]), pa.array([n_docs], pa.int64()), pa.array([n_tokens], pa.int64())], ["shard", "path", "n_docs", "n_tokens"])
+            yield closed()
 
     made = dealt.select("k", "t").mapInArrow(run, "shard long, path string, n_docs long, n_tokens long")
     return written(spark, made, "manifest")
@@ -363,7 +376,7 @@ def fetch(manifest: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFr
                 with fs.open_input_file(p) as f:
                     r = ShardReader(f)
                 keys = np.flatnonzero(r.is_null == 0)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), shard)), pa.array([path] * len(keys)), pa.array(r.keys[keys]), pa.array(keys)], ["shard", "path", "k", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), shard)), pa.array([path] * len(keys), pa.string()), pa.array(r.keys[keys], pa.int64()), pa.array(keys, pa.int64())], ["shard", "path", "k", "place"])
 
     places = spans.mapInArrow(firsts, "shard long, path string, k long, place long").join(keys, "k", "left_semi")
 
@@ -386,7 +399,7 @@ def with_starts(rows: DataFrame, manifest: DataFrame) -> DataFrame:
     which has a row a shard, not over documents. Empty tables give none; rows of shards that the manifest lacks go."""
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     base = manifest.select("shard", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
-    # a row a shard: no more than the shuffle partitions that they were written from
+    # a row a shard of up to SHARD_DOCS documents: some 16 bytes for each 262,144 documents
     return rows.join(F.broadcast(base), "shard").select("*", (F.col("base") + F.col("ids_offset")).alias("start"))
 
 
