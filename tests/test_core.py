@@ -2,13 +2,14 @@
 
 import argparse
 import json
+import random
 
 from pyspark.sql import functions as F
 
 from threadloom import cli
 from threadloom.functions import classify, text
 from threadloom.functions.titles import parse_titles
-from threadloom.operators import dedupe, match, report
+from threadloom.operators import dedupe, match, mentions, report
 from threadloom.plans import queries
 from threadloom.sources import fallback, raw, store
 from threadloom.streaming import ingest
@@ -167,3 +168,53 @@ def test_expressions_are_built_once(spark):
     assert one is again and one is not other
     r = a.select(one.alias("x"), other.alias("y"), F.transform(F.array("l", "l2"), lambda v: text.split_name(v)["first"]).alias("z")).first()
     assert (tuple(r.x), tuple(r.y), r.z) == (("Cruz", "Ana"), ("Reyes", "Juan"), ["Dr.", ""])
+
+
+# Texts that are reviews and texts that aren't, and what signals a text should give.
+REVIEWS = [
+    "mabait at unoable nagaadjust sa deadline", "Very responsive din, mapa-email o gclass. Reqs for this sem: 3 essays.", "BASTA PLS DONT WAITLIST OR DO PREROG FOR SIR DENNIS — don't take him",
+    "vouch", "1.25!!", "sir Gavin goated", "Took him from 1st sem pa and ganyang katagal si sir na magbigay ng grade.",
+]
+JUNK = [
+    "up", "+1", "lf classmates huhu", "email pls", "how can i prerog po?", "PA 101", "[deleted]", "Has anyone taken this class? How is he?", "may i also ask for their emails, please?",
+    "i saw it na, thank u sm!!", "Hi! Unoable po ba?", "is he unoable",
+]
+JUNK_POST = "Thoughts po sa kanila? Workload? Pedagogy? Unoable? Marami akong majors this sem so goods sana kung di ganun kabigat."
+SIGNALS = {
+    "Super unoable prof! Activities are very engaging and clear PPT slides.": {"grading": "generous", "keywords": {"unoable", "engaging"}, "pedagogy_mentions": {"engaging", "clear"}},
+    "Heavy workload with so many requirements. Strict grader and zero uno given.": {"workload": "heavy", "grading": "strict", "keywords": {"heavy workload", "strict grader"}},
+    "Very light workload, manageable tasks, and optional attendance. Recorded sessions available.": {"workload": "light", "keywords": {"light workload"}, "attendance_mentions": {"lenient"}},
+    "": {"workload": None, "grading": None, "keywords": set()},
+}
+
+
+def test_golden_texts(spark):
+    rows = [(t, False, True) for t in REVIEWS] + [(t, False, False) for t in JUNK] + [(JUNK_POST, True, False)]
+    df = spark.createDataFrame(rows, "t string, post boolean, keep boolean")
+    wrong = df.where(classify.drop_reason(F.col("t"), F.col("post")).isNull() != F.col("keep")).collect()
+    assert wrong == []
+    got = spark.createDataFrame([(t,) for t in SIGNALS], "t string").select("t", classify.analyze_text(F.col("t")).alias("s")).collect()
+    for r in got:
+        for name, want in SIGNALS[r.t].items():
+            have = r.s[name]
+            if name == "keywords":
+                assert want <= set(have) and (want or not have)
+            elif isinstance(want, set):
+                assert all(have[k] >= 1 for k in want)
+            else:
+                assert have == want
+
+
+def test_spellings_by_automaton_and_by_join(spark):
+    """Both ways of finding spellings agree, with thousands of them, at edges of texts and inside words."""
+    rng = random.Random(3)
+    syllables = ["ka", "lo", "mi", "ren", "tos", "vil", "da", "gu", "zo", "be"]
+    word = lambda n: "".join(rng.choices(syllables, k=n)).capitalize()
+    terms = sorted({f"{word(rng.randint(2, 4))}, {word(2)} {word(rng.randint(1, 2))}" for _ in range(2500)}) + ["Dela Cruz, Ana", "Cruz, Ana"]
+    people = spark.createDataFrame([(t, i) for i, t in enumerate(terms)], "term string, ord int")
+    said = [rng.choice(terms) for _ in range(80)]
+    texts = [f"{t.split(', ')[0]} is fair" for t in said[:30]] + [f"ask {' '.join(reversed(t.split(', ')))}" for t in said[30:60]] + [f"xx{t.split(', ')[0].lower()}yy" for t in said[60:]] + ["sir Cruz", "Dela Cruz, Ana!", "", None, "nobody here"]
+    df = spark.createDataFrame(list(enumerate(texts)), "text_id int, text string")
+    one, other = ({tuple(r) for r in mentions.match_texts(df, people, most).collect()} for most in (50_000, 10))
+    assert one == other and len(one) > 30
+    assert mentions.match_texts(df, people.limit(0)).count() == 0 == mentions.match_texts(df.limit(0), people).count()

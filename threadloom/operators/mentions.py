@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadloom.functions.text import name_variants, normalize_name
 
 
+#: Spellings that are sent to all tasks, some 100 bytes each and as an automaton some 1,000.
+MOST_SPELLINGS = 50_000
 #: Heads of spellings, of four letters, that are looked up in place; of more, every place of a text becomes a row.
 MOST_HEADS = 10_000
 
@@ -71,16 +74,66 @@ def attribute_texts(pairs: DataFrame, terms: DataFrame, least: float = 0.30) ->
     return scored.groupBy("text_id").agg(F.max_by("term", F.struct("score", -F.col("place"))).alias("term"))
 
 
-def match_texts(texts: DataFrame, terms: DataFrame) -> DataFrame:
+def match_texts(texts: DataFrame, terms: DataFrame, most_spellings: int = MOST_SPELLINGS) -> DataFrame:
     """texts: text_id, text. text_id, term, confidence, variant: the best spelling found, of several words 0.95, of one
     0.60, ties to the first in the index.
 
-    Spellings are found by an equi-join: runs of words of the text, as long as spellings are, with whole spellings;
-    those of eight letters and more that may stand inside words are joined on their first four letters at every place
-    of the text, and then confirmed. So no text meets every spelling.
+    An index of up to `most_spellings` is sent to all tasks, where one automaton finds all spellings in one pass over a
+    text. A larger one is joined: see `_joined_matches`.
     """
     index = variant_index(terms).where(F.length("variant") >= 5).withColumn("words", F.size(F.split("variant", " ")))
     norm = texts.select("text_id", normalize_name(F.coalesce("text", F.lit(""))).alias("norm"))
+    known = index.select("variant", "term", "place", "words").limit(most_spellings + 1).collect()  # bounded by the limit
+    if len(known) > most_spellings:
+        return _joined_matches(norm, index)
+    # by rank: the place in the index, best first
+    ranked = sorted(((r.words > 1, r.place, r.variant, r.term) for r in known), key=lambda x: (not x[0], _place(x[1])))
+    return _found_by_automaton(norm, [(v, t, 0.95 if many else 0.60) for many, _, v, t in ranked])
+
+
+def _place(place) -> tuple:
+    """As Spark orders structs: nulls first."""
+    return tuple((x is not None, _place(x) if isinstance(x, tuple) else x) for x in place)
+
+
+def _found_by_automaton(norm: DataFrame, ranked: list[tuple[str, str, float]]) -> DataFrame:
+    """ranked: variant, term, confidence, best first."""
+    sent = norm.sparkSession.sparkContext.broadcast(ranked)
+
+    def run(batches):
+        import ahocorasick
+        import pyarrow as pa
+
+        spellings = sent.value
+        automaton = ahocorasick.Automaton()
+        for rank, (variant, _, _) in enumerate(spellings):
+            automaton.add_word(variant, (rank, len(variant)))
+        if spellings:
+            automaton.make_automaton()
+        for b in batches:
+            at, best = [], []
+            for i, text in enumerate(b.column(1).to_pylist() if spellings else []):
+                least, n = len(spellings), len(text)
+                for end, (rank, size) in automaton.iter(text):
+                    if rank < least:
+                        begin, end = end - size + 1, end + 1
+                        # as whole words, or from eight letters on anywhere
+                        if size >= 8 or ((begin == 0 or text[begin - 1] == " ") and (end == n or text[end] == " ")):
+                            least = rank
+                if least < len(spellings):
+                    at.append(i)
+                    best.append(spellings[least])
+            columns = list(zip(*best, strict=True)) if best else [[], [], []]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.float64()), pa.array(columns[0], pa.string())], ["text_id", "term", "confidence", "variant"])
+
+    kind = T.StructType([norm.schema["text_id"], T.StructField("term", T.StringType()), T.StructField("confidence", T.DoubleType()), T.StructField("variant", T.StringType())])
+    return norm.mapInArrow(run, kind)
+
+
+def _joined_matches(norm: DataFrame, index: DataFrame) -> DataFrame:
+    """Spellings are found by an equi-join: runs of words of the text, as long as spellings are, with whole spellings;
+    those of eight letters and more that may stand inside words are joined on their first four letters at every place
+    of the text, and then confirmed. So no text meets every spelling."""
     lengths = index.select("words").distinct()  # a handful of rows
     w = F.split("norm", " ")
     runs = norm.crossJoin(F.broadcast(lengths)).where(F.size(w) >= F.col("words"))
