@@ -217,4 +217,6 @@ def test_spellings_by_automaton_and_by_join(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "text_id int, text string")
     one, other = ({tuple(r) for r in mentions.match_texts(df, people, most).collect()} for most in (50_000, 10))
     assert one == other and len(one) > 30
+    stats = mentions.resolver_stats(people).first()
+    assert stats.professors == len(terms) and stats.unique_last_names == len({t.split(", ")[0].lower() for t in terms}) and stats.variants > len(terms)
     assert mentions.match_texts(df, people.limit(0)).count() == 0 == mentions.match_texts(df.limit(0), people).count()

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from threadloom.functions import lookups as L
 from threadloom.functions.text import canonical_campus, clean_name, fold_key, plausible_name, strip, tokens
+from threadloom.operators.relational import known_campus
 
 
 def junk_entities(entities: DataFrame) -> DataFrame:
     """id of entities whose name can't be a person's or whose campus isn't a code (aliases don't count)."""
-    known = F.upper(F.coalesce("campus", F.lit(""))).isin([c.upper() for c in L.CAMPUS_CODES])
-    return entities.where(~(plausible_name(F.col("last_name"), F.col("first_name")) & known)).select("id")
+    return entities.where(~(plausible_name(F.col("last_name"), F.col("first_name")) & known_campus())).select("id")
 
 
 def unlink(posts: DataFrame, gone: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ def listable(rows: DataFrame, check_removed: bool = True) -> DataFrame:
 
 
 def with_body(rows: DataFrame, body: str, trimmed: bool = False) -> DataFrame:
-    """Rows whose text isn't empty or deleted: exactly, as at ingest, or trimmed, as in exports."""
+    """Rows whose text isn't empty or deleted: exactly, as at ingest, or trimmed, as in exports. Null counts as empty."""
     c = F.coalesce(F.col(body), F.lit(""))
     return rows.where(~(strip(c) if trimmed else c).isin(L.DELETED))
 
@@ -120,5 +120,5 @@ def parse_counts(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def hash_sample(rows: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """A sample without replacement that depends on keys and seed only, not on row order."""
-    return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """A sample without replacement that depends on keys and seed only, not on row order: the least digests."""
+    return rows.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)

@@ -9,7 +9,7 @@ from threadloom.functions import lookups as L
 from threadloom.functions.classify import signals_by
 from threadloom.functions.text import display_name, iso_time, plausible_name, strip, university
 from threadloom.operators import match as M
-from threadloom.operators.relational import entity_courses, hash_sample, mentions
+from threadloom.operators.relational import entity_courses, hash_sample, mentions, with_body
 from threadloom.sources.shared import kept
 
 ACCEPT = 0.80
@@ -128,8 +128,7 @@ def review_rows(posts: DataFrame, comments: DataFrame, entities: DataFrame, rost
         person, teacher = F.when(sure, F.col("name_display")).otherwise(F.col("name")), F.when(sure, F.col("instructor_id"))
     linked = linked.select("post_id", "course", "last", "first", "professor_id", "selftext", "is_review", "created_utc", "name", status.alias("resolve_status"), person.alias("person"), F.coalesce(teacher.cast("string"), F.concat(F.lit("reddit:"), F.coalesce("professor_id", "post_id"))).alias("teacher"))
     own = linked.where("is_review = 1").withColumns({"review_id": F.concat(F.lit("post:"), "post_id"), "text": strip(F.coalesce("selftext", F.lit("")))}).where("text <> ''")
-    c = comments.where("is_review = 1").select("post_id", F.concat(F.lit("comment:"), "comment_id").alias("review_id"), strip(F.coalesce("body", F.lit(""))).alias("text"), F.col("created_utc").alias("at"))
-    c = c.where(~F.col("text").isin(L.DELETED))
+    c = with_body(comments.where("is_review = 1"), "body", True).select("post_id", F.concat(F.lit("comment:"), "comment_id").alias("review_id"), strip(F.col("body")).alias("text"), F.col("created_utc").alias("at"))
     theirs = linked.drop("created_utc").join(c.withColumnRenamed("at", "created_utc"), "post_id")
     rows = own.unionByName(theirs.select(own.columns))
     empty = F.lit(None).cast("double")

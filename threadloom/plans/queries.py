@@ -13,7 +13,8 @@ from threadloom.functions.titles import FORMS, parse_form, parse_titles
 from threadloom.operators import dedupe, match, mentions, relational, report
 from threadloom.plans import fixtures as fx
 from threadloom.sources import fallback, store
-from threadloom.sources.shared import kept
+from threadloom.sources.shared import kept, shared_folder
+from threadloom.streaming import ingest
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -536,27 +537,31 @@ def _resolved(spark: SparkSession, sf_dir: str, strategy: str) -> DataFrame:
     return report.resolve_mentions(posts, entities, roster, report.teaching(section, si, course), strategy=strategy)
 
 
-_RECENT = match_sql(_EXPECTED + """, names0 AS (SELECT post_id AS n, last_name AS l, first_name AS f, [course] AS courses, 'upd' AS university FROM parsed WHERE campus = 'UPD'
-  ORDER BY o_orderdate DESC, post_id LIMIT 100)""") + """, status AS (SELECT names0.n AS post_id, l || ', ' || f AS professor,
+def _sampled(order: str) -> str:
+    return match_sql(_EXPECTED + """, names0 AS (SELECT post_id AS n, last_name AS l, first_name AS f, [course] AS courses, 'upd' AS university FROM parsed WHERE campus = 'UPD'
+  ORDER BY """ + order + """ LIMIT 100)""") + """, status AS (SELECT names0.n AS post_id, l || ', ' || f AS professor,
   CASE WHEN m.n IS NOT NULL THEN 'resolved' WHEN names0.n IN (SELECT n FROM cands) THEN 'ambiguous' ELSE 'unresolved' END AS status, m.instructor_id, m.match_type, m.confidence
   FROM names0 LEFT JOIN (SELECT * FROM matched WHERE confidence >= 0.8) m ON m.n = names0.n)"""
 
 
+_RECENT, _RANDOM = _sampled("o_orderdate DESC, post_id"), _sampled("md5('42:' || post_id), post_id")
+_GATE = """ SELECT *, round(resolved_count / sample_size, 4)::DOUBLE AS resolve_rate, printf('%.1f%%', 100.0 * resolved_count / sample_size) AS resolve_rate_pct, 0.8::DOUBLE AS acceptance_threshold,
+  resolved_count / sample_size >= 0.8 AS acceptance_met
+FROM (SELECT count(*) AS sample_size, count(*) FILTER (status = 'resolved') AS resolved_count, count(*) FILTER (status = 'ambiguous') AS ambiguous_count, count(*) FILTER (status = 'unresolved') AS unresolved_count FROM status) s"""
+
+
 @query(_braced(_RECENT + " SELECT * FROM status"))
 def resolve_sample_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resolved(spark, sf_dir, "recent").select("post_id", "professor", "status", "instructor_id", "match_type", "confidence")
 
 
-@query(_braced(_RECENT + """ SELECT *, round(resolved_count / sample_size, 4)::DOUBLE AS resolve_rate, printf('%.1f%%', 100.0 * resolved_count / sample_size) AS resolve_rate_pct, 0.8::DOUBLE AS acceptance_threshold,
-  resolved_count / sample_size >= 0.8 AS acceptance_met
-FROM (SELECT count(*) AS sample_size, count(*) FILTER (status = 'resolved') AS resolved_count, count(*) FILTER (status = 'ambiguous') AS ambiguous_count, count(*) FILTER (status = 'unresolved') AS unresolved_count FROM status) s"""))
+@query(_braced(_RECENT + _GATE))
 def resolve_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.resolve_report(_resolved(spark, sf_dir, "recent"))
 
 
-@query()
+@query(_braced(_RANDOM + _GATE))
 def resolve_report_random(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The random sample is by Spark's own hash, which DuckDB lacks."""
     return report.resolve_report(_resolved(spark, sf_dir, "random"))
 
 
@@ -684,3 +689,17 @@ def mention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = _people(spark)
     pairs = fx.frame(spark, sf_dir, _SCORED).crossJoin(F.broadcast(people.select("term")))  # six people a text
     return mentions.score_mentions(pairs, people).select("text_id", "term", F.col("score").cast("double").alias("score"))
+
+
+# --- streams --------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT CAST(user_id AS STRING) AS id FROM {events} WHERE user_id IS NOT NULL GROUP BY 1")
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream of pages of their users: each user once."""
+    events = read(spark, sf_dir, "events")
+    pages = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events*.parquet")
+    items = ingest.distinct_items(pages.where("user_id is not null").select(F.col("user_id").cast("string").alias("id")))
+    at, out = shared_folder(spark, "stream"), shared_folder(spark, "seen")
+    items.writeStream.format("parquet").option("path", out).option("checkpointLocation", at).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("id string").parquet(out)

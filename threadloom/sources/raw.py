@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from threadloom.functions import lookups as L
 from threadloom.functions.text import feed_time, post_id, squeeze, strip, strip_html
 from threadloom.functions.titles import parse_titles
-from threadloom.operators.relational import in_window
+from threadloom.operators.relational import in_window, with_body
 
 _S, _N = T.StringType(), T.DoubleType()
 #: A listing item; absent keys are null.
@@ -20,8 +20,8 @@ ITEM = T.StructType(
 )
 ENVELOPE = T.StructType([T.StructField("data", T.StructType([T.StructField("after", _S), T.StructField("children", T.ArrayType(T.StructType([T.StructField("kind", _S), T.StructField("data", ITEM)])))]))])
 COMMENT = T.StructType([T.StructField(c, _S) for c in ("id", "parent_id", "author", "body")] + [T.StructField(c, _N) for c in ("score", "created_utc", "depth")])
-#: Archive limits (fixed values).
-MOST_POSTS, MOST_COMMENTS = 50_000, 5_000
+#: An archive's limit (fixed value).
+MOST_POSTS = 50_000
 
 
 def read_listings(spark: SparkSession, path: str) -> DataFrame:
@@ -52,7 +52,7 @@ def read_archive_comments(spark: SparkSession, path: str) -> DataFrame:
 
 def archive_comments(rows: DataFrame) -> DataFrame:
     """rows: COMMENT and post_id. Distinct by id, without deleted or empty bodies, depth 0 for replies to the post."""
-    r = rows.dropDuplicates(["post_id", "id"]).where(~F.coalesce("body", F.lit("")).isin(L.DELETED))
+    r = with_body(rows.dropDuplicates(["post_id", "id"]), "body")
     parent = F.coalesce(F.nullif("parent_id", F.lit("")), F.concat(F.lit("t3_"), "post_id"))
     return r.withColumn("parent_id", parent).withColumn("depth", F.when(F.startswith("parent_id", F.lit("t3_")), 0.0).otherwise(1.0))
 
