@@ -220,3 +220,24 @@ def test_spellings_by_automaton_and_by_join(spark):
     stats = mentions.resolver_stats(people).first()
     assert stats.professors == len(terms) and stats.unique_last_names == len({t.split(", ")[0].lower() for t in terms}) and stats.variants > len(terms)
     assert mentions.match_texts(df, people.limit(0)).count() == 0 == mentions.match_texts(df.limit(0), people).count()
+
+
+def test_namesakes_are_not_expanded(spark):
+    """Long lists of namesakes: the same matches as from all candidates, from far fewer hits."""
+    rng = random.Random(5)
+    given = ["JUAN", "ANA", "MARIA", "JOSE", "PEDRO", "LIZA"]
+    people = [(str(i), f"{rng.choice(['REYES', 'SANTOS', 'DELA CRUZ', 'SANTOS-REYES'])}, {rng.choice(given)} {rng.choice('ABC')}{rng.choice(given)}", f"P {i}", i) for i in range(300)]
+    roster = spark.createDataFrame(people, "instructor_id string, name_normalized string, name_display string, ord long")
+    taught = spark.createDataFrame([(str(i), [f"Math {rng.randint(1, 60)}", "Eng 1"][: rng.randint(0, 2)], rng.choice(["upd", "uplb", None])) for i in range(0, 300, 2)], "instructor_id string, courses array<string>, university_id string")
+    asked = [(f"n{i}", rng.choice(["Reyes", "Santos", "Dela Cruz", "Cruz", "Lim"]), rng.choice([*given, "", "Jo", "Juan Dela"]).title(), rng.choice([None, ["Math 7"], ["Math 12", "Eng"], ["Math"]]), rng.choice([None, "upd", "UPLB", "unknown"])) for i in range(150)]
+    names = spark.createDataFrame(asked, "n string, last string, first string, courses array<string>, university string")
+    keys = match.roster_keys(roster)
+    sure = match.direct(match.hits(match.cleaned(names), keys))
+    rest = names.join(sure.select("n"), "n", "left_anti")
+    all_hits = match.hits(match.cleaned(rest, 2), keys)
+    want = sure.unionByName(match.disambiguate(match.candidates(all_hits), names, taught))
+    assert {tuple(r) for r in match.match(names, keys, taught).collect()} == {tuple(r) for r in want.collect()}
+    _, some = match.found_and_open(names, keys, taught)
+    assert some.where("twice").count() < 0.5 * all_hits.count()
+    shown = lambda df: {(r.n, r.place, r.instructor_id, r.match_type) for r in df.where("place <= 8").collect()}
+    assert shown(match.candidates(some.where("once"))) == shown(match.candidates(match.hits(match.cleaned(rest), keys)))

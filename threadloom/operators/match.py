@@ -16,6 +16,8 @@ from threadloom.sources.shared import kept
 # Given-name endings that belong to the surname; confidences.
 JOINING_PARTICLES = ["dela", "de", "del", "delos", "san"]
 EXACT, TOKEN, LAST, HEAD = 1.0, 0.8, 0.5, 0.45
+#: Of a list of namesakes so many are looked at without evidence: as many as are ever shown.
+FEW = 8
 COURSE_BONUS, UNIVERSITY_BONUS, ACCEPT = 0.35, 0.10, 0.8
 
 
@@ -210,20 +212,52 @@ def settled(looked: DataFrame, posted: DataFrame) -> DataFrame:
     return _first_sure(whole.select(columns).unionByName(narrow.select(columns)).where("c = 1"))
 
 
-def found_and_open(names: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sure, hits): the sure matches of names, and all hits of the rest with once and twice. Both are written tables: the
-    hits are read several times, and lists of namesakes are expanded for names that need them alone."""
+def _prefixes(key: Column) -> Column:
+    """All beginnings of a course key, itself included."""
+    return F.transform(F.sequence(F.lit(1), F.length(key)), lambda n: F.substring(key, F.lit(1), n))
+
+
+def worth_looking_at(looked: DataFrame, keys: DataFrame, names: DataFrame, teaching: DataFrame) -> DataFrame:
+    """n, instructor_id: of each list of namesakes that a probe finds the first few, the first at the name's university,
+    and those that teach what the name's evidence asks for. No other can come out of `disambiguate` or be shown: without
+    evidence only the first of a list counts. So what is expanded doesn't grow with names times namesakes."""
+    place = F.row_number().over(Window.partitionBy("kind", "key").orderBy("ord", "instructor_id"))
+    few = keys.select("kind", "key", "instructor_id", place.alias("place")).where(F.col("place") <= FEW)
+    many = keys.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > FEW)
+    probed = looked.select("n", "kind", "key").distinct()
+    first = probed.join(few, ["kind", "key"]).select("n", "instructor_id")
+    long = probed.join(many, ["kind", "key"], "left_semi")
+    taught = keys.select("kind", "key", "ord", "instructor_id").join(teaching.select("instructor_id", "courses", "university_id"), "instructor_id", "left")
+    home = taught.groupBy("kind", "key", F.coalesce("university_id", F.lit("unknown")).alias("university")).agg(F.min_by("instructor_id", "ord").alias("instructor_id"))
+    here = long.join(names.select("n", F.lower("university").alias("university")).where("university <> ''"), "n").join(home, ["kind", "key", "university"])
+    code = lambda c: F.explode(F.array_distinct(F.filter(F.transform(c, course_key), lambda x: x != "")))
+    asked = long.join(names.select("n", code(F.col("courses")).alias("x")), "n")
+    given = taught.select("kind", "key", "instructor_id", code(F.col("courses")).alias("y"))
+    within = asked.join(given.withColumn("x", F.explode(_prefixes(F.col("y")))), ["kind", "key", "x"])
+    around = asked.withColumn("y", F.explode(_prefixes(F.col("x")))).join(given, ["kind", "key", "y"])
+    out = first
+    for more in (here, within, around):
+        out = out.unionByName(more.select("n", "instructor_id"))
+    return out.distinct()
+
+
+def found_and_open(names: DataFrame, keys: DataFrame, teaching: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sure, hits): the sure matches of names, and the hits of the rest that matter, with once and twice. Both are
+    written tables, since hits are read several times. An instructor that matters has all its hits there: where it comes
+    first decides what it counts for."""
     read = kept(both_cleaned(names), "names")
     looked = kept(probes(readings(read.withColumn("n", F.struct("n", "once", "twice")))).select("n.*", "reading", "tag", "tier", "kind", "key", "token"), "probes")
     sure = kept(settled(looked.where("once").drop("once", "twice"), postings(keys)), "sure")
-    rest = looked.join(sure.select("n"), "n", "left_anti").join(keys, ["kind", "key"]).drop("kind", "key")
-    return sure, kept(rest, "hits")
+    rest = looked.join(sure.select("n"), "n", "left_anti")
+    some = kept(worth_looking_at(rest, keys, names, teaching), "worth")
+    found = rest.join(some, "n").join(keys, ["kind", "key", "instructor_id"]).drop("kind", "key")
+    return sure, kept(found, "hits")
 
 
 def match(names: DataFrame, keys: DataFrame, teaching: DataFrame) -> DataFrame:
     """names: n (unique), last, first, courses, university. One row for each name with a match: n, instructor_id,
     match_type, confidence. Null names match nothing."""
-    sure, rest = found_and_open(names, keys)
+    sure, rest = found_and_open(names, keys, teaching)
     return sure.unionByName(disambiguate(candidates(rest.where("twice")), names, teaching))
 
 

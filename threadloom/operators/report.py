@@ -14,7 +14,7 @@ from threadloom.sources.shared import kept
 
 ACCEPT = 0.80
 #: Candidates shown of an ambiguous name in the summary and in the report.
-SUMMARY_CANDIDATES, REPORT_CANDIDATES = 8, 5
+SUMMARY_CANDIDATES, REPORT_CANDIDATES = M.FEW, 5
 #: Fixed value: where threads of the source are shown.
 THREAD_URL = "https://reddit.com/r/RateUPProfs/comments/"
 
@@ -40,7 +40,7 @@ def statuses(names: DataFrame, roster: DataFrame, taught: DataFrame, shown: int)
     one = kept(rows.select(F.col("m").alias("n"), "last", "first", "courses", "university").dropDuplicates(["n"]).withColumn("ok", plausible_name(F.col("last"), F.col("first"))), "names")
     keys = kept(M.roster_keys(roster), "keys")
     able = one.where("ok").drop("ok")
-    sure, rest = M.found_and_open(able, keys)
+    sure, rest = M.found_and_open(able, keys, taught)
     best = sure.unionByName(M.disambiguate(M.candidates(rest.where("twice")), able, taught)).where(F.col("confidence") >= ACCEPT)
     display = roster.select("instructor_id", F.col("name_display").alias("instructor"))
     # names with a sure match aren't ambiguous, so that their candidates aren't asked for
