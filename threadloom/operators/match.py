@@ -186,8 +186,9 @@ def cleaned(names: DataFrame, times: int = 1) -> DataFrame:
 def both_cleaned(names: DataFrame) -> DataFrame:
     """n, last, first, once, twice: names cleaned once, for a sure match, and cleaned again, for candidates; most names
     are the same then and have one row. Null names and such without a surname have none."""
-    one = names.select("n", clean_name(F.coalesce("last", F.lit("")), F.coalesce("first", F.lit(""))).alias("c"))
-    two = one.select("n", "c", clean_name(F.col("c.last"), F.col("c.first")).alias("d"))
+    clean = clean_name(F.col("last"), F.col("first"))  # over plain columns: built once
+    one = names.select("n", F.coalesce("last", F.lit("")).alias("last"), F.coalesce("first", F.lit("")).alias("first")).select("n", clean.alias("c"))
+    two = one.select("n", "c", "c.last", "c.first").select("n", "c", clean.alias("d"))
     pair = lambda c, once, twice: F.struct(F.col(f"{c}.last").alias("last"), F.col(f"{c}.first").alias("first"), F.lit(once).alias("once"), F.lit(twice).alias("twice"))
     rows = F.when(F.col("c") == F.col("d"), F.array(pair("c", True, True))).otherwise(F.array(pair("c", True, False), pair("d", False, True)))
     return two.select("n", F.explode(rows).alias("r")).select("n", "r.*").where("last <> ''")
@@ -257,6 +258,7 @@ def found_and_open(names: DataFrame, keys: DataFrame, teaching: DataFrame) -> tu
 def match(names: DataFrame, keys: DataFrame, teaching: DataFrame) -> DataFrame:
     """names: n (unique), last, first, courses, university. One row for each name with a match: n, instructor_id,
     match_type, confidence. Null names match nothing."""
+    teaching = kept(teaching, "taught")
     sure, rest = found_and_open(names, keys, teaching)
     return sure.unionByName(disambiguate(candidates(rest.where("twice")), names, teaching))
 

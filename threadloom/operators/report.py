@@ -38,7 +38,7 @@ def statuses(names: DataFrame, roster: DataFrame, taught: DataFrame, shown: int)
     evidence = [F.coalesce("last", F.lit("")), F.coalesce("first", F.lit("")), F.coalesce(F.array_join("courses", "\0"), F.lit("")), F.coalesce("university", F.lit(""))]
     rows = names.withColumn("m", F.sha2(F.concat_ws("\1", *evidence), 256))
     one = kept(rows.select(F.col("m").alias("n"), "last", "first", "courses", "university").dropDuplicates(["n"]).withColumn("ok", plausible_name(F.col("last"), F.col("first"))), "names")
-    keys = kept(M.roster_keys(roster), "keys")
+    keys, taught = kept(M.roster_keys(roster), "keys"), kept(taught, "taught")
     able = one.where("ok").drop("ok")
     sure, rest = M.found_and_open(able, keys, taught)
     best = sure.unionByName(M.disambiguate(M.candidates(rest.where("twice")), able, taught)).where(F.col("confidence") >= ACCEPT)
