@@ -132,3 +132,31 @@ def test_mix_and_encode(spark, rows):
         want.append((k, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
     assert sorted((tuple(r) for r in corpus_pipeline.encode(spark, docs, "").collect()), key=str) == sorted(want, key=str)
     assert corpus_pipeline.mix_sources(spark, docs.limit(0), "").count() == corpus_pipeline.encode(spark, docs.limit(0), "").count() == 0
+
+
+def test_run(spark, tmp_path):
+    """All stages in a row: what each decides shows in the result, and clean documents stay; and on empty documents."""
+    rng = random.Random(11)
+    common = "the same line on every site"
+    body = {i: f"{words(rng, 40)}\n{common}\n{words(rng, 40)}" for i in range(60)}
+    docs = [(i, x, f"s{i % 12}") for i, x in body.items()]
+    docs += [(100 + i, body[i], "s1") for i in range(5)] + [(200 + i, body[i] + " end", "s2") for i in range(5, 10)]  # copies and near copies
+    toxic = [(400 + i, f"{words(rng, 30)} you grumbler {words(rng, 30)}", "s3") for i in range(60)]
+    docs += [*toxic, (500, None, "s1"), (501, "", None)]
+    labels = [(k, 1, 0) for k, _, _ in docs[:60]] + [(k, 1, 1) for k, _, _ in toxic]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"file://{tmp_path}/labels.parquet")
+    table(spark, docs).write.parquet(f"file://{tmp_path}/documents.parquet")
+    got = corpus_pipeline.run(spark, f"file://{tmp_path}").collect()
+    least = body[0]  # the first occurrence of a boilerplate line stays
+    want = {i: x if x == least else "\n".join(t for t in x.split("\n") if t != common) for i, x in body.items()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    # each group once, its first member; no toxic document; no text that isn't the document's own; every source is mixed in
+    assert {r.doc_id for r in got} <= set(want) and all(r.decoded_sha256 == sha(want[r.doc_id]) for r in got)
+    counts = {}
+    for r in got:
+        counts[r.doc_id] = counts.get(r.doc_id, 0) + 1
+    assert max(counts.values()) <= 2 and {f"s{i % 12}" for i in counts} == {f"s{i}" for i in range(12)} and len(counts) >= 45
+    empty = tmp_path / "empty"
+    table(spark, docs).limit(0).write.parquet(f"file://{empty}/documents.parquet")
+    spark.read.parquet(f"file://{tmp_path}/labels.parquet").write.parquet(f"file://{empty}/labels.parquet")
+    assert corpus_pipeline.run(spark, f"file://{empty}").count() == 0
