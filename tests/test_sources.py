@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from threadloom import cli
 from threadloom.functions import lookups
+from threadloom.operators import relational
 from threadloom.sources import paged, raw, store
 from threadloom.streaming import ingest
 
@@ -211,6 +212,21 @@ def test_archive_and_feed(spark, tmp_path):
     assert got["y2"].created_utc == 0.0 and got["x1"].permalink == "/r/x/comments/x1/slug/"
 
 
+def test_listings_nest_and_unnest(spark, tmp_path):
+    """Flat items as a nested listing and back; trees that can't be parsed are told."""
+    items = spark.createDataFrame([post("a", 1.0, score=2.0), post("b", 2.0, score=None)], raw.ITEM)
+    raw.wrap_listing(items).coalesce(1).write.json(f"file://{tmp_path}/one")
+    assert sorted((r.id, r.score) for r in raw.read_listings(spark, f"file://{tmp_path}/one").collect()) == [("a", 2.0), ("b", None)]
+    trees = spark.createDataFrame([("p1", "{no json"), ("p2", "[" * 300_000 + "]" * 300_000), ("p3", None), ("p4", "{}")], "post_id string, tree string")
+    assert sorted(r.post_id for r in raw.unreadable_trees(trees).collect()) == ["p1", "p2"] and raw.flatten_replies(trees).count() == 0
+
+
+def test_orders_of_listings(spark):
+    rows = spark.createDataFrame([("a", 10, 1, 0.0), ("b", 1, 5, 86_400.0), ("c", 20, 0, 0.0), ("d", None, None, None)], "id string, score long, num_comments long, created_utc double")
+    order = lambda sort: [r.id for r in relational.listing_order(rows, sort).collect()]
+    assert order("new") == ["b", "a", "c", "d"] and order("top") == ["c", "a", "b", "d"] and order("rising")[0] == "b" and order("hot") == ["c", "a", "b", "d"]
+
+
 def test_cli_bounds_and_passes(spark):
     assert cli.bound(spark, "1700000000") == 1700000000.0 and cli.bound(spark, "2024-01-01") == 1704067200.0 and cli.bound(spark, None) is None
     with pytest.raises(ValueError):
