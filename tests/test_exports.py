@@ -26,7 +26,7 @@ def tables(spark):
     return make(posts, "posts"), make(comments, "comments"), make(people, "entities")
 
 
-@pytest.mark.parametrize("chunk", [1, 400, 1 << 20])
+@pytest.mark.parametrize("chunk", [1, 1 << 20])
 def test_threads(spark, tables, tmp_path, monkeypatch, chunk):
     """Whole threads and such that lie in several tasks; threads without comments."""
     monkeypatch.setattr(sinks, "CHUNK", chunk)
