@@ -65,6 +65,15 @@ def test_near_pairs_are_found_once(spark):
     assert spelling.group_variants(rows.limit(0)).count() == 0
 
 
+def test_vocabulary_is_never_broadcast(spark):
+    """However small a table's files make it look: its rows and its keys are many times as large."""
+    words = spark.createDataFrame([("hello", 9), ("hallo", 4), ("hullo", 1)], "word string, n long")
+    for df in (spelling.near_pairs(words), spelling.group_variants(words)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    assert {tuple(r) for r in spelling.group_variants(words).collect()} == {("hello", None, "hello", 9, 2, None), ("hallo", "hello", "hello", 4, 2, 9), ("hullo", "hello", "hello", 1, 2, 9)}
+
+
 def test_word_counts(spark):
     import re
 

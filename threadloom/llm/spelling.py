@@ -16,6 +16,9 @@ from pyspark.sql import types as T
 
 from threadloom.llm.common import written
 
+#: Tables that grow with the vocabulary are never sent whole through the driver: their files are several times smaller than
+#: their rows, and half and band keys six times as many, so that estimates from files take them for small.
+SHUFFLED = "merge"
 #: Letters of words (fixed value of the contract); only A-Z are lower-cased.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST_LENGTH, LEAST_COUNT = 5, 3
@@ -103,7 +106,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     first_half = F.substring(F.col("x.word"), F.lit(1), half) == F.substring(F.col("y.word"), F.lit(1), half)
     fits = F.when(F.col("y.longer"), flipped == 1).otherwise((flipped <= 2) & (F.col("x.word") < F.col("y.word")))
     met = fits & ~earlier_band & ~((side == 1) & first_half) & (F.levenshtein(F.col("x.word"), F.col("y.word")) == 1)
-    joined = x.join(y, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in on])
+    joined = x.join(y.hint(SHUFFLED), [F.col(f"x.{c}") == F.col(f"y.{c}") for c in on])
     return joined.where(met).select(F.col("x.word").alias("a"), F.col("y.word").alias("b"), F.col("x.n").alias("a_n"), F.col("y.n").alias("b_n"))
 
 
@@ -115,7 +118,7 @@ def roots(forms: DataFrame) -> DataFrame:
     at = written(spark, forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         on = at.select(F.col("word").alias("via"), F.col("root").alias("beyond"))
-        joined = at.join(on, at.root == on.via, "left")
+        joined = at.join(on.hint(SHUFFLED), at.root == on.via, "left")
         if joined.where("via is not null").isEmpty():
             return at
         at = written(spark, joined.select("word", F.coalesce("beyond", "root").alias("root")), "roots")
@@ -129,7 +132,7 @@ def group_variants(words: DataFrame) -> DataFrame:
     ways = F.explode(F.array(F.struct(F.col("a").alias("word"), F.col("b").alias("near"), F.col("b_n").alias("near_n")), F.struct(F.col("b").alias("word"), F.col("a").alias("near"), F.col("a_n").alias("near_n"))))
     best = near_pairs(words).select(ways.alias("p")).select("p.*").groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("least"), F.col("near").alias("near"))).alias("best"))
     formed = F.col("best.least") * -1 >= TIMES * F.col("n")
-    found = words.join(best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(formed, F.col("best.near")).alias("form"), F.when(formed, -F.col("best.least")).alias("form_n"))
+    found = words.join(best.hint(SHUFFLED), "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(formed, F.col("best.near")).alias("form"), F.when(formed, -F.col("best.least")).alias("form_n"))
     found = written(spark, found, "forms")
     rooted = roots(found.where("form is not null"))
-    return found.join(rooted, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return found.join(rooted.hint(SHUFFLED), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
