@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadloom.functions.text import name_variants, normalize_name
-
+from threadloom.sources.shared import kept
 
 #: Spellings that are sent to all tasks, some 100 bytes each and as an automaton some 1,000.
 MOST_SPELLINGS = 50_000
@@ -40,8 +40,8 @@ def variant_index(terms: DataFrame) -> DataFrame:
 
 
 def _found(variant: Column, norm: Column) -> Column:
-    """As whole words, or from eight letters on anywhere."""
-    return F.rlike(norm, F.concat(F.lit(r"(?:^|\s)"), _quoted(variant), F.lit(r"(?:\s|$)"))) | ((F.length(variant) >= 8) & F.contains(norm, variant))
+    """As whole words, or from eight letters on anywhere. A pattern is built only where the letters are there."""
+    return F.contains(norm, variant) & ((F.length(variant) >= 8) | F.rlike(norm, F.concat(F.lit(r"(?:^|\s)"), _quoted(variant), F.lit(r"(?:\s|$)"))))
 
 
 def mention_score(norm: Column, last: Column, first: Column, is_short: Column, variants: Column, same_surname: Column) -> Column:
@@ -52,25 +52,35 @@ def mention_score(norm: Column, last: Column, first: Column, is_short: Column, v
     return (
         F.when(F.exists(variants, lambda v: (F.length(v) >= 5) & _found(v, norm)), 0.95)
         .when((F.length(first) >= 3) & (at_last > 0) & (at_first > 0) & (F.abs(at_last - at_first) <= 30), 0.85)
-        .when((first != "") & F.rlike(norm, initial), 0.75)
+        .when((first != "") & (at_last > 0) & F.rlike(norm, initial), 0.75)
         .when(~is_short & (last != "") & F.contains(norm, last), F.when(same_surname == 1, 0.60).otherwise(0.30))
-        .when(is_short & (first != "") & F.rlike(norm, whole) & F.contains(norm, first), 0.70)
+        .when(is_short & (first != "") & (at_last > 0) & F.contains(norm, first) & F.rlike(norm, whole), 0.70)
         .otherwise(0.0)
     )
 
 
+def normalized(texts: DataFrame) -> DataFrame:
+    """Adds norm. Texts that are paired with many terms are best normalised before, once."""
+    return texts.withColumn("norm", normalize_name(F.coalesce("text", F.lit(""))))
+
+
+def _scored(pairs: DataFrame, terms: DataFrame) -> DataFrame:
+    """pairs with score; its own norm is taken where it has one. Terms are written, so that Spark knows their size."""
+    p = kept(people(terms).drop("ord"), "people")
+    rows = (pairs if "norm" in pairs.columns else normalized(pairs)).join(p, "term")
+    return rows.withColumn("score", mention_score(F.col("norm"), F.col("last"), F.col("first"), F.col("is_short"), F.col("variants"), F.col("same_surname")))
+
+
 def score_mentions(pairs: DataFrame, terms: DataFrame) -> DataFrame:
     """pairs: text_id, text, term. Adds score. Terms not among `terms` score as the only ones of their surname do not:
     they have no row here."""
-    p = people(terms).drop("ord")
-    rows = pairs.join(p, "term").withColumn("norm", normalize_name(F.coalesce("text", F.lit(""))))
-    return rows.select("text_id", "term", mention_score(F.col("norm"), F.col("last"), F.col("first"), F.col("is_short"), F.col("variants"), F.col("same_surname")).alias("score"))
+    return _scored(pairs, terms).select("text_id", "term", "score")
 
 
 def attribute_texts(pairs: DataFrame, terms: DataFrame, least: float = 0.30) -> DataFrame:
     """pairs: text_id, text, term, place (of the candidate). text_id, term: of the best candidate with at least
-    `least`, ties to the first."""
-    scored = score_mentions(pairs, terms).join(pairs.select("text_id", "term", "place"), ["text_id", "term"]).where(F.col("score") >= least)
+    `least`, ties to the first. Pairs are scored in one pass, and only a text's best one of a task is shuffled."""
+    scored = _scored(pairs, terms).where((F.col("score") >= least) & F.col("text_id").isNotNull())
     return scored.groupBy("text_id").agg(F.max_by("term", F.struct("score", -F.col("place"))).alias("term"))
 
 

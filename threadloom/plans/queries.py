@@ -665,7 +665,7 @@ _MENTION = f"""SELECT CAST(o_orderkey AS STRING) AS text_id, 'took the class of
   WHEN 4 THEN 'Santos, Maria' WHEN 5 THEN 'Reyes, Pedro' WHEN 7 THEN 'Santos, Maria' END AS term FROM t WHERE CAST(text_id AS BIGINT) % 8 <> 6""")
 def attribute_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = _people(spark)
-    pairs = fx.frame(spark, sf_dir, _MENTION).crossJoin(F.broadcast(people.withColumnRenamed("ord", "place")))  # six candidates a text
+    pairs = mentions.normalized(fx.frame(spark, sf_dir, _MENTION)).crossJoin(F.broadcast(people.withColumnRenamed("ord", "place")))  # six candidates a text
     return mentions.attribute_texts(pairs, people)
 
 
